@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,22 +18,30 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without the setting (a test) gets a temporary folder.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def keep(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write ``df`` once to the shared checkpoint folder.
+    """Write ``df`` once as a table in the shared folder and read that instead.
 
-    The folder is the one that the cluster names in ``spark.checkpoint.dir``; only
-    a session without one (a local test) gets a temporary folder.
+    This cuts the lineage: a lost executor costs the tasks it ran, not what led to
+    ``df``.  The table lives as long as the folder of its application.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def groups_of(df: DataFrame, size, per_group: float) -> int:

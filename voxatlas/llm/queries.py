@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxatlas.llm import packing
+from voxatlas.llm import packing, substrings
 from voxatlas.llm.common import table
 
 
@@ -16,8 +16,13 @@ def op7_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_matrices(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated_spans(table(spark, sf_dir, "documents"), with_text=False).drop("spans")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op7_token_matrices": op7_token_matrices,
 }
 ORACLE_SQL: dict[str, str] = {}
