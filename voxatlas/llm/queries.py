@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxatlas.llm import packing, substrings
+from voxatlas.llm import jaccard, packing, substrings
 from voxatlas.llm.common import table
 
 
@@ -20,9 +20,14 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated_spans(table(spark, sf_dir, "documents"), with_text=False).drop("spans")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_token_matrices": op7_token_matrices,
 }
 ORACLE_SQL: dict[str, str] = {}
