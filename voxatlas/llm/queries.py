@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voxatlas.llm import jaccard, packing, substrings
+from voxatlas.llm import decontamination, jaccard, packing, substrings
 from voxatlas.llm.common import table
 
 
@@ -24,10 +25,23 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_token_matrices": op7_token_matrices,
+    "op9_decontamination": op9_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
