@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxatlas.llm import decontamination, jaccard, packing, substrings
+from voxatlas.llm import decontamination, jaccard, packing, quality, substrings, toxicity
 from voxatlas.llm.common import table
 
 
@@ -37,8 +37,20 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("spans")
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_token_matrices": op7_token_matrices,
