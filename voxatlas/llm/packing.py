@@ -29,8 +29,8 @@ WINDOW = 2048
 END_ID = 1
 #: Bytes of text per packing group: about a thousand windows.
 GROUP_BYTES = 2_000_000
-#: Distinct words whose ids a Python worker remembers, to bound its memory.
-REMEMBERED = 300_000
+#: Bytes of text whose distinct words are tokenised together.
+CHUNK_BYTES = 4_000_000
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -41,20 +41,38 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
-    """Ids of whole texts as bytes of little-endian uint32.
+#: Parts end at a blank or a line break only: both are white space to any tokenizer.
+SPACED = W.byte_table(lambda b: b not in (0x20, 0x0A))
+#: Parts whose ids a Python worker remembers (about 40 bytes each).
+REMEMBERED = 2_000_000
+
 
-    White space ends a token in this tokenizer, so a text's ids are the ids of its
-    space-separated parts, joined; the ids of parts seen before are remembered.
+class Encoder:
+    """Token ids of whole texts.
+
+    In a tokenizer whose tokens end with words (it marks them by a suffix) the ids of
+    a text are those of its spaced parts, one after the other.  Distinct parts are
+    tokenised once and their ids remembered under the part's hash.  A part that is one
+    run of letters, a final point or comma aside, is looked up in lower case and skips
+    normalisation and splitting, which leave it whole.  Other tokenizers get the texts
+    as they are.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.bare: dict[str, bytes] = {}
-        self.marks = {mark: self._ids([mark])[0] for mark in ".,"}
+        self.model = Tokenizer.from_file(path)
+        self.model.normalizer = None
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if self.suffix and token.endswith(self.suffix)]] = True
+        self.marks = np.zeros(256, "<u4")
+        for mark in ".,":
+            self.marks[ord(mark)] = self._whole([mark])[0][0]
+        self._forget()
 
     @staticmethod
     def of(path: str | None) -> "Encoder":
@@ -63,33 +81,86 @@ class Encoder:
             _ENCODERS[path] = Encoder(path)
         return _ENCODERS[path]
 
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-
-    def _learn(self, parts: list[str]) -> None:
-        plain = {}
-        for part in parts:
-            # A final . or , after a letter is a token of its own; the case is folded.
-            # Both hold for certain only below U+0130, where normalisation is trivial.
-            if "<|" in part:  # may name a special token, whose case counts
-                plain[part] = part, b""
-            elif part[-1] in self.marks and part[-2:-1].isalpha() and max(part) < "İ":
-                plain[part] = part[:-1].lower(), self.marks[part[-1]]
-            else:
-                plain[part] = (part.lower() if part.isascii() and part.isalpha() else part), b""
-        new = list({bare for bare, _ in plain.values()}.difference(self.bare))
-        self.bare.update(zip(new, self._ids(new), strict=True))
-        self.known.update({part: self.bare[bare] + mark for part, (bare, mark) in plain.items()})
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = {part for parts in split for part in parts}.difference(self.known)
-        if new:
-            if len(self.known) + len(self.bare) > REMEMBERED:
-                self.known, self.bare = {"": b""}, {}
-                new = {part for parts in split for part in parts if part}
-            self._learn(list(new))
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+    def _forget(self) -> None:
+        self.keys, self.begin, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _whole(self, parts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _learn(self, keys: np.ndarray, runs: list[str], other: list[str]) -> None:
+        """Remember the ids of runs of letters, then of other parts; ``keys`` are in that order."""
+        ids = np.array(self.model.encode(" ".join(runs), add_special_tokens=False).ids if runs else [], "<u4")
+        size = np.diff(np.concatenate([[-1], np.flatnonzero(self.ends[ids])]))
+        assert len(size) == len(runs), "a run of letters is not one word to this tokenizer"
+        rest = self._whole(other)
+        size = np.concatenate([size, [len(x) for x in rest]]).astype(np.int64)
+        pool = np.concatenate([ids, *(np.array(x, "<u4") for x in rest)]) if rest else ids
+        begin = np.cumsum(size) - size + len(self.pool)
+        self.pool = np.concatenate([self.pool, pool])
+        keys, begin, size = (np.concatenate(x) for x in ((self.keys, keys), (self.begin, begin), (self.size, size)))
+        order = np.argsort(keys)
+        self.keys, self.begin, self.size = keys[order], begin[order], size[order]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(first, ids): ``first[d]:first[d + 1]`` are the ids of text d, as uint32."""
+        if not self.suffix:
+            ids = self._whole(texts.cast(pa.large_string()).to_pylist())
+            return np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64), np.array([i for x in ids for i in x], "<u4")
+        found = W.words(texts, SPACED)
+        start, end, data = found.start, found.end, found.data
+        if not len(start):
+            return found.first, np.zeros(0, "<u4")
+        low, letter = fold(data)
+        mark = self.marks[data[end - 1]] * (end - start > 1)
+        stop = end - (mark > 0)
+        strange = np.concatenate([[0], np.cumsum(~letter)])
+        run = strange[start] == strange[stop]
+        mark, stop = np.where(run, mark, 0), np.where(run, stop, end)
+        keys = found.hash.copy()
+        keys[run] = ~W.word_hashes(low, start[run], stop[run])
+        order = np.argsort(keys)
+        ordered = keys[order]
+        new = np.ones(len(order), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        distinct, one = ordered[new], order[new]
+        place = self._places(distinct, one, run, low.tobytes(), data.tobytes(), start, stop)[which]
+        size = self.size[place]
+        length = size + (mark > 0)
+        at = np.concatenate([[0], np.cumsum(length)])
+        ids = np.empty(at[-1], "<u4")
+        ids[W.ranges(at[:-1], size)] = self.pool[W.ranges(self.begin[place], size)]
+        marked = np.flatnonzero(mark)
+        ids[at[marked + 1] - 1] = mark[marked]
+        return at[found.first], ids
+
+    def _places(self, keys: np.ndarray, one: np.ndarray, run: np.ndarray, low: bytes, data: bytes, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Where each of the distinct keys is remembered; learns those that are not."""
+        if len(self.keys) > REMEMBERED:
+            self._forget()
+        place = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = place < len(self.keys)
+        new[inside] = self.keys[place[inside]] != keys[inside]
+        if new.any():
+            is_run = run[one[new]]
+            learn = [(keys[new][kind], one[new][kind], source) for kind, source in ((is_run, low), (~is_run, data))]
+            texts = [[source[a:b].decode() for a, b in zip(start[at].tolist(), stop[at].tolist(), strict=True)] for _, at, source in learn]
+            self._learn(np.concatenate([learn[0][0], learn[1][0]]), *texts)
+            place = np.searchsorted(self.keys, keys)
+        return place
+
+
+def fold(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 text with A-Z and U+00C0 to U+00DE in lower case, and which bytes belong to letters below U+0100."""
+    low = W.LOWER[data]
+    second = np.zeros(len(data), bool)
+    second[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    low[second & (data >= 0x80) & (data <= 0x9E)] += 0x20
+    letter = (low >= 0x61) & (low <= 0x7A) & (data < 0x80) | second
+    letter[:-1] |= second[1:]
+    return low, letter
 
 
 def pieces(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, tokenizer: str | None = None, with_ids: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -100,27 +171,27 @@ def pieces(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, token
     """
     kind = dict(docs.dtypes)[id_column]
     fields = f"{id_column} {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids binary" * with_ids
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         for batch in batches:
             texts = W.column(batch, text_column)
             ids = batch.column(batch.schema.get_field_index(id_column))
-            for lo, hi in W.slices(texts):
+            for lo, hi in W.slices(texts, CHUNK_BYTES):
                 row, start, length, crc, total, raw = [], [], [], [], [], []
-                for k, one in enumerate(encoder.encode(texts.slice(lo, hi - lo).cast(pa.large_string()).to_pylist()), lo):
-                    one += end
-                    n = len(one) // 4
-                    for a in range(0, n, window):
-                        part = one[4 * a : 4 * (a + window)]
+                first, tokens = encoder.encode(texts.slice(lo, hi - lo))
+                for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True), lo):
+                    one = np.concatenate([tokens[a:b], end])
+                    for c in range(0, len(one), window):
+                        part = one[c : c + window]
                         row.append(k)
-                        start.append(a)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        total.append(n)
+                        start.append(c)
+                        length.append(len(part))
+                        crc.append(zlib.crc32(part.tobytes()))
+                        total.append(len(one))
                         if with_ids:
-                            raw.append(np.frombuffer(part, "<u4").astype("<u2").tobytes())
+                            raw.append(part.astype("<u2").tobytes())
                 columns = [ids.take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))]
                 names = [id_column, "start", "length", "ids_crc32", "doc_tokens"]
                 if with_ids:

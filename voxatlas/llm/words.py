@@ -26,14 +26,14 @@ CHUNK_BYTES = 2_000_000
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _byte_table(is_word) -> np.ndarray:
+def byte_table(is_word) -> np.ndarray:
     return np.array([is_word(b) for b in range(256)], dtype=bool)
 
 
 #: Words ``[^\x20\x09-\x0D]+``.
-PLAIN = _byte_table(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D))
+PLAIN = byte_table(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D))
 #: Words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of lower-cased text.
-ALNUM = _byte_table(lambda b: b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A)
+ALNUM = byte_table(lambda b: b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A)
 #: A-Z to a-z, other bytes as they are.
 LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], dtype=np.uint8)
 
@@ -110,10 +110,10 @@ def words(texts: pa.Array, kind: np.ndarray = PLAIN, lower: bool = False) -> Wor
     after[edges - 1] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    return Words(data, np.searchsorted(start, at), start, end, _word_hashes(data, start, end))
+    return Words(data, np.searchsorted(start, at), start, end, word_hashes(data, start, end))
 
 
-def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     out = np.empty(len(start), U64)
     lo = 0
     while lo < len(start):  # in blocks, so that the tables of powers stay small
