@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxatlas.llm import words as W
-from voxatlas.llm.common import held_out
+from voxatlas.llm.common import held_out, keep
 from voxatlas.llm.labelled import logistic, sample, sigmoid
 
 #: Labelled documents of each class that the fit may use.
 SAMPLE = 20_000
-#: Tokens that the model may hold, and the z-score that each needs.
-TOKENS, SIGNIFICANT = 20_000, 3.5
+#: Tokens that the model may hold, and the z-score and log-odds that each needs.
+TOKENS, SIGNIFICANT, LEAST = 20_000, 3.5, 3.0
 #: What a word without evidence costs.
 DRIFT = 0.08
 #: Weight of the prior, in documents.
@@ -91,6 +91,26 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text", "y").mapInArrow(scan, "token bigint, toxic bigint, other bigint").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """One row for each group of near copies, told by the least hash of their word triples.
+
+    A passage that is copied many times would otherwise count as that much evidence.
+    """
+    kinds = dict(docs.dtypes)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = W.column(batch, "text")
+            for lo, hi in W.slices(texts):
+                found = W.words(texts.slice(lo, hi - lo), W.ALNUM, lower=True)
+                starts = W.inside_runs(found.first, 3)
+                least = np.full(hi - lo, np.iinfo(np.uint64).max, W.U64)
+                np.minimum.at(least, found.doc[starts] if len(starts) else starts, W.run_hashes(found.hash, starts, 3))
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns), pa.array(least.view(np.int64))], [*batch.schema.names, "least"])
+
+    return docs.mapInArrow(scan, ", ".join(f"{c} {kinds[c]}" for c in docs.columns) + ", least bigint").dropDuplicates(["least", "y"]).drop("least")
+
+
 def log_odds(counts: DataFrame, toxic_docs: int, other_docs: int) -> DataFrame:
     """(token, weight, z) under a Dirichlet prior in proportion to the tokens' totals."""
     n1, n0 = float(toxic_docs), float(other_docs)
@@ -175,13 +195,14 @@ def _scores(docs: DataFrame, model: Model, others: list[str]) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     """Fit the token weights, the extreme-value parameters and the calibration."""
     nothing = Model(np.zeros(0, W.U64), np.zeros(0), 1.0, 1.0, np.zeros(3))
-    labelled = docs.select("doc_id", "text").join(F.broadcast(sample(labels, label, SAMPLE)), "doc_id")
+    labelled = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample(labels, label, SAMPLE)), "doc_id")
+    labelled = keep(distinct_texts(labelled))
     counting = labelled.where(F.col("fold") != CALIBRATE)
     sizes = {r["y"]: r["n"] for r in counting.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return nothing
     odds = log_odds(token_counts(counting), sizes[1.0], sizes[0.0])
-    top = odds.where((F.col("z") >= SIGNIFICANT) & (F.col("weight") > 0)).orderBy(F.desc("z"), "token").limit(TOKENS).collect()
+    top = odds.where((F.col("z") >= SIGNIFICANT) & (F.col("weight") >= LEAST)).orderBy(F.desc("z"), "token").limit(TOKENS).collect()
     keys = np.array([r["token"] for r in top], np.int64).view(W.U64)
     weights = np.array([r["weight"] for r in top])
     order = np.argsort(keys)
