@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxatlas.llm import decontamination, jaccard, packing, quality, substrings, toxicity
+from voxatlas.llm import decontamination, jaccard, packing, quality, rules, secrets, substrings, toxicity
 from voxatlas.llm.common import table
 
 
@@ -47,13 +47,31 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.evaluate(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("failed_rules")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    text = "transform({}, s -> concat_ws(':', s.kind, s.start, s.end))"
+    base = "filter(found, s -> s.kind <> 'markov')"
+    return found.select(
+        "doc_id",
+        *(F.expr(f"cast(size(filter(found, s -> s.kind = '{kind}')) as bigint)").alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(F.array_join(F.expr(text.format(base)), ","), 256).alias("base_sha256"),
+        F.array_join(F.expr(text.format("found")), ",").alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_quality_rules": op6_quality_rules,
     "op7_token_matrices": op7_token_matrices,
+    "op8_secret_scan": op8_secret_scan,
     "op9_decontamination": op9_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
