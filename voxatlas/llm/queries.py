@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxatlas.llm import decontamination, jaccard, packing, quality, rules, secrets, substrings, toxicity
+from voxatlas.llm import decontamination, jaccard, lines, packing, quality, rules, secrets, substrings, toxicity
 from voxatlas.llm.common import table
 
 
@@ -63,6 +63,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -73,5 +77,32 @@ QUERIES = {
     "op7_token_matrices": op7_token_matrices,
     "op8_secret_scan": op8_secret_scan,
     "op9_decontamination": op9_decontamination,
+    "op10_line_dedup": op10_line_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+#: DuckDB: lines with their words, earlier lines by equality or by a variant with one word left out.
+LINE_DEDUP_SQL = r"""
+with lines as (
+    select doc_id, text, pos - 1 as pos, [w for w in regexp_split_to_array(line, '[ \t\x0B\f\r]+') if w <> ''] as words, line
+    from (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)
+),
+worded as (select *, len(words) as n from lines where len(words) > 0),
+firsts as (select words, n, min((doc_id, pos)) as first from worded group by words, n),
+places as (select words, n, first, unnest(range(n)) as i from firsts where n >= 8),
+variants as (select words, n, first, i, words[:i] || words[i + 2:] as v from places),
+near as (
+    select distinct a.words from variants a join variants b on a.v = b.v and a.i = b.i and a.n = b.n and b.first < a.first
+    union select a.words from variants a join firsts b on a.v = b.words and b.n >= 8 and b.first < a.first
+    union select b.words from variants a join firsts b on a.v = b.words and b.n >= 8 and a.first < b.first
+),
+judged as (
+    select l.doc_id, l.pos, l.line, len(l.words) as n,
+        len(l.words) > 0 and (f.first <> (l.doc_id, l.pos) or l.words in (select words from near)) as gone
+    from lines l left join firsts f on l.words = f.words
+)
+select d.doc_id, case when d.text is null then null else coalesce(string_agg(j.line, chr(10) order by j.pos) filter (where not j.gone), '') end as text,
+    count(*) filter (where j.n > 0) as n_lines, count(*) filter (where j.gone) as n_removed
+from documents d left join judged j on d.doc_id = j.doc_id group by d.doc_id, d.text
+"""
+
+ORACLE_SQL = {"op10_line_dedup": LINE_DEDUP_SQL}
