@@ -221,7 +221,7 @@ def _joined(hits: DataFrame) -> DataFrame:
 def find_passages(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Which words of each document lie in benchmark windows.
 
-    Columns: doc_id, n_words, n_hit, spans (merged, in words: start and end), items
+    Columns: doc_id, row (its text's hash), n_words, n_hit, spans (merged, in words: start and end), items
     (the ids of the items with an occurring window, as sorted text) and contaminated,
     which holds where a twentieth of the words or more are hit.
     """
@@ -241,4 +241,10 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         for more in found[1:]:
             some = some.unionByName(more)
         out = _joined(some)
-    return out.select("doc_id", "n_words", "n_hit", "spans", "items", F.expr("n_hit > 0 and 20 * n_hit >= n_words").alias("contaminated"))
+    return out.select("doc_id", "row", "n_words", "n_hit", "spans", "items", F.expr("n_hit > 0 and 20 * n_hit >= n_words").alias("contaminated"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated."""
+    bad = find_passages(docs, benchmark, **options).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == bad["_row"]), "left_anti")

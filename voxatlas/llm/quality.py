@@ -139,7 +139,7 @@ def _statistics(docs: DataFrame, others: list[str], model: Model | None = None)
                 yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)).slice(lo, hi - lo) for c in others), out], [*others, name])
 
     kinds = dict(docs.dtypes)
-    return docs.select(*others, "text").mapInArrow(scan, ", ".join(f"{c} {kinds[c]}" for c in others) + (", x array<double>" if model is None else ", score double"))
+    return docs.select(*dict.fromkeys([*others, "text"])).mapInArrow(scan, ", ".join(f"{c} {kinds[c]}" for c in others) + (", x array<double>" if model is None else ", score double"))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", seed: int = 7) -> Model:
@@ -180,3 +180,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", seed: int
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``."""
     return _statistics(docs, ["doc_id"], model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, with their columns."""
+    plain = docs.toDF(*(name if name == "text" else f"_{k}" for k, name in enumerate(docs.columns)))
+    return _statistics(plain, plain.columns, model).where(F.col("score") >= threshold).drop("score").toDF(*docs.columns)
