@@ -1,0 +1 @@
+"""Every stage of the engine is a batch job; this package holds no operator."""
