@@ -75,7 +75,7 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def compacted_paths(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """(doc_id, row, anchor, content, first, edges) of every compacted path."""
+    """(doc_id, row, anchor, content, firsts, edges) of every compacted path, with all its places in a text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,18 +86,25 @@ def compacted_paths(docs: DataFrame, window: int, k: int) -> DataFrame:
                 if not len(first):
                     continue
                 doc = np.searchsorted(found.first, first, side="right") - 1
-                rows = pa.array(doc + lo)
+                # a text that repeats itself has the same path again and again: one row
+                order = np.lexsort((content, anchor, doc))
+                doc, anchor, content, first, edges = (x[order] for x in (doc, anchor, content, first, edges))
+                new = np.ones(len(doc), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+                at = np.flatnonzero(new)
+                rows = pa.array(doc[at] + lo)
+                firsts = pa.ListArray.from_arrays(pa.array(np.append(at, len(doc)).astype(np.int32)), pa.array((first - found.first[doc]).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), _signed(anchor), _signed(content), pa.array((first - found.first[doc]).astype(np.int32)), pa.array(edges.astype(np.int32))],
-                    ["doc_id", "row", "anchor", "content", "first", "edges"],
+                    [batch.column(0).take(rows), batch.column(1).take(rows), _signed(anchor[at]), _signed(content[at]), firsts, pa.array(edges[at].astype(np.int32))],
+                    ["doc_id", "row", "anchor", "content", "firsts", "edges"],
                 )
 
-    return docs.mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, row bigint, anchor bigint, content bigint, first int, edges int")
+    return docs.mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, row bigint, anchor bigint, content bigint, firsts array<int>, edges int")
 
 
 def single_edges(docs: DataFrame, paths: DataFrame, window: int) -> DataFrame:
     """(doc_id, row, anchor, edge, first) of each edge of ``paths``, read from the texts."""
-    wanted = paths.groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "edges", "anchor")).alias("paths"))
+    wanted = paths.withColumn("first", F.explode("firsts")).groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "edges", "anchor")).alias("paths"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +145,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> Da
     paths = keep(paths.join(repeated, "anchor"))
     owners = paths.groupBy("anchor", "content").agg(F.min("doc_id").alias("owner"))
     owned = keep(paths.where("branching").join(owners, ["anchor", "content"]).where("doc_id = owner").drop("owner", "content", "branching"))
-    whole = paths.join(owners, ["anchor", "content"]).where("doc_id > owner").select("doc_id", "row", F.col("first").alias("start"), (F.col("edges") + (window - 1)).alias("length"))
+    whole = paths.join(owners, ["anchor", "content"]).where("doc_id > owner").select("doc_id", "row", F.explode("firsts").alias("start"), (F.col("edges") + (window - 1)).alias("length"))
     edges = keep(single_edges(docs, owned, window))
     least = edges.groupBy("anchor", "edge").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
     single = edges.join(least, ["anchor", "edge"]).where("doc_id > least").select("doc_id", "row", F.col("first").alias("start"), F.lit(window).alias("length"))
