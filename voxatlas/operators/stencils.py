@@ -20,19 +20,18 @@ AXES = ("z", "y", "x")
 
 
 def along(voxels: DataFrame, axis: str, value) -> DataFrame:
-    """Replace v by ``value(line, i)`` along an axis, where line is the array of its values."""
+    """Replace v by ``value(line, i)`` along an axis, where line is the array of its voxels."""
     others = [a for a in AXES if a != axis]
     lines = voxels.groupBy(*others).agg(F.array_sort(F.collect_list(F.struct(axis, "v"))).alias("_line"))
-    lines = lines.select(*others, F.col(f"_line.{axis}").alias("_at"), F.col("_line.v").alias("_line"))
-    filtered = lines.select(*others, "_at", F.transform(F.sequence(F.lit(0), F.size("_line") - 1), lambda i: value(F.col("_line"), i)).alias("_new"))
-    return filtered.select(*others, F.explode(F.arrays_zip("_at", "_new")).alias("_c")).select(*others, F.col("_c._at").alias(axis), F.col("_c._new").alias("v")).select(*AXES, "v")
+    new = F.transform("_line", lambda c, i: F.struct(c[axis].alias(axis), value(F.col("_line"), i).alias("v")))
+    return lines.select(*others, F.explode(new).alias("_c")).select(*others, f"_c.{axis}", "_c.v").select(*AXES, "v")
 
 
 def mirrored(line: Column, i: Column) -> Column:
     """The value at place i of a line that is continued by its mirror images."""
     n = F.size(line)
     j = F.pmod(i, 2 * n)
-    return F.get(line, F.when(j < n, j).otherwise(2 * n - 1 - j))
+    return F.get(line, F.when(j < n, j).otherwise(2 * n - 1 - j))["v"]
 
 
 def window(size: int, mirror: bool = False) -> tuple[int, int]:
