@@ -465,13 +465,12 @@ def _erode_sql(name: str, source: str) -> str:
 
 @query(
     "binary_close_open",
-    with_(VOX, TOP, SET, STEPS, _dilate_sql("p1", "p0"), _dilate_sql("p2", "p1"), _erode_sql("p3", "p2"), _erode_sql("p4", "p3"), _erode_sql("p5", "p4"), _erode_sql("p6", "p5"), _dilate_sql("p7", "p6"), _dilate_sql("p8", "p7"))
-    + "select z::int as z, y::int as y, x::int as x from p8",
+    with_(VOX, TOP, SET, STEPS, _dilate_sql("p1", "p0"), _erode_sql("p2", "p1"), _erode_sql("p3", "p2"), _dilate_sql("p4", "p3")) + "select z::int as z, y::int as y, x::int as x from p4",
 )
 def binary_close_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     volume = fx.volume(spark, sf_dir)
     sizes = V.shape(volume)
-    return T.binary_open(T.binary_close(volume.where(F.col("v") >= LOW).select("z", "y", "x"), sizes), sizes)
+    return T.binary_open(T.binary_close(volume.where(F.col("v") >= LOW).select("z", "y", "x"), sizes, 1), sizes, 1)
 
 
 # ---- components ---------------------------------------------------------------------
