@@ -27,11 +27,13 @@ def block(row, payload: str = "payload", dtype: str = "dtype", halo: str = "halo
     return np.frombuffer(row[payload], np.dtype(row[dtype])).reshape(int(row["nz"]) + h, int(row["ny"]) + h, int(row["nx"]) + h)
 
 
-def _row(like, array: np.ndarray, halo: int) -> dict:
+def block_row(like, array: np.ndarray, halo: int) -> dict:
+    """The row of an array at the place of another row."""
     return {k: like[k] for k in KEY + PLACE} | {"halo": halo, "dtype": array.dtype.str, "payload": np.ascontiguousarray(array).tobytes()}
 
 
-def _frame(rows: list[dict]) -> pd.DataFrame:
+def frame(rows: list[dict]) -> pd.DataFrame:
+    """Rows of a chunk table."""
     return pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
@@ -44,7 +46,7 @@ def from_voxels(voxels: DataFrame, sizes: Shape, chunk: Shape = (64, 64, 64), dt
         size = [min(c, n - s) for c, n, s in zip(chunk, sizes, start, strict=True)]
         array = np.zeros(size, np.dtype(dtype))
         array[tuple(part[a].to_numpy() - s for a, s in zip(AXES, start, strict=True))] = part["v"].to_numpy()
-        return _frame([_row(dict(zip(KEY + PLACE, [*key, *start, *size], strict=True)), array, 0)])
+        return frame([block_row(dict(zip(KEY + PLACE, [*key, *start, *size], strict=True)), array, 0)])
 
     return keyed.groupBy(*KEY).applyInPandas(gather, SCHEMA)
 
@@ -53,8 +55,8 @@ def to_voxels(chunks: DataFrame, zeros: bool = True) -> DataFrame:
     """The core voxels of each chunk."""
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.to_dict("records"):
+        for part in frames:
+            for row in part.to_dict("records"):
                 h = int(row["halo"])
                 core = block(row)[tuple(slice(h, h + int(row[n])) for n in PLACE[3:])]
                 at = np.indices(core.shape).reshape(3, -1)
@@ -70,9 +72,9 @@ def map_blocks(chunks: DataFrame, f: Callable[[np.ndarray], np.ndarray]) -> Data
     """``f`` of every block, halo included; the shape stays."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.to_dict("records"):
-                yield _frame([_row(row, f(block(row)), int(row["halo"]))])
+        for part in frames:
+            for row in part.to_dict("records"):
+                yield frame([block_row(row, f(block(row)), int(row["halo"]))])
 
     return chunks.mapInPandas(run, SCHEMA)
 
@@ -87,8 +89,8 @@ def add_halo(chunks: DataFrame, sizes: Shape, chunk: Shape, depth: int) -> DataF
         return chunks
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.to_dict("records"):
+        for part in frames:
+            for row in part.to_dict("records"):
                 array = block(row)
                 low = [int(row[f"{a}0"]) for a in AXES]
                 high = [s + n for s, n in zip(low, array.shape, strict=True)]
@@ -100,7 +102,7 @@ def add_halo(chunks: DataFrame, sizes: Shape, chunk: Shape, depth: int) -> DataF
                     if all(p < q for p, q in box):
                         part = array[tuple(slice(p - s, q - s) for (p, q), s in zip(box, low, strict=True))]
                         place = dict(zip(KEY + PLACE, [*to, *(p for p, _ in box), *part.shape], strict=True))
-                        yield _frame([_row(place, part, 0)])
+                        yield frame([block_row(place, part, 0)])
 
     def assemble(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         start = [int(k) * c for k, c in zip(key, chunk, strict=True)]
@@ -113,7 +115,7 @@ def add_halo(chunks: DataFrame, sizes: Shape, chunk: Shape, depth: int) -> DataF
             array[tuple(slice(int(row[f"{a}0"]) - s, int(row[f"{a}0"]) - s + n) for a, s, n in zip(AXES, low, part.shape, strict=True))] = part
         pad = [(depth - (s - l), depth - (h - s - k)) for s, l, h, k in zip(start, low, high, size, strict=True)]
         array = np.pad(array, pad, mode="symmetric")
-        return _frame([_row(dict(zip(KEY + PLACE, [*key, *start, *size], strict=True)), array, depth)])
+        return frame([block_row(dict(zip(KEY + PLACE, [*key, *start, *size], strict=True)), array, depth)])
 
     return chunks.mapInPandas(send, SCHEMA).groupBy(*KEY).applyInPandas(assemble, SCHEMA)
 
@@ -122,10 +124,10 @@ def trim_halo(chunks: DataFrame) -> DataFrame:
     """Every block without its halo."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.to_dict("records"):
+        for part in frames:
+            for row in part.to_dict("records"):
                 h = int(row["halo"])
-                yield _frame([_row(row, block(row)[tuple(slice(h, h + int(row[n])) for n in PLACE[3:])], 0)])
+                yield frame([block_row(row, block(row)[tuple(slice(h, h + int(row[n])) for n in PLACE[3:])], 0)])
 
     return chunks.mapInPandas(cut, SCHEMA)
 
@@ -146,8 +148,8 @@ def blocks_to_table(zipped: DataFrame, names: list[str], f: Callable[..., dict[s
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.to_dict("records"):
+        for part in frames:
+            for row in part.to_dict("records"):
                 out = pd.DataFrame(f(*(block(row, f"{n}_payload", f"{n}_dtype", f"{n}_halo") for n in names)))
                 for a in AXES:
                     out[a] = out[a] + int(row[f"{a}0"])

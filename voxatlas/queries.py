@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from voxatlas import fixtures as fx
 from voxatlas.operators import cells as C
+from voxatlas.operators import chunks as B
 from voxatlas.operators import combine as K
+from voxatlas.operators import kernels as N
 from voxatlas.operators import masks as M
 from voxatlas.operators import ontology as O
 from voxatlas.operators import rasters as R
@@ -512,3 +514,49 @@ def label_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("first_voxel_per_label", with_(VOX, *REACH, recursive=True) + "select dense_rank() over (order by c) as label, (c // 64)::int as z, (c // 8 % 8)::int as y, (c % 8)::int as x, volume, sum_intensity from (select c, count(*) as volume, sum(v)::bigint as sum_intensity from p join comp using (i) group by c)")
 def first_voxel_per_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.first_voxels(_labels(spark, sf_dir).join(fx.volume(spark, sf_dir), ["z", "y", "x"]))
+
+
+# ---- blocks -------------------------------------------------------------------------
+
+CHUNK = (32, 4, 4)
+
+
+@query("halo_overlap_trim", with_(VOX) + "select z, y, x, v from vox")
+def halo_overlap_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    volume = fx.volume(spark, sf_dir)
+    sizes = V.shape(volume)
+    return B.to_voxels(B.trim_halo(B.add_halo(B.from_voxels(volume, sizes, CHUNK), sizes, CHUNK, 5)))
+
+
+@query("max_filter_blocks", with_(VOX, TOP, *_window_sql("m", "vox", 4, "max")) + "select z, y, x, v from mx")
+def max_filter_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as over lines of voxels, but a block and its halo at a time."""
+    volume = fx.volume(spark, sf_dir)
+    sizes = V.shape(volume)
+    halo = B.add_halo(B.from_voxels(volume, sizes, CHUNK), sizes, CHUNK, 3)
+    return B.to_voxels(B.map_blocks(halo, lambda block: N.max_filter(block, 4)))
+
+
+@query("watershed_cells")
+def watershed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells by watershed, in one pass over blocks; SQL has no flooding in order."""
+    volume = fx.volume(spark, sf_dir)
+    sizes, depth = V.shape(volume), 4
+    raw = B.from_voxels(volume, sizes, CHUNK)
+    halo = B.add_halo(raw, sizes, CHUNK, depth)
+
+    def cells(core, block):
+        mask = block >= 1000
+        return N.cells(core, block, N.local_maxima(block, 4, mask), mask, depth)
+
+    return B.blocks_to_table(B.zip_blocks({"raw": raw, "halo": halo}), ["raw", "halo"], cells, "label bigint, z bigint, y bigint, x bigint, count bigint, volume bigint, sum_intensity double")
+
+
+@query("points_text_roundtrip", with_(CELLS) + "select z::double as z, y::double as y, x::double as x, count(*) as n from cells group by all")
+def points_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points as lines of a tool's output, and parsed again."""
+    from voxatlas.sources.points import parse_output_points, point_lines
+
+    lines = point_lines(fx.cells(spark, sf_dir).select(F.lit(0).alias("cell_id"), *C.AXES))
+    given = lines.select(F.concat(F.lit("Point\t7\t; InputIndex = [ 0 0 0 ]\t; OutputPoint = [ "), "line", F.lit(" ]\t; Deformation = [ 0 0 0 ]")).alias("value"))
+    return parse_output_points(given).groupBy("z", "y", "x").agg(F.count("*").alias("n"))
