@@ -13,16 +13,19 @@ Which blocks take part is decided by content alone, in a way that loses no link.
 block of fewer than ``LEAST`` shingles says little and is left out whenever the blocks
 that stay outnumber the possible differences: then a staying block is equal, and the
 partner keeps it too.  A set for which they don't is dealt again, by another hash, as
-often as needed; the last time all its blocks stay.  By the same argument a block
-that very many sets share is left out for each set whose other blocks outnumber its
-possible differences.
-
-Sets of equal content are one class.  Classes that share a block are verified on
-their texts: first against one pivot of the block, which settles a group of copies in
-as many pairs as it has members; then, where a block still holds several components,
-across the components.  Turns of pivots repeat while many such pairs are left, and
-what is left is verified in full.  No group is cut, and none is expanded inside a
-component.
+often as needed; the last time all its blocks stay.
+
+Sets of equal content are one class.  In each shared block the pivot, the set whose
+blocks are shared the most, is compared with every other on the texts; what links forms
+components.  Where a block still holds several components, its sets are compared with
+one reference, the component's set whose blocks are shared the most.  Two sets of
+different components, so not both linked to the reference, can link only if they
+differ from it in the same shingles: with x and y shingles between them and the
+reference, their distance is x + y less twice the overlap of those.  The bound on the
+overlap leaves few of them, by a common order, to be joined on (a prefix filter), with
+those that the reference lacks first, as changes of one's own seldom recur.  What they
+find is verified on the texts too.  So a group of near copies costs its size: no pair
+is formed for sharing a block or a reference alone.
 
 Defined results: a null or empty text has no shingles, is linked with nothing and is
 its own component; a null id gets the component of its text's other copies, if any;
@@ -45,14 +48,10 @@ from voxatlas.llm.components import components
 
 #: Turns of dealing a set to blocks; in the last, all blocks take part.
 TURNS = 8
-#: From this many sets on, a block counts as common.
-COMMON = 64
 #: Shingles that a block needs, for bands of large and of small sets.
 LEAST, LEAST_SMALL, SMALL = 3, 2, 31
 #: Blocks for each possible difference, over the one that is needed.
 SLACK = 1.3
-#: Pairs across components that may be left for each row of a shared block.
-PAIRS_PER_ROW = 4
 
 
 class Bands:
@@ -122,7 +121,7 @@ def sketch(hashes: np.ndarray, band: int, turn: int, blocks: int) -> tuple[np.nd
 
 
 def roles_of(hashes: np.ndarray, bands: Bands) -> list[dict]:
-    """A set's blocks for each band: what can differ, and the join keys of the blocks that take part."""
+    """For each band that a set is in: the join keys of the blocks that take part."""
     out = []
     size = len(hashes)
     most = bands.differences(size)
@@ -135,7 +134,7 @@ def roles_of(hashes: np.ndarray, bands: Bands) -> list[dict]:
             if last:
                 stay = np.arange(blocks)
             where = W.U64(band << 40 | turn << 32) + stay.astype(W.U64)
-            out.append({"role": band * TURNS + turn, "most": most, "blocks": len(stay), "keys": W.mix(words[stay] ^ W.mix(where)).view(np.int64).tolist()})
+            out.append({"role": band * TURNS + turn, "keys": W.mix(words[stay] ^ W.mix(where)).view(np.int64).tolist()})
             if last or len(stay) > most:
                 break
     return out
@@ -144,7 +143,7 @@ def roles_of(hashes: np.ndarray, bands: Bands) -> list[dict]:
 def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, x, y, roles): x and y identify the shingle set."""
     kind = dict(docs.dtypes)["doc_id"]
-    roles_type = pa.list_(pa.struct([("role", pa.int32()), ("most", pa.int32()), ("blocks", pa.int32()), ("keys", pa.list_(pa.int64()))]))
+    roles_type = pa.list_(pa.struct([("role", pa.int32()), ("keys", pa.list_(pa.int64()))]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
@@ -161,46 +160,68 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     ["doc_id", "n_shingles", "x", "y", "roles"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n_shingles bigint, x bigint, y bigint, roles array<struct<role: int, most: int, blocks: int, keys: array<bigint>>>")
+    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n_shingles bigint, x bigint, y bigint, roles array<struct<role: int, keys: array<bigint>>>")
+
+
+def _paired(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts reach the similarity, by their shingle sets."""
+def _pair_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array, int, int]]:
+    left, right = W.column(batch, "text_a"), W.column(batch, "text_b")
+    ends = np.concatenate([[0], np.cumsum(np.diff(W.offsets(left)) + np.diff(W.offsets(right)))])
+    lo = 0
+    while lo < len(left):
+        hi = min(len(left), max(lo + 1, int(np.searchsorted(ends, ends[lo] + W.CHUNK_BYTES, side="right")) - 1))
+        yield left.slice(lo, hi - lo), right.slice(lo, hi - lo), lo, hi
+        lo = hi
+
+
+def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Every pair (a, b) with whether it links, and b's differences from a.
+
+    ``changes`` has the differing shingles that b may have to be joined on: ``few`` of
+    them towards sets that are not linked with a, and ``many`` if b itself is not.
+    """
     kind = dict(pairs.dtypes)["a"]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(percent)
         for batch in batches:
-            left, right = W.column(batch, "text_a"), W.column(batch, "text_b")
-            bytes_ = pa.array(np.diff(W.offsets(left)) + np.diff(W.offsets(right)))
-            ends = np.concatenate([[0], np.cumsum(bytes_.to_numpy())])
-            lo = 0
-            while lo < len(left):
-                hi = min(len(left), max(lo + 1, int(np.searchsorted(ends, ends[lo] + W.CHUNK_BYTES, side="right")) - 1))
-                keyed, sizes, whose = [], [], None
-                for side in (left, right):
-                    first, hashes = shingle_sets(side.slice(lo, hi - lo), size)
-                    pair = np.repeat(np.arange(hi - lo), np.diff(first))
-                    keyed.append(W.mix(hashes + W.mix(pair.astype(W.U64) + W.U64(1))))
-                    sizes.append(np.diff(first))
-                    whose = pair if whose is None else whose
-                common = np.bincount(whose[np.isin(keyed[0], keyed[1])], minlength=hi - lo)
-                linked = np.flatnonzero(100 * common >= percent * (sizes[0] + sizes[1] - common)) + lo
-                yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(linked)) for k in (0, 1)], ["a", "b"])
-                lo = hi
-
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(check, f"a {kind}, b {kind}")
-
+            for left, right, lo, hi in _pair_slices(batch):
+                n = hi - lo
+                (first_a, a), (first_b, b) = shingle_sets(left, size), shingle_sets(right, size)
+                pair_a, pair_b = np.repeat(np.arange(n), np.diff(first_a)), np.repeat(np.arange(n), np.diff(first_b))
+                key_a, key_b = (W.mix(h + W.mix(p.astype(W.U64) + W.U64(1))) for h, p in ((a, pair_a), (b, pair_b)))
+                only_a, only_b = ~np.isin(key_a, key_b), ~np.isin(key_b, key_a)
+                size_a, size_b = np.diff(first_a), np.diff(first_b)
+                apart = np.bincount(pair_a[only_a], minlength=n) + np.bincount(pair_b[only_b], minlength=n)
+                linked = (100 + percent) * apart <= (100 - percent) * (size_a + size_b)
+                most = np.array([bands.differences(k) for k in size_b.tolist()], np.int64)
+                overlap = np.maximum((apart * (100 + percent) + (100 - percent) * (size_a - size_b)) // (2 * (100 + percent)) + 1, apart - most)
+                few = np.clip(apart - overlap + 1, 0, apart)
+                many = np.where(linked, 0, np.minimum(apart, most + 1))
+                # in one order for all: those that a lacks first, then by hash
+                pair = np.concatenate([pair_b[only_b], pair_a[only_a]])
+                shingle = np.concatenate([b[only_b], a[only_a]])
+                order = np.lexsort((shingle, np.repeat([0, 1], [only_b.sum(), only_a.sum()]), pair))
+                shingle, at = shingle[order].view(np.int64), np.concatenate([[0], np.cumsum(apart)])
+                wanted = np.maximum(few, many)
+                taken = shingle[W.ranges(at[:-1], wanted)]
+                changes = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(wanted)]).astype(np.int32)), pa.array(taken))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(linked), pa.array(size_b), pa.array(few), pa.array(many), changes],
+                    ["a", "b", "linked", "n", "few", "many", "changes"],
+                )
 
-def _pairs(left, right) -> list:
-    return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
+    return _paired(pairs, texts).mapInArrow(check, f"a {kind}, b {kind}, linked boolean, n bigint, few bigint, many bigint, changes array<bigint>")
 
 
-def _may_link(percent: int):
-    """Whether two sizes allow the similarity at all."""
-    return F.least("n", "n_p") * 100 >= F.greatest("n", "n_p") * percent
+def linked_pairs(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose texts reach the similarity."""
+    return compared(pairs, texts, size, percent).where("linked").select("a", "b")
 
 
 def linked_components(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
@@ -210,60 +231,39 @@ def linked_components(docs: DataFrame, *, size: int = 5, percent: int = 80) -> D
     distinct ``size``-word shingles; a component's id is its least doc_id.
     """
     made = keep(sketches(docs, size, percent))
-    classes = made.where("n_shingles > 0").groupBy("n_shingles", "x", "y").agg(F.min("doc_id").alias("first"))
+    # written, so that the joins below read plain shuffles, which are split where a class is large
+    classes = keep(made.where("n_shingles > 0").groupBy("n_shingles", "x", "y").agg(F.min("doc_id").alias("first")))
     leads = classes.select(F.col("first").alias("doc_id"), "n_shingles", "x", "y")
-    blocks = (
-        made.where("size(roles) > 0")
-        .join(leads, ["doc_id", "n_shingles", "x", "y"])
-        .select("doc_id", F.col("n_shingles").alias("n"), F.explode("roles").alias("r"))
-        .select("doc_id", "n", "r.role", "r.most", "r.blocks", F.explode("r.keys").alias("key"))
-    )
-    shared = blocks.groupBy("key").agg(F.count("*").alias("sets"), F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest")).where("least < greatest").select("key", "sets")
+    blocks = made.where("size(roles) > 0").join(leads, ["doc_id", "n_shingles", "x", "y"]).select("doc_id", F.explode("roles.keys").alias("keys")).select("doc_id", F.explode("keys").alias("key"))
+    shared = blocks.groupBy("key").agg(F.count("*").alias("sets"), F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("key", "sets")
     rows = keep(blocks.join(shared, "key"))
-    common = rows.where(F.col("sets") > COMMON).groupBy("doc_id", "role", F.col("most").alias("can"), F.col("blocks").alias("had")).agg(F.count("*").alias("lost"))
-    settled = common.where("had - lost > can").select("doc_id", "role", F.lit(True).alias("settled"))
-    rows = keep(rows.join(settled, ["doc_id", "role"], "left").where((F.col("sets") <= COMMON) | F.col("settled").isNull()).select("key", "doc_id", "n"))
-
-    texts = keep(docs.select("doc_id", "text").join(rows.select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"]))
-    total = rows.count()
-    links, labels, left, turn = None, None, None, 0
-    while True:
-        if labels is None:
-            at = rows.withColumn("component", F.col("doc_id"))
-        else:
-            at = rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        per = at.groupBy("key", "component").agg(F.count("*").alias("k"))
-        open_ = per.groupBy("key").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("own"), F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2")
-        at = keep(at.join(open_, "key"))
-        pairs_left = at.agg(F.sum((F.col("all") - F.col("own") / F.col("all")) / 2)).head()[0] or 0
-        if pairs_left == 0:
-            break
-        finish = turn > 0 and (pairs_left <= PAIRS_PER_ROW * total or left is not None and pairs_left > 0.9 * left)
-        if finish:
-            # every pair across components that shares an open block
-            one = at.select("key", "component", "doc_id", "n")
-            two = at.select("key", F.col("component").alias("c_p"), F.col("doc_id").alias("p"), F.col("n").alias("n_p"))
-            across = one.join(two, "key").where("component < c_p")
-        else:
-            # one pivot a block, another one each turn
-            rank = F.struct(F.xxhash64("doc_id", F.lit(turn)) if turn else F.lit(0), "doc_id", "n", "component")
-            pivots = at.groupBy("key").agg(F.min(rank).alias("v")).select("key", F.col("v.doc_id").alias("p"), F.col("v.n").alias("n_p"), F.col("v.component").alias("c_p"))
-            across = at.join(pivots, "key").where("component <> c_p")
-        pairs = across.where(_may_link(percent)).select(*_pairs("doc_id", "p")).distinct()
-        found = keep(verified(pairs, texts, size, percent))
-        links = found if links is None else links.unionAll(found)
-        if found.isEmpty():
-            if finish:
-                break
-        else:
-            labels = components(links)
-        if finish:
-            break
-        left, turn = pairs_left, turn + 1
+    # of a group of copies, the set nearest to all has the most blocks in common
+    weight = keep(rows.groupBy("doc_id").agg(F.sum("sets").alias("weight")))
+    centre = F.max(F.struct("weight", (-F.col("doc_id")).alias("least"), "doc_id"))
+    rows = keep(rows.select("key", "doc_id").join(weight, "doc_id"))
+    pivots = rows.groupBy("key").agg(centre.alias("c")).select("key", F.col("c.doc_id").alias("a"))
+    stars = keep(rows.join(pivots, "key").where("doc_id <> a").select("key", "a", F.col("doc_id").alias("b")))
+    texts = keep(docs.select("doc_id", "text").join(weight.select("doc_id"), "doc_id").dropDuplicates(["doc_id"]))
+    links = keep(linked_pairs(stars.select("a", "b").distinct(), texts, size, percent))
+    labels = components(links)
+
+    of = labels.select(F.col("node").alias("doc_id"), "component")
+    member = weight.join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    references = member.groupBy("component").agg(centre.alias("c")).select("component", F.col("c.doc_id").alias("reference"))
+    member = keep(member.join(references, "component"))
+    at = stars.join(member.select(F.col("doc_id").alias("b"), F.col("component").alias("cb")), "b").join(member.select(F.col("doc_id").alias("a"), F.col("component").alias("ca"), "reference"), "a")
+    open_ = at.groupBy("key").agg(F.max((F.col("ca") != F.col("cb")).cast("int")).alias("open")).where("open = 1").select("key")
+    sets = keep(at.join(open_, "key").select("reference", F.explode(F.array("a", "b")).alias("b")).where("reference <> b").distinct())
+    tested = keep(compared(sets.select(F.col("reference").alias("a"), "b"), texts, size, percent).join(member.select(F.col("doc_id").alias("b"), "component"), "b"))
+    changes = tested.select(F.col("a").alias("reference"), "b", "component", "n", "few", "many", F.posexplode("changes").alias("k", "shingle"))
+    one = changes.where("k < many").select("reference", "shingle", "b", "component", "n")
+    two = changes.where("k < few").select("reference", "shingle", F.col("b").alias("b2"), F.col("component").alias("component2"), F.col("n").alias("n2"))
+    near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
+    across = one.join(two, ["reference", "shingle"]).where((F.col("component") != F.col("component2")) & near).select(F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b")).distinct()
+    more = keep(tested.where("linked").select("a", "b").unionAll(linked_pairs(across, texts, size, percent)))
+    if not more.isEmpty():
+        labels = components(links.unionAll(more))
 
     out = made.where("n_shingles > 0").select("doc_id", "n_shingles", "x", "y").join(classes, ["n_shingles", "x", "y"])
-    if labels is None:
-        out = out.select("doc_id", "n_shingles", F.col("first").alias("component_id"))
-    else:
-        out = out.join(labels, F.col("first") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "first").alias("component_id"))
+    out = out.join(labels, F.col("first") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "first").alias("component_id"))
     return out.unionByName(made.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
