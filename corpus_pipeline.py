@@ -7,36 +7,60 @@ columns of ``documents``, with n_chars following the text.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxatlas.llm import decontamination, jaccard, lines, packing, quality
-from voxatlas.llm.common import keep, table
+from voxatlas.llm.common import drop, keep, kept, table
+
+#: Tables that the last stage called has kept; its rows are written when the next one is called.
+_USED: list[str] = []
+
+
+def _stage(f):
+    """A stage that first drops what the stage before it kept."""
+
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop(spark, _USED)
+        with kept() as paths:
+            out = f(spark, docs, sf_dir)
+        _USED.extend(paths)
+        return out
+
+    return run_stage
 
 
+@_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.accepted(docs, model)
 
 
+@_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier one has; those that keep no line go."""
     out = lines.dedup_lines(docs).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
+@_stage
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near copies."""
     linked = jaccard.linked_components(docs, size=5, percent=80)
     return docs.join(linked.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
+@_stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with benchmark passages."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes in the packed sequences."""
     return packing.pack(docs)

@@ -11,9 +11,13 @@ within the bound exactly if a variant of both is equal at the same place (a
 substitution) or a variant of one is the other (an insertion or deletion).  A variant's
 key is an XOR of hashes of words with their places, so that all variants of a line come
 from two running XORs.  Before that, lines that cannot have a partner are put aside:
-one edit leaves the first or the last half of a line as it was, so only lines that share
-a half with another one emit variants.  Each group of equal variants is compared with
-its earliest line alone, and every such pair is verified word by word.
+one edit leaves a half of a line, at its beginning or its end, as it was, so only lines
+that share such a half with another one emit variants, and only for places in the rest.
+Each group of equal variants is compared with its earliest line alone, and every such
+pair is verified word by word.
+
+Texts are shuffled only where a line is looked at again or goes: the documents in
+question are told apart before the shuffle by a filter of fixed size.
 
 Defined results: a null text stays null; lines without words stay and are not counted;
 a text whose lines all go becomes empty; rows with a null doc_id are left as they are
@@ -24,61 +28,86 @@ that n_lines and n_removed are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxatlas.llm.common import keep
+from voxatlas.llm.common import keep, maybe_among
 
 #: Words that two lines need to be near rather than equal.
 NEAR_WORDS = 8
-_BLANK = "[ \\t\\x0B\\f\\r]+"
-_SPACE = " \t\x0b\x0c\r"
 
 
-def _words(line):
-    return F.filter(F.split(line, _BLANK), lambda w: w != "")
+def _plain(line: Column) -> Column:
+    """The words of a line, one blank between two; most lines are written so already."""
+    odd = line.startswith(" ") | line.endswith(" ")
+    for c in ("  ", "\t", "\x0b", "\f", "\r"):
+        odd = odd | line.contains(c)
+    return F.when(odd, F.trim(F.regexp_replace(line, "[ \\t\\x0B\\f\\r]+", " "))).otherwise(line)
+
+
+def _half_sizes() -> str:
+    """Sizes of the halves of a line of n words: for partners as long or longer, and for shorter ones.
+
+    A size stays the same over four lengths, so that few lines need two.
+    """
+    return "if(n % 4 = 0, array(n div 4 * 2, n div 4 * 2 - 2), array(n div 4 * 2))"
 
 
 def line_table(docs: DataFrame, near_words: int) -> DataFrame:
-    """(doc_id, row, pos, n, x, y, halves) of each line with words; x and y identify it."""
+    """(doc_id, row, pos, n, x, y, halves) of each line with words; x and y identify it.
+
+    ``halves`` are the hashes of the first and last words, for each size of half in turn.
+    """
     lines = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    words = lines.select("doc_id", "row", "pos", _words("line").alias("words")).where("size(words) > 0").withColumn("n", F.size("words"))
+    words = lines.select("doc_id", "row", "pos", _plain(F.col("line")).alias("line")).where("line <> ''").withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "))) + 1)
 
-    def half(end: str, size: str) -> str:
-        part = f"slice(words, 1, {size})" if end == "first" else f"slice(words, n - {size} + 1, {size})"
-        return f"xxhash64('{end}', {size}, {part})"
+    def halves(size: str) -> str:
+        return f"xxhash64('first', {size}, substring_index(line, ' ', {size})), xxhash64('last', {size}, substring_index(line, ' ', -({size})))"
 
-    halves = ", ".join(half(end, size) for size in ("n div 2", "(n - 1) div 2") for end in ("first", "last"))
-    return words.select("doc_id", "row", "pos", "n", F.xxhash64("words").alias("x"), F.xxhash64(F.lit("y"), "words").alias("y"), F.expr(f"if(n >= {near_words}, array_distinct(array({halves})), cast(array() as array<bigint>))").alias("halves"))
+    long, short = halves("n div 4 * 2"), halves("n div 4 * 2 - 2")
+    found = F.expr(f"case when n < {near_words} then cast(array() as array<bigint>) when n % 4 = 0 and n > {near_words} then array({long}, {short}) else array({long}) end")
+    return words.select("doc_id", "row", "pos", "n", F.xxhash64("line").alias("x"), F.xxhash64(F.lit("y"), "line").alias("y"), found.alias("halves"))
 
 
 def _candidates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(x, y, first, n, words) of the distinct lines that share a half with another one."""
-    halves = distinct.select("x", "y", "first", F.explode("halves").alias("half"))
+    """(x, y, first, n, words, head, tail) of the distinct lines that share a half with another one.
+
+    Variants are needed from place ``head`` on and before place ``tail``.
+    """
+    halves = distinct.select("x", "y", "n", F.posexplode("halves").alias("k", "half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("lines")).where("lines > 1").select("half")
-    some = halves.join(shared, "half").select("x", "y", "first").distinct()
-    wanted = some.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")).agg(F.collect_list(F.struct(F.col("first.pos").alias("pos"), "x", "y", "first")).alias("wanted"))
-    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), "text").join(wanted, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
-    lines = texts.select(F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("l")).select("l.x", "l.y", "l.first", _words(F.col("lines")[F.col("l.pos")]).alias("words"))
-    return lines.withColumn("n", F.size("words"))
+    size = F.expr("n div 4 * 2 - if(k > 1, 2, 0)")
+    some = halves.join(shared, "half").groupBy("x", "y").agg(F.min(F.when(F.col("k") % 2 == 0, size)).alias("head"), F.min(F.when(F.col("k") % 2 == 1, size)).alias("tail"))
+    some = keep(some.join(distinct.select("x", "y", "first"), ["x", "y"]))
+    wanted = some.select(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.pos").alias("pos"), "x", "y", "head", "tail")
+    texts = maybe_among(docs.select("doc_id", F.xxhash64("text").alias("row"), "text"), F.struct("doc_id", "row"), wanted, F.struct("doc_id", "row")).where("_maybe").drop("_maybe").dropDuplicates(["doc_id", "row"])
+    lines = texts.join(wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("pos", "x", "y", "head", "tail")).alias("wanted")), ["doc_id", "row"])
+    lines = lines.select("doc_id", "row", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("l"))
+    words = F.split(_plain(F.col("lines")[F.col("l.pos")]), " ")
+    return lines.select("l.x", "l.y", F.struct("doc_id", "row", "l.pos").alias("first"), "l.head", "l.tail", words.alias("words")).withColumn("n", F.size("words"))
 
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(x, y) of the distinct lines that have an earlier line one edit away."""
     lines = keep(_candidates(docs, distinct))
-    places = lines.select("x", "y", "first", "n", F.posexplode("words").alias("at", "word"))
+    places = lines.select("x", "y", "n", "head", "tail", F.posexplode("words").alias("at", "word"))
     line = "partition by x, y"
     before = F.expr(f"coalesce(bit_xor(xxhash64(word, at)) over ({line} order by at rows between unbounded preceding and 1 preceding), 0L)")
     after = F.expr(f"bit_xor(xxhash64(word, at - 1)) over ({line}) ^ bit_xor(xxhash64(word, at - 1)) over ({line} order by at rows between unbounded preceding and current row)")
     whole = F.expr(f"bit_xor(xxhash64(word, at)) over ({line})")
-    variants = keep(places.select("x", "y", "first", "n", "at", whole.alias("whole"), before.alias("before"), after.alias("after")).select("x", "y", "first", "n", "at", "whole", F.expr("before ^ after").alias("variant")))
-
-    earliest = variants.groupBy("n", "at", "variant").agg(F.min(F.struct("first", "x", "y")).alias("e"), F.count("*").alias("lines")).where("lines > 1").select("n", "at", "variant", "e")
-    replaced = variants.join(earliest, ["n", "at", "variant"]).where("e.first < first").select("x", "y", "e.x", "e.y").toDF("x", "y", "ex", "ey")
-
-    shorter = variants.where("at = 0").select(F.col("n").alias("m"), F.col("whole").alias("variant"), F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("first").alias("s_first"))
-    longer = variants.select((F.col("n") - 1).alias("m"), "variant", "x", "y", "first")
-    grown = longer.join(shorter, ["m", "variant"])
+    hashed = places.select("x", "y", "n", "at", "head", "tail", whole.alias("whole"), before.alias("before"), after.alias("after"))
+    variant = F.when((F.col("at") >= F.col("head")) | (F.col("at") < F.col("n") - F.col("tail")), F.struct("at", F.expr("before ^ after").alias("h")))
+    line_itself = F.when(F.col("at") == 0, F.struct(F.lit(-1).alias("at"), F.col("whole").alias("h")))
+    keys = keep(hashed.select("x", "y", "n", F.explode(F.array_compact(F.array(variant, line_itself))).alias("v")).select("x", "y", "n", "v.at", "v.h"))
+
+    # equal keys of different lines; of a line that repeats its words one place is enough
+    equal = keys.groupBy("h").agg(F.min("x").alias("a"), F.max("x").alias("b")).where("a <> b").select("h")
+    met = keep(keys.join(equal, "h").join(lines.select("x", "y", "first"), ["x", "y"]))
+
+    group = met.where("at >= 0").groupBy("n", "at", "h").agg(F.min(F.struct("first", "x", "y")).alias("e"))
+    replaced = met.join(group, ["n", "at", "h"]).where("e.first < first").select("x", "y", "e.x", "e.y").toDF("x", "y", "ex", "ey")
+    shorter = met.where("at < 0").select("h", F.col("n").alias("m"), F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("first").alias("s_first"))
+    grown = met.where("at >= 0").withColumn("m", F.col("n") - 1).join(shorter, ["h", "m"])
     later = grown.where("s_first < first").select("x", "y", F.col("sx").alias("ex"), F.col("sy").alias("ey"))
     sooner = grown.where("first < s_first").groupBy("sx", "sy").agg(F.min(F.struct("first", "x", "y")).alias("e")).select("sx", "sy", "e.x", "e.y").toDF("x", "y", "ex", "ey")
 
@@ -88,7 +117,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return both.where(_one_edit("words", "others")).select("x", "y").distinct()
 
 
-def _one_edit(a: str, b: str):
+def _one_edit(a: str, b: str) -> Column:
     """Whether two word arrays are at most one word's edit apart: their equal ends leave one word at most."""
     longest = f"greatest(size({a}), size({b}))"
 
@@ -101,20 +130,23 @@ def _one_edit(a: str, b: str):
 def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """(doc_id, row, pos) of the lines that go."""
     lines = keep(line_table(docs, near_words))
-    distinct = keep(lines.groupBy("x", "y").agg(F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.any_value("halves").alias("halves"), F.count("*").alias("times")))
-    equal = lines.select("doc_id", "row", "pos", "x", "y").join(distinct.where("times > 1").select("x", "y", "first"), ["x", "y"]).where(F.struct("doc_id", "row", "pos") != F.col("first")).select("doc_id", "row", "pos")
-    near = lines.join(near_lines(docs, distinct), ["x", "y"]).select("doc_id", "row", "pos")
-    return equal.unionAll(near)
+    distinct = keep(lines.groupBy("x", "y").agg(F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.any_value("n").alias("n"), F.any_value("halves").alias("halves"), F.count("*").alias("times")))
+    near = near_lines(docs, distinct).withColumn("near", F.lit(True))
+    going = keep(distinct.where("times > 1").select("x", "y", "first").join(near, ["x", "y"], "full"))
+    met = lines.select("doc_id", "row", "pos", "x", "y").join(going, ["x", "y"])
+    return met.where(F.col("near") | (F.struct("doc_id", "row", "pos") != F.col("first"))).select("doc_id", "row", "pos")
 
 
 def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """``docs`` with the lines that go taken out of the text, and n_lines, n_removed."""
-    gone = removed_lines(docs.select("doc_id", "text"), near_words).groupBy("doc_id", "row").agg(F.collect_set("pos").alias("_gone"))
+    gone = keep(removed_lines(docs.select("doc_id", "text"), near_words).groupBy("doc_id", "row").agg(F.collect_set("pos").alias("_gone")))
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    key = gone.toDF("_id", "_row", "_gone")
-    joined = docs.select(*names).join(key, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_row")), "left")
-    split = F.split("text", "\n", -1)
-    left = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.expr("array_join(transform(array_except(sequence(0, size(split(text, '\\n', -1)) - 1), _gone), i -> _lines[i]), '\\n')"))
-    counted = joined.withColumn("_lines", split)
-    n_lines = F.size(F.filter(F.coalesce("_lines", F.array().cast("array<string>")), lambda x: F.translate(x, _SPACE, "") != ""))
-    return counted.select(*(left.alias(c) if c == "text" else c for c in names), n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
+    # names of other columns may be those used here
+    packed = docs.select("doc_id", "text", F.xxhash64("text").alias("row"), F.struct(*names).alias("_all"))
+    marked = maybe_among(packed, F.struct("doc_id", "row"), gone, F.struct("doc_id", "row"))
+    shuffled = marked.where("_maybe").join(gone, ["doc_id", "row"], "left").select("text", "_all", "_gone")
+    rows = shuffled.unionByName(marked.where("not _maybe").select("text", "_all", F.lit(None).cast("array<int>").alias("_gone")))
+    left = F.expr("case when _gone is null then text else array_join(transform(array_except(sequence(0, size(split(text, '\\n', -1)) - 1), _gone), i -> _lines[i]), '\\n') end")
+    counted = rows.withColumn("_lines", F.split("text", "\n", -1))
+    n_lines = F.size(F.filter(F.coalesce("_lines", F.array().cast("array<string>")), lambda x: F.trim(x, F.lit(" \t\x0b\f\r")) != ""))
+    return counted.select(*(left.alias(c) if c == "text" else F.col("_all")[c].alias(c) for c in names), n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
