@@ -37,10 +37,10 @@ from voxatlas.llm.labelled import logistic, sample, sigmoid
 #: Labelled documents of each class that the fit may use.
 SAMPLE = 20_000
 #: Tokens that the model may hold, and the z-score and log-odds that each needs.
-TOKENS, SIGNIFICANT, LEAST = 20_000, 3.5, 3.0
+TOKENS, SIGNIFICANT, LEAST = 20_000, 2.3, 3.0
 #: What a word without evidence costs.
 DRIFT = 0.08
-#: Weight of the prior, in documents.
+#: Weight of the prior: so many documents, or a twentieth of those that are counted.
 PRIOR = 50.0
 #: Fold of the labelled rows that calibrates; the others count tokens.
 CALIBRATE = 1
@@ -114,10 +114,11 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 def log_odds(counts: DataFrame, toxic_docs: int, other_docs: int) -> DataFrame:
     """(token, weight, z) under a Dirichlet prior in proportion to the tokens' totals."""
     n1, n0 = float(toxic_docs), float(other_docs)
-    prior = (F.col("toxic") + F.col("other")) * (PRIOR / (n1 + n0)) + 0.01
+    weight = min(PRIOR, (n1 + n0) / 20)
+    prior = (F.col("toxic") + F.col("other")) * (weight / (n1 + n0)) + 0.01
     a1, a0 = F.col("toxic") + prior, F.col("other") + prior
-    weight = F.log(a1 / (n1 + PRIOR + 1 - a1 + prior)) - F.log(a0 / (n0 + PRIOR + 1 - a0 + prior))
-    return counts.select("token", weight.alias("weight"), (weight / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
+    odds = F.log(a1 / (n1 + weight + 1 - a1 + prior)) - F.log(a0 / (n0 + weight + 1 - a0 + prior))
+    return counts.select("token", odds.alias("weight"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
 
 
 def word_scores(found: W.Words, keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
