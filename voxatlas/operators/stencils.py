@@ -22,7 +22,7 @@ AXES = ("z", "y", "x")
 def along(voxels: DataFrame, axis: str, value) -> DataFrame:
     """Replace v by ``value(line, i)`` along an axis, where line is the array of its voxels."""
     others = [a for a in AXES if a != axis]
-    lines = voxels.groupBy(*others).agg(F.array_sort(F.collect_list(F.struct(axis, "v"))).alias("_line"))
+    lines = voxels.groupBy(*others).agg(F.sort_array(F.collect_list(F.struct(axis, "v"))).alias("_line"))
     new = F.transform("_line", lambda c, i: F.struct(c[axis].alias(axis), value(F.col("_line"), i).alias("v")))
     return lines.select(*others, F.explode(new).alias("_c")).select(*others, f"_c.{axis}", "_c.v").select(*AXES, "v")
 
