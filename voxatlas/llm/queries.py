@@ -105,4 +105,89 @@ select d.doc_id, case when d.text is null then null else coalesce(string_agg(j.l
 from documents d left join judged j on d.doc_id = j.doc_id group by d.doc_id, d.text
 """
 
-ORACLE_SQL = {"op10_line_dedup": LINE_DEDUP_SQL}
+#: DuckDB: every window of 50 words as text, the least document of each.
+SUBSTRING_SQL = r"""
+with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+windows as (select doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) as k from (select doc_id, ws, unnest(range(1, len(ws) - 48)) as i from docs)),
+firsts as (select k, min(doc_id) as m from windows group by k),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from windows join firsts using (k) where m < doc_id),
+words as (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as p from docs),
+kept as (
+    select w.doc_id, count(g.p) as n_removed, string_agg(word, ' ' order by w.p) filter (where g.p is null) as text
+    from words w left join gone g on w.doc_id = g.doc_id and w.p = g.p group by w.doc_id
+)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(k.text, '')) as kept_sha256
+from docs d left join kept k using (doc_id)
+"""
+
+#: DuckDB: shared shingles counted for each pair, components by recursion.
+JACCARD_SQL = r"""
+with recursive docs as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+shingles as (
+    select distinct doc_id, array_to_string(ws[i:i + 2], ' ') as s from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) as i from docs where len(ws) > 0)
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+    select a.doc_id as a, b.doc_id as b from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+    join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+    where least(x.n, y.n) * 100 >= greatest(x.n, y.n) * 90
+    group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 90 * (x.n + y.n - count(*))
+),
+both_ways as (select a, b from links union select b, a from links),
+reach(a, b) as (select doc_id, doc_id from docs union select r.a, l.b from reach r join both_ways l on l.a = r.b)
+select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, min(r.b) as component_id
+from docs d left join sizes s using (doc_id) join reach r on r.a = d.doc_id group by all
+"""
+
+#: DuckDB: windows of the items and of the documents as text.
+DECONTAMINATION_SQL = r"""
+with items as (select item_id::varchar as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+docs as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+windows as (select distinct item, n, array_to_string(ws[i:i + n - 1], ' ') as k from (select item, ws, n, unnest(range(1, len(ws) - n + 2)) as i from (select *, least(13, len(ws)) as n from items where len(ws) > 0))),
+places as (
+    select doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') as k
+    from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i from docs, (select distinct n from windows) where len(ws) >= n)
+),
+found as (select p.doc_id, p.i, p.n, w.item from places p join windows w on p.n = w.n and p.k = w.k),
+hits as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from found) group by doc_id),
+own as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids from (select distinct doc_id, item from found) group by doc_id)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
+from docs d left join hits using (doc_id) left join own using (doc_id)
+"""
+
+
+def _rules_sql() -> str:
+    """DuckDB: the measures, then the same table of thresholds."""
+    stops = ", ".join(f"'{w}'" for w in sorted({w for words in rules.STOP_WORDS.values() for w in words}))
+    bounds = " and ".join(f"{name} {op} {value}" for name, least, most in rules.RULES for op, value in ((">=", least), ("<=", most)) if value is not None)
+    return rf"""
+with docs as (
+    select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws,
+        [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as lines from documents
+),
+triples as (select doc_id, i, md5(array_to_string(ws[i:i + 2], ' ')) as k from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from docs)),
+again as (select doc_id, k from triples group by doc_id, k having count(*) > 1),
+marked as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + 3)) as p from triples join again using (doc_id, k)) group by doc_id),
+measured as (
+    select d.doc_id, len(ws)::bigint as n_words, len(array_to_string(ws, ''))::bigint as word_chars, len(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+        (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(m.n, 0)::bigint as n_repeat_words, len(lines) as n_lines, len(list_distinct(ws)) as n_distinct,
+        len(list_intersect(list_distinct(ws), [{stops}])) as stop_words, len(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper, len(regexp_replace(text, '[^!?]', '', 'g')) as n_marks
+    from docs d left join marked m using (doc_id)
+),
+ratios as (
+    select *, greatest(n_words, 1) as w, word_chars / w as mean_word_chars, n_symbols / w as symbol_ratio, n_dup_lines / greatest(n_lines, 1) as dup_line_ratio,
+        n_upper / greatest(word_chars, 1) as upper_ratio, n_marks / w as mark_ratio, n_distinct / w as distinct_word_ratio, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed
+    from measured
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {bounds} as kept from ratios
+"""
+
+
+ORACLE_SQL = {
+    "op4_substring_dedup": SUBSTRING_SQL,
+    "op5_jaccard_join": JACCARD_SQL,
+    "op6_quality_rules": _rules_sql(),
+    "op9_decontamination": DECONTAMINATION_SQL,
+    "op10_line_dedup": LINE_DEDUP_SQL,
+}
