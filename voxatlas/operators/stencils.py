@@ -153,3 +153,29 @@ def binary_close(points: DataFrame, sizes: tuple[int, int, int], times: int = 2)
 
 def binary_open(points: DataFrame, sizes: tuple[int, int, int], times: int = 2) -> DataFrame:
     return dilate(erode(points, times), sizes, times)
+
+
+def resample(voxels: DataFrame, zooms: tuple[float, float, float]) -> DataFrame:
+    """A volume of round(n * zoom) voxels an axis, linear between the old ones, ends on ends.
+
+    Splines of higher order, which some tools use here, are not offered.
+    """
+    voxels = voxels.withColumn("v", F.col("v").cast("double"))
+    for axis, zoom in zip(AXES, zooms, strict=True):
+        if zoom == 1:
+            continue
+        others = [a for a in AXES if a != axis]
+        lines = voxels.groupBy(*others).agg(F.sort_array(F.collect_list(F.struct(axis, "v"))).alias("_line"))
+        n = F.size("_line")
+        m = F.greatest(F.rint(n * F.lit(float(zoom))), F.lit(1)).cast("int")
+        span = F.greatest(m - 1, F.lit(1))
+
+        def at(j: Column) -> Column:
+            step = (j * (n - 1)).cast("bigint")
+            first = F.floor(step / span).cast("int")
+            left, right = F.get("_line", first)["v"], F.get("_line", F.least(first + 1, n - 1))["v"]
+            return F.struct(j.alias(axis), (left + (right - left) * ((step % span) / span)).alias("v"))
+
+        new = F.transform(F.sequence(F.lit(0), m - 1), at)
+        voxels = lines.select(*others, F.explode(new).alias("_c")).select(*others, f"_c.{axis}", "_c.v").select(*AXES, "v")
+    return voxels

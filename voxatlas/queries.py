@@ -419,6 +419,22 @@ def local_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.local_maxima(volume, 4, V.manual_threshold(volume, 1000))
 
 
+def _resample_sql(name: str, source: str, axis: str, zoom: float) -> str:
+    n = "(select n from top)" if axis == "z" else "8"
+    a, b = (c for c in "zyx" if c != axis)
+    places = f"select j::int as j, (j * (n - 1)) // greatest(m - 1, 1) as i, ((j * (n - 1)) % greatest(m - 1, 1))::double / greatest(m - 1, 1) as f, n from (select n, m, unnest(range(m)) as j from (select {n} as n, greatest(round_even({n} * {zoom}::double, 0), 1)::bigint as m))"
+    return f"{name} as (select o.j as {axis}, p.{a}, p.{b}, p.v + (q.v - p.v) * o.f as v from ({places}) o join {source} p on p.{axis} = o.i join {source} q on q.{axis} = least(o.i + 1, o.n - 1) and q.{a} = p.{a} and q.{b} = p.{b})"
+
+
+@query(
+    "downsample_fine",
+    with_(VOX, TOP, "flat as (select z, y, x, v::double as v from vox)", _resample_sql("fz", "flat", "z", 0.7), _resample_sql("fy", "fz", "y", 0.6), _resample_sql("fx", "fy", "x", 0.6))
+    + "select z, y, x, round(v, 6) as v from fx",
+)
+def downsample_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.resample(fx.volume(spark, sf_dir), (0.7, 0.6, 0.6)).withColumn("v", F.round("v", 6))
+
+
 UNIT = 1000
 
 
