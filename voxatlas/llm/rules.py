@@ -40,7 +40,7 @@ _SPACE = " \t\n\x0b\x0c\r"
 
 def measures(text: Column) -> dict[str, Column]:
     """First-level measures of a text; they name nothing but the text."""
-    words = F.filter(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
+    words = F.array_remove(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), "")
     lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, _SPACE, "") != "")
     signs = "#*$%&|<>"
     return {
@@ -57,7 +57,7 @@ def _repeat_words() -> Column:
     """Words in three-word windows that occur more than once: equal windows meet by sorting."""
     return F.expr(
         """aggregate(
-            array_sort(transform(
+            sort_array(transform(
                 filter(triples, (t, i) -> (i > 0 and element_at(triples, i).h = t.h) or (i + 1 < size(triples) and element_at(triples, i + 2).h = t.h)),
                 t -> t.at)),
             named_struct('n', 0L, 'next', 0),
@@ -66,18 +66,28 @@ def _repeat_words() -> Column:
     )
 
 
+def _once(df: DataFrame, others: list, columns: list[Column]) -> DataFrame:
+    """``df`` with columns that are computed once a row, whatever later filters name them.
+
+    A filter on a plain projection is pushed below it with the expressions put in
+    for the names, here into the loops over a text's words; it stops at a generator.
+    """
+    return df.select(*others, F.explode(F.array(F.struct(*columns))).alias("_once")).select(*others, "_once.*")
+
+
 def evaluate(docs: DataFrame, rules: list[tuple[str, float | None, float | None]] = RULES, *, text_column: str = "text") -> DataFrame:
     """``docs`` without its text, with the measures and verdicts of each row.
 
     Columns: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long),
     base_failed, kept, and failed_rules (the measures out of bounds).
     """
-    others = [F.col(c) for c in docs.columns if c != text_column]
     names = [c for c in docs.columns if c != text_column]
-    first = docs.select(*others, *(v.alias(f"_{k}") for k, v in measures(F.coalesce(F.col(text_column), F.lit(""))).items()))
+    first = _once(docs, names, [v.alias(f"_{k}") for k, v in measures(F.coalesce(F.col(text_column), F.lit(""))).items()])
     stops = sorted({w for words in STOP_WORDS.values() for w in words})
-    second = first.select(
-        *names,
+    second = _once(
+        first,
+        names,
+        [
         F.size("_words").cast("long").alias("n_words"),
         F.col("_word_chars").cast("long").alias("word_chars"),
         F.col("_n_symbols").cast("long").alias("n_symbols"),
@@ -85,11 +95,13 @@ def evaluate(docs: DataFrame, rules: list[tuple[str, float | None, float | None]
         F.size("_lines").alias("_n_lines"),
         F.size(F.array_distinct("_words")).alias("_distinct"),
         F.size(F.array_intersect("_words", F.array(*map(F.lit, stops)))).alias("_stops"),
-        "_n_upper",
-        "_n_marks",
-        F.expr("array_sort(if(size(_words) < 3, cast(array() as array<struct<h: bigint, at: int>>), transform(sequence(0, size(_words) - 3), i -> named_struct('h', xxhash64(_words[i], _words[i + 1], _words[i + 2]), 'at', i))))").alias("triples"),
+        F.col("_n_upper"),
+        F.col("_n_marks"),
+        F.expr("sort_array(if(size(_words) < 3, cast(array() as array<struct<h: bigint, at: int>>), transform(sequence(0, size(_words) - 3), i -> named_struct('h', xxhash64(_words[i], _words[i + 1], _words[i + 2]), 'at', i))))").alias("triples"),
+        ],
     )
-    third = second.withColumn("n_repeat_words", _repeat_words()).drop("triples")
+    counted = [c for c in second.columns if c not in (*names, "triples")]
+    third = _once(second, [*names, *counted], [_repeat_words().alias("n_repeat_words")])
     words = F.greatest(F.col("n_words"), F.lit(1))
     ratios = {
         "mean_word_chars": F.col("word_chars") / words,
