@@ -35,6 +35,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,15 +44,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxatlas.llm import words as W
-from voxatlas.llm.common import keep
+from voxatlas.llm.common import keep, maybe_among
 from voxatlas.llm.components import components
 
 #: Turns of dealing a set to blocks; in the last, all blocks take part.
 TURNS = 8
-#: Shingles that a block needs, for bands of large and of small sets.
+#: Shingles that a block needs at most, and in bands of sets smaller than ``SMALL``.
 LEAST, LEAST_SMALL, SMALL = 3, 2, 31
-#: Blocks for each possible difference, over the one that is needed.
-SLACK = 1.3
+#: Blocks for each possible difference, over the one that is needed, to choose from.
+SLACK = (1.3, 1.5, 1.8, 2.2, 3.0)
+#: Blocks that should stay, on average, for each possible difference.
+MARGIN = 1.12
 
 
 class Bands:
@@ -65,6 +68,11 @@ class Bands:
         while self.differences(first) == 0 and first < 100_000:
             first += 1
         self.lower.append(first)
+        # a set of s shingles differs in s / per of them: blocks have per / slack on average
+        per = (100 + percent) / (100 - percent) / (1 + 100 / percent)
+        stays = lambda c, k: k * (1 - sum(math.exp(-per / k) * (per / k) ** i / math.factorial(i) for i in range(c)))
+        fit = [(c, k) for c in range(LEAST, 0, -1) for k in SLACK if stays(c, k) >= MARGIN]
+        self.fewest, self.slack = fit[0] if fit else (1, SLACK[-1])
 
     def differences(self, size: int) -> int:
         """Most shingles that only one of two linked sets has, if the smaller has ``size``."""
@@ -79,14 +87,14 @@ class Bands:
     def roles(self, size: int) -> list[int]:
         """Bands that a set of this size is sketched for: its own, and that of its smallest partner."""
         own, least = self.of(size), self.of(-(-size * self.percent // 100))
-        return [band for band in range(least, own + 1) if band]
+        return [band for band in range(least, own + 1) if band > 0]
 
     def blocks(self, band: int) -> int:
         self.of(self.lower[band])
-        return int(np.ceil(SLACK * (self.differences(self.lower[band + 1] - 1) + 1)))
+        return int(np.ceil(self.slack * (self.differences(self.lower[band + 1] - 1) + 1)))
 
     def least(self, band: int) -> int:
-        return LEAST_SMALL if self.lower[band + 1] <= SMALL else LEAST
+        return min(self.fewest, LEAST_SMALL) if self.lower[band + 1] <= SMALL else self.fewest
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -233,17 +241,20 @@ def linked_components(docs: DataFrame, *, size: int = 5, percent: int = 80) -> D
     made = keep(sketches(docs, size, percent))
     # written, so that the joins below read plain shuffles, which are split where a class is large
     classes = keep(made.where("n_shingles > 0").groupBy("n_shingles", "x", "y").agg(F.min("doc_id").alias("first")))
-    leads = classes.select(F.col("first").alias("doc_id"), "n_shingles", "x", "y")
-    blocks = made.where("size(roles) > 0").join(leads, ["doc_id", "n_shingles", "x", "y"]).select("doc_id", F.explode("roles.keys").alias("keys")).select("doc_id", F.explode("keys").alias("key"))
-    shared = blocks.groupBy("key").agg(F.count("*").alias("sets"), F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("key", "sets")
-    rows = keep(blocks.join(shared, "key"))
+    blocks = made.select("x", "y", F.explode("roles.keys").alias("keys")).select("x", "y", F.explode("keys").alias("key"))
+    # a set has each key once, so a key that occurs once is not shared; equal sets count as one after this
+    several = keep(blocks.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"))
+    found = maybe_among(blocks, F.col("key"), several, F.col("key")).where("_maybe").drop("_maybe").join(several, "key").distinct()
+    found = keep(found.join(classes.select("x", "y", F.col("first").alias("doc_id")), ["x", "y"]).select("key", "doc_id"))
+    shared = found.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    rows = keep(found.join(shared, "key"))
     # of a group of copies, the set nearest to all has the most blocks in common
     weight = keep(rows.groupBy("doc_id").agg(F.sum("sets").alias("weight")))
     centre = F.max(F.struct("weight", (-F.col("doc_id")).alias("least"), "doc_id"))
     rows = keep(rows.select("key", "doc_id").join(weight, "doc_id"))
     pivots = rows.groupBy("key").agg(centre.alias("c")).select("key", F.col("c.doc_id").alias("a"))
     stars = keep(rows.join(pivots, "key").where("doc_id <> a").select("key", "a", F.col("doc_id").alias("b")))
-    texts = keep(docs.select("doc_id", "text").join(weight.select("doc_id"), "doc_id").dropDuplicates(["doc_id"]))
+    texts = keep(maybe_among(docs.select("doc_id", "text"), F.col("doc_id"), weight, F.col("doc_id")).where("_maybe").drop("_maybe").join(weight.select("doc_id"), "doc_id").dropDuplicates(["doc_id"]))
     links = keep(linked_pairs(stars.select("a", "b").distinct(), texts, size, percent))
     labels = components(links)
 
