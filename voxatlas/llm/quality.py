@@ -31,7 +31,7 @@ SAMPLE = 20_000
 FEATURES, WIDTH, RIDGE = 256, 4.0, 1e-3
 #: Fold of the labelled rows that calibrates; the others fit.
 CALIBRATE = 1
-#: Partitions that sum the normal equations, each sending one matrix.
+#: Partitions at most that sum the normal equations, each sending one matrix.
 PARTS = 8
 
 STATISTICS = ("log_words", "word_length", "upper", "digits", "punctuation", "symbols", "pipes", "exclamations", "distinct_words", "distinct_triples", "top_word", "repeated_lines", "line_words", "long_words", "stops", "distinct_tail")
@@ -164,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", seed: int
                 right += z.T @ batch.column(1).to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()], pa.binary()), pa.array([right.tobytes()], pa.binary())], ["gram", "right"])
 
-    sums = fitting.select("x", "y").repartition(PARTS, "doc_id").mapInArrow(equations, "gram binary, right binary").collect()
+    sums = fitting.select("x", "y").coalesce(PARTS).mapInArrow(equations, "gram binary, right binary").collect()
     gram = sum(np.frombuffer(r["gram"]).reshape(FEATURES + 1, -1) for r in sums)
     right = sum(np.frombuffer(r["right"]) for r in sums)
     count = gram[-1, -1]
