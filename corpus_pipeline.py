@@ -79,7 +79,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage wrote goes once the next one has been written."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir))
+        with kept() as made:
+            docs = keep(stage(spark, docs, sf_dir))
+        drop(spark, before)
+        before = made
     return docs

@@ -63,7 +63,7 @@ def kept() -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _COLLECTING.remove(paths)
+        _COLLECTING.pop()
 
 
 def drop(spark: SparkSession, paths: list[str]) -> None:
