@@ -30,7 +30,7 @@ END_ID = 1
 #: Bytes of text per packing group: about a thousand windows.
 GROUP_BYTES = 2_000_000
 #: Bytes of text whose distinct words are tokenised together.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -44,7 +44,7 @@ def default_tokenizer() -> str:
 #: Parts end at a blank or a line break only: both are white space to any tokenizer.
 SPACED = W.byte_table(lambda b: b not in (0x20, 0x0A))
 #: Parts whose ids a Python worker remembers (about 40 bytes each).
-REMEMBERED = 2_000_000
+REMEMBERED = 500_000
 
 
 class Encoder:
@@ -62,7 +62,7 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)
         self.model.normalizer = None
         self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.suffix = self.tokenizer.model.end_of_word_suffix

@@ -21,7 +21,7 @@ BASE_WORDS = 0xD6E8FEB86659FD93
 BASE_CHECK = 0xA0761D6478BD642F
 
 #: Text bytes that a kernel handles at once, to bound the memory of a task.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
