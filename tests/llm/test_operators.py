@@ -264,3 +264,14 @@ def test_null_and_repeated_ids(spark):
     assert decontamination.find_passages(docs, items).where("contaminated").count() == 5
     assert packing.pack(docs).groupBy("doc_id").count().count() == 4
     assert secrets.find_secrets(docs).count() == rules.evaluate(docs).count() == 7
+
+
+def test_passages_of_repeated_rows(spark):
+    long = " ".join(f"u{k}" for k in range(120))
+    rows_ = [(1, long), (1, long), (1, "x " + long), (2, long), (None, long), (None, long), (None, None), (None, None), (3, None), (3, None), (4, "none of it"), (4, "none of it")]
+    docs = spark.createDataFrame(rows_, "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, long), (1, "other"), (2, " ".join(long.split()[40:60])), (3, "x"), (4, "it")], "item_id bigint, text string")
+    columns = ["coalesce(doc_id, 0)", "row", "n_words", "n_hit", "cast(spans as string)", "array_join(items, ',')", "contaminated"]
+    one, many = (sorted(tuple(r) for r in decontamination.find_passages(docs, items, block_bytes=b).selectExpr(*columns).collect()) for b in (16_000_000, 100))
+    assert len(one) == len(rows_) and one == many
+    assert [n for _, _, _, n, *_ in one if n] and sum(r[-1] for r in one) == 8

@@ -13,7 +13,8 @@ merged.
 The items go to the tasks in blocks of a bounded size, each block searched in all
 documents, so that no broadcast grows with the benchmark.
 
-Defined results: a null text has no words; an item without words, or null, is no
+Defined results: every row of the documents gives a row, also where rows repeat an id
+and a text, and however many blocks there are; a null text has no words; an item without words, or null, is no
 window; items that repeat an id are one item; an empty benchmark hits nothing; an
 empty table gives no rows; other columns are ignored.
 """
@@ -205,17 +206,27 @@ def _search(docs: DataFrame, windows: Windows) -> DataFrame:
     return docs.mapInArrow(scan, ", ".join(f"{c} {kind}" for c, kind in docs.dtypes if c != "text") + ", " + _FOUND)
 
 
-def _joined(hits: DataFrame) -> DataFrame:
-    """One row per document from the rows of several blocks: its spans merged, its items together."""
-    fold = """aggregate(array_sort(flatten(collect_list(spans))), cast(array() as array<struct<start: bigint, end: bigint>>),
+def _joined(first: DataFrame, others: list[DataFrame]) -> DataFrame:
+    """``first``, which has every row, with the spans and items of all blocks: spans merged, items together.
+
+    Equal rows of one id have equal spans, so each is given what any of them has.
+    """
+    fold = """aggregate(array_sort(flatten(collect_set(spans))), cast(array() as array<struct<start: bigint, end: bigint>>),
         (a, s) -> if(size(a) > 0 and element_at(a, -1).end >= s.start,
             concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).start as start, greatest(element_at(a, -1).end, s.end) as end))),
             concat(a, array(s))))"""
-    return (
-        hits.groupBy("doc_id", "row")
-        .agg(F.first("n_words").alias("n_words"), F.expr(fold).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    hits = first.where("n_hit > 0")
+    for more in others:
+        hits = hits.unionByName(more)
+    merged = (
+        hits.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
+        .agg(F.expr(fold).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
         .withColumn("n_hit", F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)"))
     )
+    rows = first.select("doc_id", "row", "n_words")
+    return rows.join(merged, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left").select(
+        "doc_id", "row", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.expr("coalesce(spans, array())").alias("spans"), F.expr("coalesce(items, array())").alias("items")
+    )
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -237,10 +248,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     if blocks == 1:
         out = found[0]
     else:
-        some = found[0]
-        for more in found[1:]:
-            some = some.unionByName(more)
-        out = _joined(some)
+        out = _joined(found[0], found[1:])
     return out.select("doc_id", "row", "n_words", "n_hit", "spans", "items", F.expr("n_hit > 0 and 20 * n_hit >= n_words").alias("contaminated"))
 
 
