@@ -3,6 +3,7 @@
 import itertools
 import json
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -194,6 +195,50 @@ def test_files(spark, tmp_path, block):
     assert tables.exists(spark, str(tmp_path / "t")) and not tables.exists(spark, str(tmp_path / "none"))
 
 
+def big_tiff(images, strip, order):
+    """A BigTIFF file whose strips of ``strip`` rows lie in reverse order, with a gap between them."""
+    out, link = bytearray((b"II" if order == "<" else b"MM") + struct.pack(order + "HHHQ", 43, 8, 0, 0)), 8
+    for image in images:
+        image = image.astype(image.dtype.newbyteorder(order))
+        strips = [image[k : k + strip].tobytes() for k in range(0, len(image), strip)]
+        offsets = []
+        for s in reversed(strips):
+            offsets.insert(0, len(out))
+            out += s + b"gap"
+        lists = len(out)
+        out += struct.pack(f"{order}{len(strips)}Q", *offsets) + struct.pack(f"{order}{len(strips)}Q", *map(len, strips))
+        struct.pack_into(order + "Q", out, link, len(out))
+        place = lambda at, values: at if len(strips) > 1 else values[0]
+        fields = [(256, 1, image.shape[1]), (257, 1, image.shape[0]), (258, 1, image.dtype.itemsize * 8), (273, len(strips), place(lists, offsets)), (279, len(strips), place(lists + 8 * len(strips), [len(strips[0])])), (339, 1, 1)]
+        out += struct.pack(order + "Q", len(fields)) + b"".join(struct.pack(order + "HHQQ", tag, 16, count, value) for tag, count, value in fields)
+        link = len(out)
+        out += bytes(8)
+    return bytes(out)
+
+
+def test_file_of_many_pages(spark, tmp_path, block, monkeypatch):
+    """One file is dealt out, also one larger than Spark reads whole, and BigTIFF is read."""
+    monkeypatch.setattr(tiff, "BAND_BYTES", 40, raising=False)
+    images = list(block.astype(np.uint16))
+    files = {"classic": tiff.encode(images), "big end": big_tiff(images, 4, ">"), "little": big_tiff(images, 4, "<"), "one": big_tiff(images, 99, "<")}
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    for name, data in files.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "all.tif").write_bytes(data)
+        assert all((a == b).all() for a, b in zip(tiff.pages(data), block, strict=True))
+        spark.conf.set(limit, "100")
+        try:
+            got = tiff.read_stack(spark, str(tmp_path / name)).withColumn("task", F.spark_partition_id())
+            assert got.count() == block.size and (array(got, block.shape) == block).all()
+            assert got.select("task").distinct().count() > 1
+        finally:
+            spark.conf.unset(limit)
+    # in a store that only Spark reads
+    monkeypatch.setattr(tiff, "_local", lambda path: None)
+    got = tiff.read_stack(spark, str(tmp_path / "little"))
+    assert got.count() == block.size and (array(got, block.shape) == block).all()
+
+
 def test_config(spark, tmp_path):
     path = str(tmp_path / "config")
     assert configs.update(spark, path, threshold=7).threshold == 7

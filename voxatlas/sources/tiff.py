@@ -1,13 +1,17 @@
 """Grey-scale TIFF images, uncompressed, as voxel tables.
 
-Spark lists and reads the files (``binaryFile``), tasks decode pages.  A file's z is
-its place among the names in natural order, or its page for one file of many pages.
+Spark lists the files (``binaryFile``), tasks read and decode bands of their pages.  A
+file's z is its place among the names in natural order, or its page for one file of many
+pages.  BigTIFF files are read too.
 """
 
 from __future__ import annotations
 
+import io
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -18,33 +22,84 @@ from voxatlas.functions.scalar import natural_key
 
 #: Tags of the format, and the sizes of its field types.
 WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, ROWS, COUNTS, FORMAT = 256, 257, 258, 259, 273, 278, 279, 339
-SIZES = {1: ("B", 1), 3: ("H", 2), 4: ("I", 4)}
+TAGS = {WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, COUNTS, FORMAT}
+SIZES = {1: ("B", 1), 3: ("H", 2), 4: ("I", 4), 16: ("Q", 8)}
 KINDS = {1: "u", 2: "i", 3: "f"}
+#: Bytes of image that are decoded at once, and about how many a task gets.
+BAND_BYTES, TASK_BYTES = 1 << 20, 1 << 24
+
+
+@dataclass
+class Page:
+    """What the directory says of an image: its type and shape, and the places of its bytes, in order."""
+
+    dtype: str
+    height: int
+    width: int
+    offsets: np.ndarray
+    counts: np.ndarray
+
+    def extents(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places (offsets, counts) of the image's rows from ``low`` to ``high``."""
+        row = self.width * np.dtype(self.dtype).itemsize
+        ends = np.cumsum(self.counts)
+        starts = ends - self.counts
+        begin, stop = np.maximum(starts, low * row), np.minimum(ends, high * row)
+        some = stop > begin
+        return (self.offsets + begin - starts)[some], (stop - begin)[some]
+
+
+def directory(file: BinaryIO) -> Iterator[Page]:
+    """The pages of a TIFF or BigTIFF file; no image is read."""
+    head = file.read(16)
+    order = {b"II": "<", b"MM": ">"}.get(head[:2])
+    version = struct.unpack(order + "H", head[2:4])[0] if order and len(head) >= 8 else None
+    if version not in (42, 43):
+        raise ValueError("not a TIFF file")
+    # codes of a place and of a number of entries, and the bytes that an entry has for values
+    place, number, room = ("I", "H", 4) if version == 42 else ("Q", "Q", 8)
 
+    def values(code: str, at: int, count: int = 1) -> tuple[int, ...]:
+        file.seek(at)
+        return struct.unpack(f"{order}{count}{code}", file.read(struct.calcsize(f"{order}{count}{code}")))
 
-def pages(data: bytes) -> Iterator[np.ndarray]:
-    """The images of a TIFF file."""
-    order = {b"II": "<", b"MM": ">"}.get(data[:2])
-    if order is None or struct.unpack(order + "H", data[2:4])[0] != 42:
-        raise ValueError("not a TIFF file")
-    at = struct.unpack(order + "I", data[4:8])[0]
+    (at,) = struct.unpack_from(order + place, head, room)
     while at:
-        (n,) = struct.unpack_from(order + "H", data, at)
+        (n,) = values(number, at)
+        at += struct.calcsize("=" + number)
+        size = 4 + 2 * room
+        file.seek(at)
+        entries = file.read(n * size)
         tags = {}
         for k in range(n):
-            tag, kind, count = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
-            if kind in SIZES:
-                code, size = SIZES[kind]
-                place = at + 10 + 12 * k
-                if count * size > 4:
-                    (place,) = struct.unpack_from(order + "I", data, place)
-                tags[tag] = struct.unpack_from(f"{order}{count}{code}", data, place)
-        if tags.get(COMPRESSION, (1,))[0] != 1 or len(tags.get(BITS, (1,))) != 1:
-            raise ValueError("only uncompressed grey-scale images are read")
-        raw = b"".join(data[o : o + c] for o, c in zip(tags[OFFSETS], tags[COUNTS], strict=True))
-        kind = KINDS[tags.get(FORMAT, (1,))[0]]
-        yield np.frombuffer(raw, np.dtype(f"{order}{kind}{tags[BITS][0] // 8}")).reshape(tags[HEIGHT][0], tags[WIDTH][0])
-        (at,) = struct.unpack_from(order + "I", data, at + 2 + 12 * n)
+            tag, kind, count = struct.unpack_from(order + "HH" + place, entries, k * size)
+            if kind in SIZES and tag in TAGS:
+                code, bytes_ = SIZES[kind]
+                here = at + k * size + 4 + room
+                tags[tag] = values(code, values(place, here)[0] if count * bytes_ > room else here, count)
+        if tags.get(COMPRESSION, (1,))[0] != 1 or len(tags.get(BITS, (1,))) != 1 or OFFSETS not in tags:
+            raise ValueError("only uncompressed grey-scale images in strips are read")
+        dtype = f"{order}{KINDS[tags.get(FORMAT, (1,))[0]]}{tags[BITS][0] // 8}"
+        page = Page(dtype, tags[HEIGHT][0], tags[WIDTH][0], np.array(tags[OFFSETS], np.int64), np.array(tags[COUNTS], np.int64))
+        if page.counts.sum() != page.height * page.width * np.dtype(dtype).itemsize:
+            raise ValueError("the strips of a page do not have the bytes of its image")
+        yield page
+        (at,) = values(place, at + n * size)
+
+
+def _bytes(file: BinaryIO, offsets: Iterable[int], counts: Iterable[int]) -> bytes:
+    out = []
+    for at, count in zip(offsets, counts, strict=True):
+        file.seek(int(at))
+        out.append(file.read(int(count)))
+    return b"".join(out)
+
+
+def pages(data: bytes) -> Iterator[np.ndarray]:
+    """The images of a TIFF file."""
+    file = io.BytesIO(data)
+    for page in directory(file):
+        yield np.frombuffer(_bytes(file, page.offsets, page.counts), np.dtype(page.dtype)).reshape(page.height, page.width)
 
 
 def encode(images: list[np.ndarray]) -> bytes:
@@ -64,25 +119,54 @@ def encode(images: list[np.ndarray]) -> bytes:
     return bytes(out)
 
 
+def _local(path: str) -> str | None:
+    """The name that a file of a mounted folder has for open(); None for files of other stores."""
+    return path[5:].replace("///", "/", 1) if path.startswith("file:") else None
+
+
 def read_stack(spark: SparkSession, path: str, pattern: str = r"\.tiff?$") -> DataFrame:
     """Voxels (z, y, x, v) of a folder of slices, or of one file of many pages.
 
-    The order of the slices comes from their names alone; their contents are decoded
-    where they are read, a file a task.
+    The order of the slices comes from their names alone.  The directories of the files
+    are read first; they make a table of bands of rows with their places, which is dealt
+    out, and each task reads the bytes of its own bands.  So a file may be of any size.
+    In a store that only Spark reads a file passes through one task first, which Spark
+    refuses above 2 GB.
     """
     files = spark.read.format("binaryFile").load(path).where(F.regexp_like("path", F.lit(pattern)))
-    names = files.select("path", natural_key("path").alias("key")).orderBy("key").select("path").collect()
+    names = files.select("path", "length", natural_key("path").alias("key")).orderBy("key").select("path", "length").collect()
     first = {r["path"]: k for k, r in enumerate(names)}
+    mounted = all(_local(name) for name in first)
 
-    def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for name, content in zip(frame["path"], frame["content"], strict=True):
-                for page, image in enumerate(pages(content)):
-                    z = page if len(first) == 1 else first[name] + page
-                    y, x = np.indices(image.shape).reshape(2, -1)
-                    yield pd.DataFrame({"z": np.int32(z), "y": y.astype(np.int32), "x": x.astype(np.int32), "v": image.ravel().astype(np.int64)})
+            for k, name in enumerate(frame["path"]):
+                with open(_local(name), "rb") if mounted else io.BytesIO(frame["content"].iloc[k]) as file:
+                    for number, page in enumerate(directory(file)):
+                        z = number if len(first) == 1 else first[name] + number
+                        rows = max(1, BAND_BYTES // max(1, page.width * np.dtype(page.dtype).itemsize))
+                        for low in range(0, page.height, rows):
+                            high = min(page.height, low + rows)
+                            offsets, counts = page.extents(low, high)
+                            data = None if mounted else _bytes(file, offsets, counts)
+                            yield pd.DataFrame({"path": [name], "z": [z], "low": [low], "high": [high], "width": [page.width], "dtype": [page.dtype], "offsets": [offsets], "counts": [counts], "data": [data]})
 
-    return files.select("path", "content").mapInPandas(decode, "z int, y int, x int, v bigint")
+    def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for band in frame.itertuples(index=False):
+                data = band.data
+                if mounted:
+                    with open(_local(band.path), "rb") as file:
+                        data = _bytes(file, band.offsets, band.counts)
+                image = np.frombuffer(data, np.dtype(band.dtype)).reshape(band.high - band.low, band.width)
+                y, x = np.indices(image.shape).reshape(2, -1)
+                yield pd.DataFrame({"z": np.int32(band.z), "y": (y + band.low).astype(np.int32), "x": x.astype(np.int32), "v": image.ravel().astype(np.int64)})
+
+    found = files.select("path", *([] if mounted else ["content"])).mapInPandas(
+        bands, "path string, z int, low int, high int, width int, dtype string, offsets array<bigint>, counts array<bigint>, data binary"
+    )
+    tasks = max(spark.sparkContext.defaultParallelism, -(-sum(r["length"] for r in names) // TASK_BYTES))
+    return found.repartition(tasks).mapInPandas(decode, "z int, y int, x int, v bigint")
 
 
 def slice_files(voxels: DataFrame, dtype: str = "<u2") -> DataFrame:
