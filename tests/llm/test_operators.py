@@ -275,3 +275,18 @@ def test_passages_of_repeated_rows(spark):
     one, many = (sorted(tuple(r) for r in decontamination.find_passages(docs, items, block_bytes=b).selectExpr(*columns).collect()) for b in (16_000_000, 100))
     assert len(one) == len(rows_) and one == many
     assert [n for _, _, _, n, *_ in one if n] and sum(r[-1] for r in one) == 8
+
+
+def test_distinct_texts(spark):
+    """Only texts of the same triples fall together; the least id stays, however the rows lie."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{k}" for k in range(30))
+    unlike = [f"{' '.join(f'd{i}x{rng.randrange(999)}' for _ in range(60))} {passage}" for i in range(40)]
+    short = ["one", "two words", "", "other", "one"]
+    copies = ["Copied text, of some words", "copied text of some words", "copied text of some words.", "copied text of some words again"]
+    data = [(100 + i, t, 0.0, 1 + i % 4) for i, t in enumerate(unlike + short)] + [(9 - k, copies[k], 1.0, 1) for k in range(4)] + [(2, copies[0], 0.0, 1)]
+    want = sorted((i, t, y, f) for i, t, y, f in data if i not in (9, 8))
+    for parts in (1, 5):
+        for turn in (data, data[::-1]):
+            docs = spark.createDataFrame(turn, "doc_id bigint, text string, y double, fold int").repartition(parts)
+            assert rows(toxicity.distinct_texts(docs), "doc_id", "text", "y", "fold") == want

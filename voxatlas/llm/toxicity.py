@@ -45,6 +45,8 @@ PRIOR = 50.0
 #: Fold of the labelled rows that calibrates; the others count tokens.
 CALIBRATE = 1
 PREFIXES = (4, 5, 6)
+#: Two hashes of a triple.
+SALTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 @dataclass
@@ -92,9 +94,11 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """One row for each group of near copies, told by the least hash of their word triples.
+    """One row of each class for texts with the same set of word triples: the one of least doc_id.
 
     A passage that is copied many times would otherwise count as that much evidence.
+    Sets are equal if their sizes and 128 bits of hashes are; texts without triples all
+    stay, but for repeated rows.
     """
     kinds = dict(docs.dtypes)
 
@@ -104,11 +108,23 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
             for lo, hi in W.slices(texts):
                 found = W.words(texts.slice(lo, hi - lo), W.ALNUM, lower=True)
                 starts = W.inside_runs(found.first, 3)
-                least = np.full(hi - lo, np.iinfo(np.uint64).max, W.U64)
-                np.minimum.at(least, found.doc[starts] if len(starts) else starts, W.run_hashes(found.hash, starts, 3))
-                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns), pa.array(least.view(np.int64))], [*batch.schema.names, "least"])
-
-    return docs.mapInArrow(scan, ", ".join(f"{c} {kinds[c]}" for c in docs.columns) + ", least bigint").dropDuplicates(["least", "y"]).drop("least")
+                hashes, doc = W.run_hashes(found.hash, starts, 3), found.doc[starts]
+                order = np.lexsort((hashes, doc))
+                hashes, doc = hashes[order], doc[order]
+                once = np.ones(len(doc), bool)
+                once[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+                hashes, doc = hashes[once], doc[once]
+                sums = np.zeros((2, hi - lo), W.U64)
+                for own, salt in zip(sums, SALTS, strict=True):
+                    np.add.at(own, doc, W.mix(hashes ^ W.U64(salt)))
+                size = np.bincount(doc, minlength=hi - lo).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns), *(pa.array(x.view(np.int64)) for x in sums), pa.array(size)], [*batch.schema.names, "set1", "set2", "triples"])
+
+    sets = docs.mapInArrow(scan, ", ".join(f"{c} {kinds[c]}" for c in docs.columns) + ", set1 bigint, set2 bigint, triples bigint")
+    alone = [F.when(F.col("triples") == 0, F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "text")]
+    row = F.struct("doc_id", "text", *(c for c in docs.columns if c not in ("doc_id", "text", "y")))
+    least = sets.groupBy("set1", "set2", "triples", "y", *alone).agg(F.min(row).alias("row"))
+    return least.select(*(F.col(c) if c == "y" else F.col(f"row.{c}").alias(c) for c in docs.columns))
 
 
 def log_odds(counts: DataFrame, toxic_docs: int, other_docs: int) -> DataFrame:
