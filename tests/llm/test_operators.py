@@ -290,3 +290,20 @@ def test_distinct_texts(spark):
         for turn in (data, data[::-1]):
             docs = spark.createDataFrame(turn, "doc_id bigint, text string, y double, fold int").repartition(parts)
             assert rows(toxicity.distinct_texts(docs), "doc_id", "text", "y", "fold") == want
+
+
+def test_secrets_of_one_kind_of_characters(spark):
+    """The likelihood ratio alone decides on tokens of letters only and of digits only."""
+    for token in ("qzkvwxjtrbpfhmnd", "ONSWG4TFOQ".replace("4", "Q") * 2, "8302749105628374"):
+        likely = np.full((secrets._STATES, secrets._STATES), secrets.THRESHOLD + 0.1)
+        assert secrets.model_spans(f"see {token} there", likely, []) == [(4, 3, 4 + len(token))]
+        assert secrets.model_spans(f"see {token} there", -likely, []) == []
+        assert secrets.model_spans("see ================ there", likely, []) == []
+    rng = random.Random(7)
+    key = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    lower, both = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    prose = "ordinary words of some length, like identifiers and averyveryverylongidentifier or internationalization " * 300
+    learned = secrets.train(table(spark, list(enumerate([prose, *(f"api_key={key(both, 40)}" for _ in range(600))]))))
+    data = [prose, f"see {key(lower, 16)} there", f"see {key(both[:52], 32)} there"]
+    got = {r["doc_id"]: [tuple(f) for f in r["found"]] for r in secrets.find_secrets(table(spark, list(enumerate(data))), learned).collect()}
+    assert got == {0: [], 1: [("markov", 4, 20)], 2: [("markov", 4, 36)]}

@@ -29,7 +29,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
-#: Tokens that the models judge: long runs of the characters of keys, with a digit.
+#: Tokens that the models judge: long runs of the characters of keys, with a letter or a digit.
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Mean log-likelihood ratio a character that a token must exceed, in nats.
@@ -105,7 +105,7 @@ def model_spans(text: str, ratio: np.ndarray, base: list[tuple[int, int, int]])
     out = []
     for m in TOKEN.finditer(text):
         token = m.group()
-        if not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
+        if not any(c.isalnum() for c in token):  # a rule or a fence
             continue
         if any(start < m.end() and m.start() < end for start, _, end in base):
             continue
