@@ -307,3 +307,12 @@ def test_secrets_of_one_kind_of_characters(spark):
     data = [prose, f"see {key(lower, 16)} there", f"see {key(both[:52], 32)} there"]
     got = {r["doc_id"]: [tuple(f) for f in r["found"]] for r in secrets.find_secrets(table(spark, list(enumerate(data))), learned).collect()}
     assert got == {0: [], 1: [("markov", 4, 20)], 2: [("markov", 4, 36)]}
+
+
+@pytest.mark.parametrize("block", [16_000_000, 70])
+def test_passages_of_null_items(spark, block):
+    """Windows of items with a null id hit; the SQL counts them as one item without a name."""
+    docs = spark.createDataFrame([(1, "a b c"), (2, "c d"), (3, "e")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(None, "a b"), (None, "c"), (7, "b c"), (None, None)], "item_id bigint, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontamination.find_passages(docs, items, block_bytes=block).collect()}
+    assert got == {1: (3, ["7", None]), 2: (1, [None]), 3: (0, [])}

@@ -15,7 +15,9 @@ documents, so that no broadcast grows with the benchmark.
 
 Defined results: every row of the documents gives a row, also where rows repeat an id
 and a text, and however many blocks there are; a null text has no words; an item without words, or null, is no
-window; items that repeat an id are one item; an empty benchmark hits nothing; an
+window; items that repeat an id are one item, and
+so are those with a null id, whose windows hit as others do and which ``items`` names by a
+null, last; an empty benchmark hits nothing; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -197,7 +199,7 @@ def _search(docs: DataFrame, windows: Windows) -> DataFrame:
                 hit = np.concatenate([[0], np.cumsum(gone)])
                 hit = hit[found.first[1:]] - hit[found.first[:-1]]
                 spans = [_merged(gone[a:b]) if n else [] for n, a, b in zip(hit.tolist(), found.first[:-1].tolist(), found.first[1:].tolist(), strict=True)]
-                items = [sorted(set(windows.ids[item[a:b]])) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                items = [sorted(set(windows.ids[item[a:b]]), key=lambda x: (x is None, x)) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(batch.schema.get_field_index(c)).slice(lo, hi - lo) for c in others), pa.array(np.diff(found.first)), pa.array(hit), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))],
                     [*others, "n_words", "n_hit", "spans", "items"],
@@ -237,7 +239,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     which holds where a twentieth of the words or more are hit.
     """
     docs = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), "text")
-    items = benchmark.select(F.col("item_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text")).where("id is not null")
+    items = benchmark.select(F.col("item_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     blocks = max(1, -(-int(items.agg(F.sum(F.octet_length("text") + 64)).head()[0] or 0) // block_bytes))
     found = []
     for block in range(blocks):
