@@ -68,6 +68,56 @@ def test_jaccard(spark, corpus, size, percent):
     assert rows(got, "doc_id", "n_shingles", "component_id") == brute.components(corpus, size, percent)
 
 
+def heated(copies, seed=8):
+    """One group of exact copies, one of near copies around the bound, with edited copies of edited copies."""
+    rng = random.Random(seed)
+    words = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+
+    def edited(text, n):
+        text = list(text)
+        for _ in range(n):
+            at = rng.randrange(len(text))
+            text[at : at + 1] = rng.choice([[], words(1), [text[at], *words(1)]])
+        return text
+
+    base = words(150)
+    out = [base] * copies + [edited(base, rng.randint(1, 8)) for _ in range(copies)]
+    for _ in range(3):
+        far = edited(base, 12)
+        out += [edited(far, rng.randint(0, 6)) for _ in range(copies // 4)]
+    out += [words(30) + base[:60] for _ in range(copies // 4)] + [base[:75] + words(rng.randint(0, 20)) for _ in range(copies // 4)]
+    rng.shuffle(out)
+    return list(enumerate(" ".join(w) for w in out))
+
+
+@pytest.mark.parametrize(("size", "percent", "paired"), [(5, 80, 16), (3, 90, 1)])
+def test_jaccard_of_one_group(spark, monkeypatch, size, percent, paired):
+    """A group of near copies: no link is lost, and what is compared follows the number of sets."""
+    monkeypatch.setattr(jaccard, "PAIRED", paired)
+    compared, real = [], jaccard.linked_pairs
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "linked_pairs", counted)
+    docs = heated(300)
+    got = jaccard.linked_components(table(spark, docs), size=size, percent=percent)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == brute.components(docs, size, percent)
+    assert sum(compared) < (12 if paired > 1 else 40) * len(docs)
+
+
+def test_jaccard_sketches():
+    rng = np.random.default_rng(3)
+    for n in (40, 300, 5000):
+        one = rng.integers(0, 2**63, n).astype(np.uint64)
+        for apart in (0, 1, n // 10):
+            two = np.concatenate([one[apart:], rng.integers(0, 2**63, apart).astype(np.uint64)])
+            for m, k in ((256, 256), (1024, 256), (64, 2048)):
+                assert jaccard.hamming(jaccard.parity_bits(one, m), jaccard.parity_bits(two, k)) <= 2 * apart
+    assert jaccard.hamming(jaccard.parity_bits(one, 1024), jaccard.parity_bits(two, 1024)) > n // 20
+
+
 def test_jaccard_bands():
     for percent in (60, 80, 90, 95):
         bands = jaccard.Bands(percent)

@@ -15,22 +15,28 @@ that stay outnumber the possible differences: then a staying block is equal, and
 partner keeps it too.  A set for which they don't is dealt again, by another hash, as
 often as needed; the last time all its blocks stay.
 
-Sets of equal content are one class.  In each shared block the pivot, the set whose
-blocks are shared the most, is compared with every other on the texts; what links forms
-components.  Where a block still holds several components, its sets are compared with
-one reference, the component's set whose blocks are shared the most.  Two sets of
-different components, so not both linked to the reference, can link only if they
-differ from it in the same shingles: with x and y shingles between them and the
-reference, their distance is x + y less twice the overlap of those.  The bound on the
-overlap leaves few of them, by a common order, to be joined on (a prefix filter), with
-those that the reference lacks first, as changes of one's own seldom recur.  What they
-find is verified on the texts too.  So a group of near copies costs its size: no pair
-is formed for sharing a block or a reference alone.
+Each set has a sketch of single parity bits besides, some for each possible difference.
+The Hamming distance of two sketches is at most the symmetric difference, so pairs
+beyond the bound go before any text is read; the others are verified on the texts.
+
+Sets of equal content are one class.  Sets with an equal block form a group, and no
+group is turned into pairs.  Its pivot, the set whose blocks are shared the most, is
+compared with every other; what links forms components.  Where a group still holds
+several components, its sets are told apart by what they change of the pivot: two sets
+that are not both linked to the pivot can link only if they differ from it in the same
+shingles (with x and y shingles between them and the pivot, their distance is x + y
+less twice the overlap of those), and the bound on the overlap leaves a few changes of
+each set, by any common order, to meet on (a prefix filter).  Changes that ``PAIRED``
+sets or fewer have in common give pairs.  Sets that meet on others are taken again, with
+their rarest changes first; those that even then meet on a frequent change are much
+alike, form a group of the next level, and are compared with a pivot of their own.  So
+n near copies cost some n comparisons a level, not pairs; only what is left after
+``LEVELS`` levels, if anything, is compared pair by pair.
 
 Defined results: a null or empty text has no shingles, is linked with nothing and is
 its own component; a null id gets the component of its text's other copies, if any;
-rows that repeat an id are the same document; an empty table gives no rows; other
-columns are ignored.
+rows that repeat an id with several texts are several sets of one document, each with
+the component of its own text; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxatlas.llm import words as W
@@ -55,6 +61,12 @@ LEAST, LEAST_SMALL, SMALL = 3, 2, 31
 SLACK = (1.3, 1.5, 1.8, 2.2, 3.0)
 #: Blocks that should stay, on average, for each possible difference.
 MARGIN = 1.12
+#: Parity bits of a sketch for each possible difference, at least.
+BITS = 8
+#: Sets at most that meet on a change in pairs.
+PAIRED = 16
+#: Levels of groups with pivots of their own; what is left is compared pair by pair.
+LEVELS = 3
 
 
 class Bands:
@@ -93,6 +105,10 @@ class Bands:
         self.of(self.lower[band])
         return int(np.ceil(self.slack * (self.differences(self.lower[band + 1] - 1) + 1)))
 
+    def bits(self, size: int) -> int:
+        """Length of a set's sketch, a power of two."""
+        return max(64, 1 << (BITS * (self.differences(size) + 1) - 1).bit_length())
+
     def least(self, band: int) -> int:
         return min(self.fewest, LEAST_SMALL) if self.lower[band + 1] <= SMALL else self.fewest
 
@@ -148,8 +164,24 @@ def roles_of(hashes: np.ndarray, bands: Bands) -> list[dict]:
     return out
 
 
+def parity_bits(hashes: np.ndarray, bits: int) -> bytes:
+    """The sketch: each shingle changes one bit; that of half the length is the XOR of its halves."""
+    at = (W.mix(hashes ^ W.U64(W.BASE_WORDS)) & W.U64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def hamming(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, in the length of the shorter one."""
+    x, y = (np.frombuffer(v, np.uint64) for v in (a, b))
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, x, y, roles): x and y identify the shingle set."""
+    """(doc_id, row, n_shingles, x, y, roles, bits): x and y identify the shingle set, row the text."""
     kind = dict(docs.dtypes)["doc_id"]
     roles_type = pa.list_(pa.struct([("role", pa.int32()), ("keys", pa.list_(pa.int64()))]))
 
@@ -162,19 +194,36 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 spread = W.mix(hashes ^ W.U64(W.BASE_CHECK))
                 sums = [np.concatenate([np.zeros(1, W.U64), np.cumsum(v)]) for v in (hashes, spread)]
                 x, y = ((s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums)
-                roles = [roles_of(hashes[a:b], bands) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                sets = [hashes[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                roles = [roles_of(own, bands) for own in sets]
+                bits = [parity_bits(own, bands.bits(len(own))) if role else None for own, role in zip(sets, roles, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(x), pa.array(y), pa.array(roles, roles_type)],
-                    ["doc_id", "n_shingles", "x", "y", "roles"],
+                    [*(batch.column(k).slice(lo, hi - lo) for k in (0, 1)), pa.array(np.diff(first)), pa.array(x), pa.array(y), pa.array(roles, roles_type), pa.array(bits, pa.binary())],
+                    ["doc_id", "row", "n_shingles", "x", "y", "roles", "bits"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n_shingles bigint, x bigint, y bigint, roles array<struct<role: int, keys: array<bigint>>>")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    return rows.mapInArrow(scan, f"doc_id {kind}, row bigint, n_shingles bigint, x bigint, y bigint, roles array<struct<role: int, keys: array<bigint>>>, bits binary")
+
+
+def _paired(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """``pairs`` (a, b) with columns of both nodes."""
+    first, second = (table.select(F.col("node").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in columns)) for k in "ab")
+    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", *(f"{c}_{k}" for c in columns for k in "ab"))
+
 
+def close_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches differ in no more bits than linked sets may differ in shingles."""
+    kind = dict(pairs.dtypes)["a"]
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two, left, right = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b"))
+            near = [(100 + percent) * hamming(x, y) <= (100 - percent) * (m + n) for m, n, x, y in zip(one, two, left, right, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-def _paired(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
+    sized = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    return _paired(pairs, nodes, "n", "bits").where(sized).mapInArrow(check, f"a {kind}, b {kind}")
 
 
 def _pair_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array, int, int]]:
@@ -187,11 +236,15 @@ def _pair_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array, in
         lo = hi
 
 
-def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Every pair (a, b) with whether it links, and b's differences from a.
+def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int, whole: bool = False) -> DataFrame:
+    """Every pair (a, b) with b's differences from a.
 
-    ``changes`` has the differing shingles that b may have to be joined on: ``few`` of
-    them towards sets that are not linked with a, and ``many`` if b itself is not.
+    ``apart`` is the number of differing shingles.  b has to meet sets that differ from a
+    in as many or more on the first ``small`` of them, by any common order, and sets that
+    differ in fewer on the first ``large``: the overlap of a link between sets of x and y
+    differences is (x + y - D) / 2 at least, with D as most differences of their own.  A set
+    that is linked with a needs to meet only those that are not.  ``changes`` has ``large``
+    of the differing shingles, or with ``whole`` all.
     """
     kind = dict(pairs.dtypes)["a"]
 
@@ -209,27 +262,106 @@ def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
                 linked = (100 + percent) * apart <= (100 - percent) * (size_a + size_b)
                 most = np.array([bands.differences(k) for k in size_b.tolist()], np.int64)
                 overlap = np.maximum((apart * (100 + percent) + (100 - percent) * (size_a - size_b)) // (2 * (100 + percent)) + 1, apart - most)
-                few = np.clip(apart - overlap + 1, 0, apart)
-                many = np.where(linked, 0, np.minimum(apart, most + 1))
+                few = np.where(linked, np.clip(apart - overlap + 1, 0, apart), apart)
+                small, large = np.minimum(few, most // 2 + 1), np.minimum(few, most + 1)
                 # in one order for all: those that a lacks first, then by hash
                 pair = np.concatenate([pair_b[only_b], pair_a[only_a]])
                 shingle = np.concatenate([b[only_b], a[only_a]])
                 order = np.lexsort((shingle, np.repeat([0, 1], [only_b.sum(), only_a.sum()]), pair))
                 shingle, at = shingle[order].view(np.int64), np.concatenate([[0], np.cumsum(apart)])
-                wanted = np.maximum(few, many)
+                wanted = apart if whole else large
                 taken = shingle[W.ranges(at[:-1], wanted)]
                 changes = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(wanted)]).astype(np.int32)), pa.array(taken))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(linked), pa.array(size_b), pa.array(few), pa.array(many), changes],
-                    ["a", "b", "linked", "n", "few", "many", "changes"],
+                    [batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array(size_b), *(pa.array(v) for v in (apart, small, large)), changes],
+                    ["a", "b", "n", "apart", "small", "large", "changes"],
                 )
 
-    return _paired(pairs, texts).mapInArrow(check, f"a {kind}, b {kind}, linked boolean, n bigint, few bigint, many bigint, changes array<bigint>")
+    return _paired(pairs, texts, "text").mapInArrow(check, f"a {kind}, b {kind}, n bigint, apart bigint, small bigint, large bigint, changes array<bigint>")
+
+
+def linked_pairs(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that reach the similarity: near by their sketches, then verified on the texts."""
+    kind = dict(pairs.dtypes)["a"]
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right, lo, hi in _pair_slices(batch):
+                n = hi - lo
+                (first_a, a), (first_b, b) = shingle_sets(left, size), shingle_sets(right, size)
+                key_a, key_b = (W.mix(h + W.mix(np.repeat(np.arange(1, n + 1).astype(W.U64), np.diff(first)))) for h, first in ((a, first_a), (b, first_b)))
+                both = np.bincount(np.repeat(np.arange(n), np.diff(first_a))[np.isin(key_a, key_b)], minlength=n)
+                linked = 100 * both >= percent * (np.diff(first_a) + np.diff(first_b) - both)
+                yield pa.RecordBatch.from_arrays([batch.column(k).slice(lo, n) for k in (0, 1)], ["a", "b"]).filter(pa.array(linked))
+
+    return _paired(close_pairs(pairs, nodes, percent), texts, "text").mapInArrow(verify, f"a {kind}, b {kind}")
+
+
+def _stars(groups: DataFrame) -> DataFrame:
+    """(key, a, b): the pivot of each group of (key, node, sets), with every other set in it.
+
+    The pivot is the set that meets the most others, so that a set's groups mostly agree on it.
+    """
+    weight = groups.groupBy("node").agg(F.sum("sets").alias("weight"))
+    rows = keep(groups.join(weight, "node").select("key", "node", "weight"))
+    # the greatest weight, then the least node
+    heaviest = rows.groupBy("key").agg(F.max("weight").alias("weight"))
+    pivots = rows.join(heaviest, ["key", "weight"]).groupBy("key").agg(F.min("node").alias("a"))
+    return rows.join(pivots, "key").where("node <> a").select("key", "a", F.col("node").alias("b"))
+
+
+def _grouped(members: DataFrame) -> DataFrame:
+    """(key, node, sets) of the keys that several nodes have."""
+    return members.join(members.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"), "key")
+
 
+def _labelled(rows: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with the component of each of the named nodes; one without a link is its own."""
+    for c in columns:
+        rows = rows.join(labels.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")), c, "left").withColumn(f"component_{c}", F.coalesce(f"_{c}", c)).drop(f"_{c}")
+    return rows
 
-def linked_pairs(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts reach the similarity."""
-    return compared(pairs, texts, size, percent).where("linked").select("a", "b")
+
+def _met(changes: DataFrame) -> DataFrame:
+    """The rows of changes (a, shingle, b, component, k, ...) that sets of several components have.
+
+    ``pairs`` tells whether the rows may be paired: one side, those that meet larger sets
+    or those that meet smaller ones, has ``PAIRED`` rows at most.
+    """
+    shared = changes.groupBy("a", "shingle").agg(F.count("*").alias("sets"), F.count_if(F.col("k") < F.col("small")).alias("twos"), F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = shared.where((F.col("low") != F.col("high")) & (F.col("twos") > 0))
+    return changes.join(shared.select("a", "shingle", "sets", (F.col("twos") <= PAIRED).alias("pairs")), ["a", "shingle"])
+
+
+def _meeting(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets of different components that a change in common allows to be linked."""
+    sides = [met.where("pairs").select("a", "shingle", *(F.col(c).alias(f"{c}{i}") for c in ("b", "component", "n", "apart", "k", "small"))) for i in (1, 2)]
+    near = "component1 <> component2 and apart1 >= apart2 and k2 < small2"
+    near += f" and least(n1, n2) * 100 >= greatest(n1, n2) * {percent}"
+    most = f"(n1 + n2) * {100 - percent} div {100 + percent}"
+    near += f" and 2 * k1 <= apart1 - apart2 + {most} and 2 * k2 <= apart2 - apart1 + {most}"
+    return sides[0].join(sides[1].where("k2 < small2"), ["a", "shingle"]).where(near).select(F.least("b1", "b2").alias("a"), F.greatest("b1", "b2").alias("b"))
+
+
+def _refined(stars: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """What is left to compare in groups of several components: pairs (a, b), and groups (key, node, sets) of the next level."""
+    at = keep(_labelled(stars, labels, "a", "b"))
+    open_ = at.groupBy("key").agg(F.max((F.col("component_a") != F.col("component_b")).cast("int")).alias("open")).where("open = 1").select("key")
+    sets = keep(at.join(open_, "key").select("a", "b", F.col("component_b").alias("component")).distinct())
+    columns = ["a", "b", "component", "n", "apart", "small", "large"]
+    changes = compared(sets, texts, size, percent).join(sets, ["a", "b"]).select(*columns, F.posexplode("changes").alias("k", "shingle"))
+    met = keep(_met(keep(changes)))
+    pairs = _meeting(met, percent)
+
+    # the sets that meet on frequent changes, by their rarest ones
+    again = keep(met.where("not pairs").select("a", "b", "component").distinct())
+    whole = keep(compared(again, texts, size, percent, whole=True).join(again, ["a", "b"]).select(*columns, F.explode("changes").alias("shingle")))
+    times = whole.groupBy("a", "shingle").agg(F.count("*").alias("times"))
+    rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("times", "shingle")) - 1
+    ranked = whole.join(times, ["a", "shingle"]).withColumn("k", rank).where(F.col("k") < F.col("large"))
+    met = keep(_met(keep(ranked.drop("times"))))
+    pairs = keep(pairs.unionAll(_meeting(met, percent)).distinct())
+    return pairs, keep(met.where("not pairs").select(F.struct("a", "shingle").alias("key"), F.col("b").alias("node"), "sets"))
 
 
 def linked_components(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
@@ -240,41 +372,37 @@ def linked_components(docs: DataFrame, *, size: int = 5, percent: int = 80) -> D
     """
     made = keep(sketches(docs, size, percent))
     # written, so that the joins below read plain shuffles, which are split where a class is large
-    classes = keep(made.where("n_shingles > 0").groupBy("n_shingles", "x", "y").agg(F.min("doc_id").alias("first")))
+    text = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row"))
+    classes = keep(made.where("n_shingles > 0").groupBy("n_shingles", "x", "y").agg(F.min(text).alias("node")))
     blocks = made.select("x", "y", F.explode("roles.keys").alias("keys")).select("x", "y", F.explode("keys").alias("key"))
-    # a set has each key once, so a key that occurs once is not shared; equal sets count as one after this
+    # equal sets count as one from here on; a key that occurs once is not shared
     several = keep(blocks.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"))
     found = maybe_among(blocks, F.col("key"), several, F.col("key")).where("_maybe").drop("_maybe").join(several, "key").distinct()
-    found = keep(found.join(classes.select("x", "y", F.col("first").alias("doc_id")), ["x", "y"]).select("key", "doc_id"))
-    shared = found.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
-    rows = keep(found.join(shared, "key"))
-    # of a group of copies, the set nearest to all has the most blocks in common
-    weight = keep(rows.groupBy("doc_id").agg(F.sum("sets").alias("weight")))
-    centre = F.max(F.struct("weight", (-F.col("doc_id")).alias("least"), "doc_id"))
-    rows = keep(rows.select("key", "doc_id").join(weight, "doc_id"))
-    pivots = rows.groupBy("key").agg(centre.alias("c")).select("key", F.col("c.doc_id").alias("a"))
-    stars = keep(rows.join(pivots, "key").where("doc_id <> a").select("key", "a", F.col("doc_id").alias("b")))
-    texts = keep(maybe_among(docs.select("doc_id", "text"), F.col("doc_id"), weight, F.col("doc_id")).where("_maybe").drop("_maybe").join(weight.select("doc_id"), "doc_id").dropDuplicates(["doc_id"]))
-    links = keep(linked_pairs(stars.select("a", "b").distinct(), texts, size, percent))
+    found = keep(found.join(classes.select("x", "y", "node"), ["x", "y"]).where("node is not null").select("key", "node"))
+    groups = keep(_grouped(found))
+    asked = keep(groups.select("node").distinct())
+    nodes = keep(made.where("bits is not null").select(text.alias("node"), F.col("n_shingles").alias("n"), "bits").join(asked, "node").dropDuplicates(["node"]))
+    rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("row")).alias("node"), "text")
+    texts = keep(maybe_among(rows, F.col("node"), asked, F.col("node")).where("_maybe").drop("_maybe").join(asked, "node").dropDuplicates(["node"]))
+
+    stars = keep(_stars(groups))
+    links = keep(linked_pairs(stars.select("a", "b").distinct(), texts, nodes, size, percent))
     labels = components(links)
-
-    of = labels.select(F.col("node").alias("doc_id"), "component")
-    member = weight.join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    references = member.groupBy("component").agg(centre.alias("c")).select("component", F.col("c.doc_id").alias("reference"))
-    member = keep(member.join(references, "component"))
-    at = stars.join(member.select(F.col("doc_id").alias("b"), F.col("component").alias("cb")), "b").join(member.select(F.col("doc_id").alias("a"), F.col("component").alias("ca"), "reference"), "a")
-    open_ = at.groupBy("key").agg(F.max((F.col("ca") != F.col("cb")).cast("int")).alias("open")).where("open = 1").select("key")
-    sets = keep(at.join(open_, "key").select("reference", F.explode(F.array("a", "b")).alias("b")).where("reference <> b").distinct())
-    tested = keep(compared(sets.select(F.col("reference").alias("a"), "b"), texts, size, percent).join(member.select(F.col("doc_id").alias("b"), "component"), "b"))
-    changes = tested.select(F.col("a").alias("reference"), "b", "component", "n", "few", "many", F.posexplode("changes").alias("k", "shingle"))
-    one = changes.where("k < many").select("reference", "shingle", "b", "component", "n")
-    two = changes.where("k < few").select("reference", "shingle", F.col("b").alias("b2"), F.col("component").alias("component2"), F.col("n").alias("n2"))
-    near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
-    across = one.join(two, ["reference", "shingle"]).where((F.col("component") != F.col("component2")) & near).select(F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b")).distinct()
-    more = keep(tested.where("linked").select("a", "b").unionAll(linked_pairs(across, texts, size, percent)))
-    if not more.isEmpty():
-        labels = components(links.unionAll(more))
+    for level in range(LEVELS):
+        pairs, groups = _refined(stars, labels, texts, size, percent)
+        if level < LEVELS - 1:
+            stars = keep(_stars(groups))
+            met = stars.select("a", "b")
+        else:
+            met = groups.select("key", F.col("node").alias("a")).join(groups.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
+        apart = _labelled(met.distinct(), labels, "a", "b").where("component_a <> component_b").select("a", "b")
+        more = keep(linked_pairs(pairs.unionAll(apart).distinct(), texts, nodes, size, percent))
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            labels = components(links)
+        if stars.isEmpty():
+            break
 
     out = made.where("n_shingles > 0").select("doc_id", "n_shingles", "x", "y").join(classes, ["n_shingles", "x", "y"])
-    out = out.join(labels, F.col("first") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "first").alias("component_id"))
+    out = out.join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").getField("doc_id").alias("component_id"))
     return out.unionByName(made.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
