@@ -13,9 +13,10 @@ def sample(labels: DataFrame, label: str, most: int) -> DataFrame:
     """(doc_id, y, fold) of at most ``most`` labelled rows of each class, none held out.
 
     The rows of least hash are taken; ``fold`` is the remainder 1 to 4 of the id's
-    crc32 modulo 5.  The bound makes the result safe to broadcast.
+    crc32 modulo 5.  An id with both labels counts as 1.  The bound makes the result safe
+    to broadcast.
     """
-    rows = labels.where(~held_out()).where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("double").alias("y"), (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5).cast("int").alias("fold")).dropDuplicates(["doc_id"])
+    rows = labels.where(~held_out()).where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("double").alias("y"), (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5).cast("int").alias("fold")).groupBy("doc_id", "fold").agg(F.max("y").alias("y")).select("doc_id", "y", "fold")
     parts = [rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for y in (0.0, 1.0)]
     return parts[0].unionAll(parts[1])
 

@@ -4,7 +4,7 @@ Training counts, over a bounded sample of labelled documents, in how many toxic
 other documents each token occurs; a token is a lower-cased word or one of its first
 four to six bytes, so that inflected forms of a stem share evidence.  The log-odds
 under an informative Dirichlet prior, and their variance, give each token a weight and
-a z-score; significant tokens form the model, whose size is bounded.  Every other word
+a z-score; the significant tokens form the model, which the sample's bound bounds too.  Every other word
 costs a small constant, which makes the expected score negative.
 
 Scoring scans each whole text once for all maximal-scoring segments (the linear-time
@@ -36,8 +36,8 @@ from voxatlas.llm.labelled import logistic, sample, sigmoid
 
 #: Labelled documents of each class that the fit may use.
 SAMPLE = 20_000
-#: Tokens that the model may hold, and the z-score and log-odds that each needs.
-TOKENS, SIGNIFICANT, LEAST = 20_000, 2.3, 3.0
+#: The z-score and log-odds that a token of the model needs.
+SIGNIFICANT, LEAST = 2.3, 3.0
 #: What a word without evidence costs.
 DRIFT = 0.08
 #: Weight of the prior: so many documents, or a twentieth of those that are counted.
@@ -158,19 +158,21 @@ def segments(score: np.ndarray) -> list[tuple[float, int, int]]:
     if not len(up):
         return []
     sums = np.concatenate([[0.0], np.cumsum(score)])
-    stack: list[tuple[float, float, int, int]] = []  # sum before, sum after, start, end
+    # sum before, sum after, start, end, and the nearest segment to the left with a smaller sum before:
+    # a chain of such links is walked once, since its segments are merged or stay linked past
+    stack: list[tuple[float, float, int, int, int]] = []
     for i, left, right in zip(up.tolist(), sums[up].tolist(), sums[up + 1].tolist(), strict=True):
-        begin = i
-        while stack:
-            j = len(stack) - 1
+        begin, j = i, len(stack) - 1
+        while True:
             while j >= 0 and stack[j][0] >= left:
-                j -= 1
+                j = stack[j][4]
             if j < 0 or stack[j][1] >= right:
                 break
-            left, begin = stack[j][0], stack[j][2]
+            left, _, begin, _, before = stack[j]
             del stack[j:]
-        stack.append((left, right, begin, i + 1))
-    return [(b - a, s, e) for a, b, s, e in stack]
+            j = before
+        stack.append((left, right, begin, i + 1, j))
+    return [(b - a, s, e) for a, b, s, e, _ in stack]
 
 
 def evidence(score: np.ndarray, decay: float, rate: float) -> tuple[float, float, list[tuple[float, int, int]]]:
@@ -219,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     if len(sizes) < 2:
         return nothing
     odds = log_odds(token_counts(counting), sizes[1.0], sizes[0.0])
-    top = odds.where((F.col("z") >= SIGNIFICANT) & (F.col("weight") >= LEAST)).orderBy(F.desc("z"), "token").limit(TOKENS).collect()
+    top = odds.where((F.col("z") >= SIGNIFICANT) & (F.col("weight") >= LEAST)).select("token", "weight").collect()
     keys = np.array([r["token"] for r in top], np.int64).view(W.U64)
     weights = np.array([r["weight"] for r in top])
     order = np.argsort(keys)
