@@ -1,10 +1,12 @@
 """Each operator against its plain version, and on odd tables."""
 
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from voxatlas.llm import decontamination, jaccard, lines, packing, quality, queries, rules, secrets, substrings, toxicity
@@ -153,9 +155,26 @@ def test_secrets(spark):
         assert brute.sha(",".join(found)) == brute.secrets(t)[3]
     hidden = next(i for i, t in data if t and t.startswith("see "))
     assert [("markov", 4, 44)] == [tuple(f) for f in got[hidden]]
-    docs = table(spark, data, extra=False)
-    red = {r["doc_id"]: r["text"] for r in secrets.redact(docs, secrets.find_secrets(docs)).collect()}
-    assert red[hidden] == "see [secret] there"
+    docs = table(spark, data).withColumn("found", F.lit("clash"))
+    red = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert red[hidden] == "see [secret] there" and red[0] is None
+    odd = spark.createDataFrame([(1, "a password=hunter2222"), (1, "bb token: abcdefgh b"), (1, "bb token: abcdefgh b"), (None, "c password=hunter2222")], "doc_id bigint, text string")
+    ratio = np.zeros((secrets._STATES, secrets._STATES))
+    assert rows(secrets.redact(odd, ratio), "text") == [("a [secret]",), ("bb [secret] b",), ("bb [secret] b",), ("c [secret]",)]
+
+
+def test_secrets_held_out(spark):
+    """Keys drawn at random against identifiers made of words, none of them in the samples."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    key = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(20, 40)))
+    stems = "user account session request handler manager factory provider service client server network protocol message buffer stream reader writer parser token index cache memory storage engine vector matrix window thread process".split()
+    name = lambda: rng.choice(["_", "-", ""]).join(rng.choice(stems).capitalize() if rng.random() < 0.3 else rng.choice(stems) for _ in range(4))
+    prose = " ".join(" ".join(rng.choice(stems) for _ in range(6)) + " " + name() for _ in range(3000))
+    learned = secrets.train(table(spark, list(enumerate([prose, *(f"api_key={key()}" for _ in range(500))]))))
+    caught = sum(bool(secrets.model_spans(f"x {key()} y", learned, [])) for _ in range(400))
+    false = sum(bool(secrets.model_spans(f"x {name()} y", learned, [])) for _ in range(400))
+    assert caught >= 390 and false <= 4
 
 
 @pytest.mark.parametrize("block", [16_000_000, 400])
@@ -282,6 +301,34 @@ def test_segments_are_maximal():
         assert sum(s for s, _, _ in toxicity.segments(score)) == pytest.approx(sum(best(0, len(score))))
 
 
+def test_segments_are_those_of_the_definition():
+    """Spans and scores against a scan that looks at every earlier segment in turn."""
+
+    def plain(score):
+        sums, found = np.concatenate([[0.0], np.cumsum(score)]), []
+        for i in np.flatnonzero(score > 0).tolist():
+            a, b = i, i + 1
+            while True:
+                j = next((k for k in reversed(range(len(found))) if sums[found[k][0]] < sums[a]), None)
+                if j is None or sums[found[j][1]] >= sums[b]:
+                    break
+                a = found[j][0]
+                del found[j:]
+            found.append((a, b))
+        return [(pytest.approx(sums[b] - sums[a]), a, b) for a, b in found]
+
+    rng = np.random.default_rng(9)
+    for n in (1, 5, 40, 400):
+        for _ in range(30):
+            score = np.where(rng.random(n) < 0.3, rng.exponential(2, n), -rng.exponential(1, n))
+            assert [(s, a, b) for s, a, b in toxicity.segments(score)] == plain(score)
+    sparse = np.full(16_000 * 60, -0.08)
+    sparse[::60] = 3.0
+    began = time.time()
+    assert len(toxicity.segments(sparse)) == 16_000
+    assert time.time() - began < 2
+
+
 def test_empty_tables(spark):
     docs = table(spark, [])
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")

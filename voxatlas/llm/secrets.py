@@ -78,8 +78,10 @@ def train(docs: DataFrame) -> np.ndarray:
                 # ordinary identifiers: all words, as bytes; pairs within words only
                 found = W.words(texts.slice(lo, hi - lo))
                 code = _CODE[found.data]
-                pair = code[:-1] * _STATES + code[1:]
-                count[0] += np.bincount(pair[(code[:-1] < _STATES - 1) & (code[1:] < _STATES - 1)], minlength=_STATES * _STATES)
+                pair, inside = code[:-1] * _STATES + code[1:], (code[:-1] < _STATES - 1) & (code[1:] < _STATES - 1)
+                edges = W.offsets(texts)[lo + 1 : hi] - W.offsets(texts)[lo]  # texts lie back to back
+                inside[edges[(edges > 0) & (edges < len(code))] - 1] = False
+                count[0] += np.bincount(pair[inside], minlength=_STATES * _STATES)
                 for text in texts.slice(lo, hi - lo).cast(pa.large_string()).to_pylist():
                     some += [_value(text, span) for span in base_spans(text)]
                 if some:
@@ -135,12 +137,34 @@ def find_secrets(docs: DataFrame, ratio: np.ndarray | None = None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, found array<struct<kind: string, start: bigint, end: bigint>>")
 
 
-def redact(docs: DataFrame, found: DataFrame, mask: str = "[secret]") -> DataFrame:
-    """``docs`` with the found spans of each text replaced by ``mask``."""
+def redacted(text: str, spans: list[tuple[int, int, int]], mask: str) -> str:
+    """``text`` with ``mask`` in place of the spans; those that overlap give one mask."""
+    out, at = [], 0
+    for start, _, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], mask]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
 
-    def cut(text: str) -> str:
-        return f"""aggregate(array_sort(transform(found, s -> struct(s.start as a, s.end as b))), struct('' as out, 0L as at),
-            (r, s) -> if(s.a < r.at, struct(r.out, greatest(r.at, s.b) as at), struct(concat(r.out, substring({text}, int(r.at + 1), int(s.a - r.at)), '{mask}') as out, s.b as at)),
-            r -> concat(r.out, substring({text}, int(r.at + 1))))"""
 
-    return docs.join(found, "doc_id", "left").withColumn("text", F.when(F.size("found") > 0, F.expr(cut("text"))).otherwise(F.col("text"))).drop("found")
+def redact(docs: DataFrame, ratio: np.ndarray | None = None, mask: str = "[secret]") -> DataFrame:
+    """``docs`` with the secrets of each text replaced by ``mask``.
+
+    Each row is scanned by itself, whatever its id; a null text stays null.
+    """
+    if ratio is None:
+        ratio = train(docs)
+    plain = docs.toDF(*(name if name == "text" else f"_{k}" for k, name in enumerate(docs.columns)))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.schema.get_field_index("text")
+            texts = []
+            for text in batch.column(place).to_pylist():
+                base = base_spans(text or "")
+                texts.append(text and redacted(text, base + model_spans(text, ratio, base), mask))
+            columns = list(batch.columns)
+            columns[place] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return plain.mapInArrow(scan, ", ".join(f"{c} {kind}" for c, kind in plain.dtypes)).toDF(*docs.columns)
