@@ -172,12 +172,12 @@ marked as (select doc_id, count(distinct p) as n from (select doc_id, unnest(ran
 measured as (
     select d.doc_id, len(ws)::bigint as n_words, len(array_to_string(ws, ''))::bigint as word_chars, len(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(m.n, 0)::bigint as n_repeat_words, len(lines) as n_lines, len(list_distinct(ws)) as n_distinct,
-        len(list_intersect(list_distinct(ws), [{stops}])) as stop_words, len(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper, len(regexp_replace(text, '[^!?]', '', 'g')) as n_marks
+        len([w for w in ws if w in ({stops})]) as n_stops, len(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper, len(regexp_replace(text, '[^!?]', '', 'g')) as n_marks
     from docs d left join marked m using (doc_id)
 ),
 ratios as (
     select *, greatest(n_words, 1) as w, word_chars / w as mean_word_chars, n_symbols / w as symbol_ratio, n_dup_lines / greatest(n_lines, 1) as dup_line_ratio,
-        n_upper / greatest(word_chars, 1) as upper_ratio, n_marks / w as mark_ratio, n_distinct / w as distinct_word_ratio, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed
+        n_upper / greatest(word_chars, 1) as upper_ratio, n_marks / w as mark_ratio, n_distinct / w as distinct_word_ratio, n_stops / w as stop_word_ratio, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed
     from measured
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {bounds} as kept from ratios
