@@ -65,12 +65,12 @@ class Encoder:
         self.model = Tokenizer(self.tokenizer.model)
         self.model.normalizer = None
         self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.suffix = self.tokenizer.model.end_of_word_suffix
+        self.suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if self.suffix and token.endswith(self.suffix)]] = True
         self.marks = np.zeros(256, "<u4")
-        for mark in ".,":
+        for mark in ".," if self.suffix else "":
             self.marks[ord(mark)] = self._whole([mark])[0][0]
         self._forget()
 
@@ -152,6 +152,16 @@ class Encoder:
         return place
 
 
+def id_type(tokenizer: str | None, window: int, *more: int) -> str:
+    """The unsigned little-endian type that holds every id, and every position within a window."""
+    from tokenizers import Tokenizer
+
+    most = max(*Tokenizer.from_file(tokenizer or default_tokenizer()).get_vocab().values(), window - 1, *more)
+    if most >= 1 << 32:
+        raise ValueError("ids and positions have 32 bits at most")
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
 def fold(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 text with A-Z and U+00C0 to U+00DE in lower case, and which bytes belong to letters below U+0100."""
     low = W.LOWER[data]
@@ -163,14 +173,14 @@ def fold(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, letter
 
 
-def pieces(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, tokenizer: str | None = None, with_ids: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, tokenizer: str | None = None, with_ids: str = "", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Tokenised documents cut into pieces of at most ``window`` ids.
 
-    Columns: the id, start, length, ids_crc32, doc_tokens, and with ``with_ids`` the
-    ids as little-endian uint16 (the vocabulary has fewer than 65,536 entries).
+    Columns: the id, start, length, ids_crc32, doc_tokens, and with ``with_ids``, the
+    name of a type (see ``id_type``), the ids.
     """
     kind = dict(docs.dtypes)[id_column]
-    fields = f"{id_column} {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids binary" * with_ids
+    fields = f"{id_column} {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids binary" * bool(with_ids)
     end = np.array([end_id], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +201,7 @@ def pieces(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, token
                         crc.append(zlib.crc32(part.tobytes()))
                         total.append(len(one))
                         if with_ids:
-                            raw.append(part.astype("<u2").tobytes())
+                            raw.append(part.astype(with_ids).tobytes())
                 columns = [ids.take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))]
                 names = [id_column, "start", "length", "ids_crc32", "doc_tokens"]
                 if with_ids:
@@ -261,7 +271,9 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
 
 def _grouped(docs: DataFrame, parts: DataFrame, id_column: str, text_column: str, group_bytes: int) -> DataFrame:
     n = groups_of(docs, F.coalesce(F.octet_length(text_column), F.lit(0)) + 64, group_bytes)
-    return parts.withColumn("_group", F.pmod(F.xxhash64(id_column, "start", "ids_crc32"), F.lit(n)))
+    # equal pieces (of rows that repeat) are told apart by the task that reads them, which
+    # stays the same if the task is run again, so that no group holds all of them
+    return parts.withColumn("_group", F.pmod(F.xxhash64(id_column, "start", "ids_crc32", F.spark_partition_id()), F.lit(n)))
 
 
 def _order(group: pd.DataFrame, id_column: str) -> pd.DataFrame:
@@ -297,24 +309,26 @@ def pack(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, tokeniz
 def packed_matrices(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, pad_id: int = 0, tokenizer: str | None = None, group_bytes: int = GROUP_BYTES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Packed id matrices: one row per sequence of ``window`` ids.
 
-    Columns: sequence_id; ids (little-endian uint16, padded with ``pad_id``);
-    positions (uint16, starting again at 0 with each piece and in the padding);
+    Columns: sequence_id; ids (little-endian uint16, or uint32 where an id or a position
+    needs it: ``id_type``; padded with ``pad_id``); positions (of the same type,
+    starting again at 0 with each piece and in the padding);
     cu_seqlens (0, then the cumulative lengths of the pieces); n_tokens; pieces (the
     id, start and length of each piece, in their order).  Cutting loses nothing:
     the pieces of a document, in order of start, hold its ids.
     """
-    parts = pieces(docs, window=window, end_id=end_id, tokenizer=tokenizer, with_ids=True, id_column=id_column, text_column=text_column)
+    stored = id_type(tokenizer, window, end_id, pad_id)
+    parts = pieces(docs, window=window, end_id=end_id, tokenizer=tokenizer, with_ids=stored, id_column=id_column, text_column=text_column)
     kind = dict(docs.dtypes)[id_column]
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = _order(group, id_column)
         where, offset = best_fit(group["length"].tolist(), window)
         count = max(where) + 1
-        ids = np.full((count, window), pad_id, "<u2")
-        positions = np.zeros((count, window), "<u2")
+        ids = np.full((count, window), pad_id, stored)
+        positions = np.zeros((count, window), stored)
         held: list[list[int]] = [[] for _ in range(count)]
         for k, (which, at, raw) in enumerate(zip(where, offset, group["ids"], strict=True)):
-            part = np.frombuffer(raw, "<u2")
+            part = np.frombuffer(raw, stored)
             ids[which, at : at + len(part)] = part
             positions[which, at : at + len(part)] = np.arange(len(part))
             held[which].append(k)
