@@ -137,7 +137,7 @@ def test_components(spark):
 
 
 def test_rules(spark, corpus):
-    got = rules.evaluate(table(spark, corpus, extra=False))
+    got = rules.evaluate(table(spark, corpus).withColumns({"n_words": F.lit("clash"), "kept": F.lit("clash"), "triples": F.lit("clash")}))
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     assert rows(got, "doc_id", *columns) == sorted((i, *brute.rules(t)) for i, t in corpus)
     assert got.where("kept and (base_failed or size(failed_rules) > 0)").isEmpty()
@@ -198,6 +198,16 @@ def test_fm_index():
         assert sorted(index.locate(np.arange(a, b))) == want
 
 
+def test_short_lines(spark):
+    """With a lower bound of words, lines of three words meet the edit bound too."""
+    texts = ["one two three\nfour five", "one two THREE\nfour five six", "one three\nx", None, "", "one two three four\nfive", "seven eight nine ten\nseven nine ten"]
+    data = list(enumerate(texts))
+    for near in (2, 3, 5):
+        got = lines.dedup_lines(table(spark, data), near_words=near)
+        want = sorted((i, "NULL" if t is None else t, n, g) for i, t, n, g in brute.lines(data, near))
+        assert rows(got.selectExpr("doc_id", "coalesce(text, 'NULL') text", "n_lines", "n_removed"), "doc_id", "text", "n_lines", "n_removed") == want
+
+
 def test_lines(spark, corpus):
     small = [(i, t) for i, t in corpus if not t or len(t) < 20000]
     more = [(1000 + k, t) for k, t in enumerate(["a b c d e f g h", "a b c d X f g h", "a b c d e f g h i\n  a b   c d e f g h ", "b c d e f g h\nb c d e f g h", "q " * 3000, "q " * 2999 + "r", "x a b c d e f g h", "a a a a a a a a a\na a a a a a a a"])]
@@ -244,6 +254,27 @@ def test_matrices(spark, corpus, tmp_path):
     assert all((back[i] == ids[i]).all() for i in ids)
 
 
+def test_matrices_of_a_large_vocabulary(spark, tmp_path):
+    """Ids of 65536 and more keep their value, as do positions."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    tokenizer = Tokenizer(models.WordLevel({f"w{k}": k for k in range(70_000)} | {"?": 70_000}, unk_token="?"))
+    tokenizer.pre_tokenizer = pre_tokenizers.Whitespace()
+    tokenizer.save(str(tmp_path / "large.json"))
+    docs = table(spark, [(0, "w69999 w1 w65536"), (1, "w65535 nothing"), (2, None)])
+    (row,) = packing.packed_matrices(docs, window=16, tokenizer=str(tmp_path / "large.json")).collect()
+    ids, ends = np.frombuffer(row["ids"], "<u4").tolist(), row["cu_seqlens"]
+    assert [(p["doc_id"], ids[a:b]) for p, a, b in zip(row["pieces"], ends, ends[1:], strict=False)] == [(0, [69_999, 1, 65_536, 1]), (1, [65_535, 70_000, 1]), (2, [1])]
+    assert packing.id_type(str(tmp_path / "large.json"), 16) == packing.id_type(None, 70_000) == "<u4" and packing.id_type(None, 2048) == "<u2"
+
+
+def test_repeated_rows_are_spread(spark, monkeypatch):
+    """Pieces of rows that repeat do not all fall into one group."""
+    docs = spark.createDataFrame([(1, "same words again " * 50)] * 400, "doc_id bigint, text string").repartition(8)
+    got = packing.pack(docs, window=256, group_bytes=20_000)
+    assert got.count() == 400 and got.selectExpr("shiftright(sequence_id, 32) g").distinct().count() > 2
+
+
 def test_best_fit():
     rng = random.Random(2)
     lengths = sorted((rng.randint(1, 60) for _ in range(400)), reverse=True)
@@ -340,7 +371,7 @@ def test_empty_tables(spark):
         quality.score(docs, quality.train(docs, labels)),
         substrings.remove_repeated_spans(docs),
         jaccard.linked_components(docs),
-        rules.evaluate(table(spark, [], extra=False)),
+        rules.evaluate(table(spark, [])),
         secrets.find_secrets(docs),
         decontamination.find_passages(docs, items),
         lines.dedup_lines(docs),

@@ -20,17 +20,24 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
+#: Temporary folders of local sessions without the setting.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting (a test) gets a temporary folder.
+    Only a local session without the setting (a test) gets a temporary folder, one for
+    its application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL:
+            _LOCAL[application] = tempfile.mkdtemp(prefix="checkpoint-")
+        folder = _LOCAL[application]
     return folder
 
 
