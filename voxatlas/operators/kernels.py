@@ -25,7 +25,10 @@ def convolve(block: np.ndarray, weights: list[float]) -> np.ndarray:
     for axis in range(block.ndim):
         n = block.shape[axis]
         padded = _along(block, axis, -r, r)
-        block = np.moveaxis(sum(w * padded[k : k + n] for k, w in enumerate(weights)), 0, axis)
+        out = np.zeros((n, *padded.shape[1:]), padded.dtype)
+        for k, w in enumerate(weights):
+            out += padded.dtype.type(w) * padded[k : k + n]
+        block = np.moveaxis(out, 0, axis)
     return block
 
 
@@ -39,7 +42,10 @@ def _ranked(block: np.ndarray, size: int, best, mirror: bool = False) -> np.ndar
         n = block.shape[axis]
         padded = _along(block, axis, low, high)
         first = low + max(0, -low)
-        block = np.moveaxis(best.reduce([padded[first + k : first + k + n] for k in range(size)]), 0, axis)
+        out = padded[first : first + n].copy()
+        for k in range(1, size):
+            best(out, padded[first + k : first + k + n], out=out)
+        block = np.moveaxis(out, 0, axis)
     return block
 
 
@@ -103,6 +109,32 @@ def volumes(labels: np.ndarray) -> np.ndarray:
 def watershed(raw: np.ndarray, markers: np.ndarray, mask: np.ndarray, unsigned: bool = True) -> np.ndarray:
     """Markers grown over the mask from bright to dark, neighbours first come first served.
 
+    Pieces of the mask that do not touch have nothing to do with each other, so only the
+    box of each piece with a marker is flooded.
+    """
+    out = np.zeros(raw.shape, np.uint32)
+    pieces = label(mask)
+    wanted = np.unique(pieces[(markers > 0) & (mask != 0)])
+    at = np.flatnonzero(pieces)
+    if not len(at) or not len(wanted):
+        return out
+    of = pieces.ravel()[at].astype(np.int64)
+    places = np.unravel_index(at, raw.shape)
+    low, high = (np.full((raw.ndim, int(of.max()) + 1), v, np.int64) for v in (np.iinfo(np.int64).max, -1))
+    for axis, place in enumerate(places):
+        np.minimum.at(low[axis], of, place)
+        np.maximum.at(high[axis], of, place)
+    for piece in wanted[wanted > 0].tolist():
+        box = tuple(slice(int(a), int(b) + 1) for a, b in zip(low[:, piece], high[:, piece], strict=True))
+        inside = pieces[box] == piece
+        grown = _flooded(raw[box], np.where(inside, markers[box], 0), inside, unsigned)
+        out[box][inside] = grown[inside]
+    return out
+
+
+def _flooded(raw: np.ndarray, markers: np.ndarray, mask: np.ndarray, unsigned: bool) -> np.ndarray:
+    """One piece flooded, in order of level and then of arrival.
+
     With ``unsigned`` the intensity is negated in 16-bit arithmetic, where 0 stays the
     lowest level and is reached first.
     """

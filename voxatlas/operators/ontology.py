@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxatlas.functions.scalar import ratio
+from voxatlas.operators.kept import kept
 
 #: Field names of the ontology JSON and their column types.
 ONTOLOGY_FIELDS = {
@@ -90,20 +91,23 @@ def with_children(regions: DataFrame, order: str = "preorder") -> DataFrame:
 def closure(regions: DataFrame) -> DataFrame:
     """(id, ancestor) for every region and each of its ancestors, itself included.
 
-    The path length doubles with every join, so a tree of depth d takes log d of them.
-    A parent that is no region itself ends the path.
+    The path length doubles with every join, so a tree of depth d takes log d of them;
+    each turn's paths are written, and the next turn reads them.  A parent that is no
+    region itself ends the path; a circle of parents is an error.
     """
     ids = regions.select("id").distinct()
     paths = ids.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("steps"))
     jumps = regions.where("parent_structure_id is not null").select("id", F.col("parent_structure_id").alias("ancestor")).join(ids.select(F.col("id").alias("ancestor")), "ancestor", "left_semi").select("id", "ancestor", F.lit(1).alias("steps"))
-    paths = paths.unionByName(jumps)
-    length = 1
+    paths = kept(paths.unionByName(jumps))
+    length, most = 1, ids.count()
     while True:
         ends = paths.where(F.col("steps") == length)
         if ends.isEmpty():
             return paths.select("id", "ancestor")
+        if length >= most:
+            raise ValueError("a region is its own ancestor")
         further = ends.join(paths.where("steps > 0").select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next"), F.col("steps").alias("more")), "ancestor")
-        paths = paths.unionByName(further.select("id", F.col("next").alias("ancestor"), (F.col("steps") + F.col("more")).alias("steps")))
+        paths = kept(paths.unionByName(further.select("id", F.col("next").alias("ancestor"), (F.col("steps") + F.col("more")).alias("steps"))))
         length *= 2
 
 

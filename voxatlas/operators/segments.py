@@ -2,27 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-AXES = ("z", "y", "x")
-
+from voxatlas.operators.kept import kept
 
-def _kept(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder of spark.checkpoint.dir and read again."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+AXES = ("z", "y", "x")
 
 
 def runs(points: DataFrame) -> DataFrame:
@@ -41,20 +26,20 @@ def connected_components(points: DataFrame) -> DataFrame:
     name of that name, which halves long chains, until no name changes.
     """
     name = F.struct("z", "y", F.col("start").alias("x"))
-    voxels = _kept(runs(points).select(*AXES, name.alias("run")))
+    voxels = kept(runs(points).select(*AXES, name.alias("run")))
     here = voxels.select(*AXES, F.col("run").alias("a"))
     links = None
     for axis in ("z", "y"):
         there = voxels.select(*((F.col(c) + 1).alias(c) if c == axis else F.col(c) for c in AXES), F.col("run").alias("b"))
         touching = here.join(there, list(AXES)).select("a", "b")
         links = touching if links is None else links.unionAll(touching)
-    both = _kept(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = kept(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = voxels.select("run").distinct().select("run", F.col("run").alias("component"))
     while True:
         near = both.join(labels.select(F.col("run").alias("b"), F.col("component").alias("m")), "b").groupBy("a").agg(F.min("m").alias("m"))
-        least = _kept(labels.join(near, labels["run"] == near["a"], "left").select("run", F.col("component").alias("was"), F.least("component", F.coalesce("m", "component")).alias("component")))
+        least = kept(labels.join(near, labels["run"] == near["a"], "left").select("run", F.col("component").alias("was"), F.least("component", F.coalesce("m", "component")).alias("component")))
         jump = least.select(F.col("run").alias("_at"), F.col("component").alias("_further"))
-        labels = _kept(least.join(jump, F.col("component") == F.col("_at"), "left").select("run", "was", F.least("component", F.coalesce("_further", "component")).alias("component")))
+        labels = kept(least.join(jump, F.col("component") == F.col("_at"), "left").select("run", "was", F.least("component", F.coalesce("_further", "component")).alias("component")))
         if labels.where("was <> component").isEmpty():
             break
         labels = labels.drop("was")
@@ -91,3 +76,14 @@ def first_voxels(labelled: DataFrame, label: str = "label") -> DataFrame:
         measures.append(F.sum("v").alias("sum_intensity"))
     out = labelled.groupBy(label).agg(*measures)
     return out.select(label, *(F.col(f"_f.{a}").alias(a) for a in AXES), *out.columns[2:])
+
+
+def cells_of_labels(raw: DataFrame, seeds: DataFrame, grown: DataFrame) -> DataFrame:
+    """Cells from two label volumes: where each seed label begins, and what its grown label measures.
+
+    ``seeds`` and ``grown`` have (z, y, x, label), ``raw`` the intensities; a label
+    that nothing has grown from gives no cell.
+    """
+    at = seeds.where("label > 0").groupBy("label").agg(F.min(F.struct(*AXES)).alias("_f"))
+    measured = grown.where("label > 0").join(raw.select(*AXES, "v"), list(AXES)).groupBy("label").agg(F.count("*").alias("volume"), F.sum("v").alias("sum_intensity"))
+    return at.join(measured, "label").select("label", *(F.col(f"_f.{a}").alias(a) for a in AXES), F.lit(1).cast("bigint").alias("count"), "volume", "sum_intensity")

@@ -113,11 +113,16 @@ def manual_threshold(voxels: DataFrame, value: float) -> DataFrame:
 def mean_threshold(voxels: DataFrame, deviations: float = 0) -> DataFrame:
     """1 where v exceeds the mean of the positive values by so many population deviations.
 
-    Mean and deviation come from exact integer sums, one row that every task gets.
+    Mean and deviation come from exact sums of 38 digits, one row that every task gets;
+    the squares of 2e9 voxels of 16 bits would not fit 64 bits.
     """
     v = F.col("v").cast("double")
-    stats = voxels.where("v > 0").agg(F.count("*").cast("double").alias("_n"), F.sum("v").cast("double").alias("_s"), F.sum(F.col("v") * F.col("v")).cast("double").alias("_q"))
-    spread = F.sqrt(F.greatest(F.try_divide("_q", "_n") - F.try_divide("_s", "_n") * F.try_divide("_s", "_n"), F.lit(0.0)))
+    whole = F.col("v").cast("decimal(18,0)")
+    stats = voxels.where("v > 0").agg(F.count("*").cast("decimal(19,0)").alias("_n"), F.sum(whole).cast("decimal(19,0)").alias("_s"), F.sum((whole * whole).cast("decimal(28,0)")).alias("_q"))
+    # n * n * variance, exact where it fits
+    scatter = F.expr("cast(_q as decimal(38,0)) * _n - cast(_s * _s as decimal(38,0))").cast("double")
+    stats = stats.select(F.col("_n").cast("double").alias("_n"), F.col("_s").cast("double").alias("_s"), scatter.alias("_c"))
+    spread = F.try_divide(F.sqrt(F.greatest("_c", F.lit(0.0))), "_n")
     limit = stats.select((F.try_divide("_s", "_n") + F.lit(float(deviations)) * spread).alias("_limit"))
     return voxels.join(F.broadcast(limit)).select(*AXES, F.coalesce((v > F.col("_limit")).cast("int"), F.lit(0)).alias("v"))
 
@@ -155,7 +160,9 @@ def otsu_bin(counts: DataFrame) -> DataFrame:
     everything = Window.partitionBy()
     weighed = F.col("bin").cast("bigint") * F.col("n")
     sums = counts.select("bin", F.sum("n").over(below).alias("w"), F.sum(weighed).over(below).alias("s"), F.sum("n").over(everything).alias("wt"), F.sum(weighed).over(everything).alias("st"))
-    # w0 * w1 * (mean0 - mean1)^2 = (wt * s - st * w)^2 / (w * (wt - w)), in exact numerators
+    # w0 * w1 * (mean0 - mean1)^2 = (wt * s - st * w)^2 / (w * (wt - w)), in exact numerators of
+    # 38 digits: products of the counts of 1e9 voxels do not fit 64 bits
+    sums = sums.select("bin", *(F.col(c).cast("decimal(18,0)").alias(c) for c in ("w", "s", "wt", "st")))
     diff = (F.col("wt") * F.col("s") - F.col("st") * F.col("w")).cast("double")
     variance = F.coalesce(F.try_divide(diff * diff, (F.col("w") * (F.col("wt") - F.col("w"))).cast("double")), F.lit(0.0))
     return sums.select("bin", variance.alias("variance")).agg(F.max_by("bin", F.struct("variance", -F.col("bin"))).alias("otsu_bin"))

@@ -18,7 +18,7 @@ class Config:
     ref_version: str = "average_template_25"
     annot_version: str = "ccf_2016_25"
     map_version: str = "ABA_annotations"
-    chunk: tuple[int, int, int] = (64, 64, 64)
+    chunk: tuple[int, int, int] = (400, 400, 400)
     ref_orient: tuple[int, int, int] = (1, 2, 3)
     ref_trim: tuple[Slice, Slice, Slice] = (WHOLE, WHOLE, WHOLE)
     rough: tuple[int, int, int] = (3, 6, 6)

@@ -112,7 +112,7 @@ class Pipeline:
         found = B.blocks_to_table(zipped, ["raw", "overlap", "maxima", "mask"], lambda *blocks: N.cells(*blocks, depth=depth), CELLS_SCHEMA)
         kept = C.volume_between(found, self.config.min_wshed_size, self.config.max_wshed_size)
         # a key of its own for each cell: chunk and label
-        key = F.xxhash64(*B.KEY, "label")
+        key = F.concat_ws("-", *(F.col(c).cast("string") for c in (*B.KEY, "label")))
         return self.stage("cells_raw", lambda: kept.withColumn("cell_id", key))
 
     # ---- cells to regions

@@ -347,7 +347,7 @@ def manual_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.manual_threshold(fx.volume(spark, sf_dir), 1050)
 
 
-@query("mean_threshold", with_(VOX, "s as (select avg(v) as m, stddev_pop(v) as d from vox where v > 0)") + "select z, y, x, (v > m + 1 * d)::int as v from vox, s")
+@query("mean_threshold", with_(VOX, "s as materialized (select count(*)::hugeint as n, sum(v)::hugeint as s, sum(v * v)::hugeint as q from vox where v > 0)") + "select z, y, x, (v * n > s and (v * n - s) * (v * n - s) > n * q - s * s)::int as v from (select z, y, x, v::hugeint as v, (select n from s) as n, (select s from s) as s, (select q from s) as q from vox)")
 def mean_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.mean_threshold(fx.volume(spark, sf_dir), 1)
 
