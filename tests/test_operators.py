@@ -10,12 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxatlas.functions import scalar
-from voxatlas.operators import cells, chunks, combine, kernels, masks, ontology, rasters, segments, stencils, voxels
+from voxatlas.operators import cells, chunks, combine, kernels, masks, ontology, rasters, segments, stencils, voxels, warps
 from voxatlas.plans import config as configs
 from voxatlas.plans.config import Config
 from voxatlas.plans.project import Project
-from voxatlas.plans.stages import Pipeline, run_all
-from voxatlas.sources import points, tables, tiff
+from voxatlas.plans.stages import Pipeline, combine_folder, run_all
+from voxatlas.sources import images, points, tables, tiff
 
 
 def volume(spark, array):
@@ -73,6 +73,9 @@ def test_ontology_round_trip(spark, tmp_path):
     assert {r["id"]: r["children"] for r in ontology.with_children(regions).collect()} == {1: [2, 3], 2: [4], 3: [], 4: [], 9: []}
     deep = tree(spark, [(0, None), *((k, k - 1) for k in range(1, 40))])
     assert ontology.closure(deep).count() == 40 * 41 // 2
+    assert ontology.closure(tree(spark, [(1, None), (2, 1), (3, 77)])).count() == 4
+    with pytest.raises(ValueError):
+        ontology.closure(tree(spark, [(1, 3), (2, 1), (3, 2), (4, None)]))
 
 
 def test_outline(spark):
@@ -123,6 +126,14 @@ def test_otsu(spark):
     assert voxels.otsu_threshold(df).agg(F.sum("v")).head()[0] == 15
 
 
+def test_counts_beyond_64_bits(spark):
+    """Histograms of a billion voxels, and squares that do not fit 64 bits."""
+    counts = [(0, 900_000_000), (3, 80_000_000), (200, 40_000_000)]
+    assert voxels.otsu_bin(spark.createDataFrame(counts, "bin int, n bigint")).head()[0] == 3
+    large = spark.createDataFrame([(0, 0, x, v) for x, v in enumerate([3 * 10**9] * 3 + [4 * 10**9])], "z int, y int, x int, v bigint")
+    assert sorted((r["x"], r["v"]) for r in voxels.mean_threshold(large, 1).collect()) == [(0, 0), (1, 0), (2, 0), (3, 1)]
+
+
 @pytest.mark.parametrize("size", [3, 4])
 def test_stencils_equal_kernels(spark, block, size):
     df = volume(spark, block)
@@ -256,17 +267,113 @@ def test_config(spark, tmp_path):
     assert list(run_all({"a": fails, "b": lambda: None})) == ["a"]
 
 
-def test_pipeline(spark, tmp_path):
-    rng = random.Random(6)
+def test_transformations(spark):
+    """A constant B-spline field moves by itself, a linear one linearly; beyond the field nothing moves."""
+    places = spark.createDataFrame([(k, 0.5 + k, 2.0, 3.25) for k in range(5)], "cell_id bigint, z double, y double, x double")
+    grid = spark.createDataFrame([(a, b, c, 1.5, -0.5 * b, float(a)) for a in range(6) for b in range(6) for c in range(6)], "gz int, gy int, gx int, dz double, dy double, dx double")
+    got = {r["cell_id"]: r for r in warps.bspline(places, grid, (-2, -2, -2), (2, 2, 2)).collect()}
+    for k in range(5):
+        inside = 1 <= (0.5 + k + 2) / 2 < 4
+        want = (0.5 + k + 1.5, 2.0 - 0.5 * 2.0, 3.25 + (0.5 + k + 2) / 2) if inside else (0.5 + k, 2.0, 3.25)
+        assert (got[k]["z"], got[k]["y"], got[k]["x"]) == pytest.approx(want)
+    image = volume(spark, np.arange(24).reshape(2, 3, 4))
+    assert (array(warps.warp_image(image, (2, 3, 4), lambda p: p), (2, 3, 4)) == np.arange(24).reshape(2, 3, 4)).all()
+
+
+def test_image_files(spark, tmp_path, block):
+    df = volume(spark, block)
+    parts = sorted(images.nifti_members(df, block.shape).collect(), key=lambda r: r["part"])
+    (tmp_path / "a.nii.gz").write_bytes(b"".join(bytes(r["content"]) for r in parts))
+    assert (array(images.read_image(spark, str(tmp_path / "a.nii.gz")), block.shape) == block).all()
+    chunks.from_voxels(df, block.shape, (3, 4, 5)).write.parquet(str(tmp_path / "a.parquet"))
+    box = ((1, 6, 2), (None, 3, None), (2, None, None))
+    want = block[tuple(slice(*s) for s in box)]
+    assert (array(images.read_image(spark, str(tmp_path / "a.parquet"), box), want.shape) == want).all()
+    images.write_slices(df, str(tmp_path / "slices"))
+    (tmp_path / "s.tif").write_bytes(tiff.encode([next(tiff.pages(bytes(r["content"]))) for r in spark.read.parquet(str(tmp_path / "slices")).orderBy("z").collect()]))
+    assert (array(images.read_image(spark, str(tmp_path / "s.tif")), block.shape) == block).all()
+    with pytest.raises(NotImplementedError):
+        images.read_image(spark, "x.png")
+    np.save(tmp_path / "a.npy", block.astype(np.uint16))
+    skip, shape, dtype = images.npy_header((tmp_path / "a.npy").read_bytes())
+    assert (shape, dtype) == (block.shape, np.dtype("<u2")) and skip + block.size * 2 == (tmp_path / "a.npy").stat().st_size
+    text = images.mhd((tmp_path / "a.npy").read_bytes(), "a.npy")
+    assert "DimSize = 9 6 7\n" in text and "ElementType = MET_USHORT\n" in text
+    assert tables.remove(spark, str(tmp_path / "a.npy")) and not tables.remove(spark, str(tmp_path / "a.npy"))
+
+
+def test_watershed_by_pieces():
+    """Flooding piece by piece is flooding of the whole."""
+    rng = np.random.default_rng(12)
+    for _ in range(5):
+        raw, mask = rng.integers(0, 40, (6, 7, 8)), rng.random((6, 7, 8)) < 0.6
+        markers = np.where(rng.random(raw.shape) < 0.05, rng.integers(1, 9, raw.shape), 0)
+        assert (kernels.watershed(raw, markers, mask) == kernels._flooded(raw, markers, mask, True)).all()
+
+
+def spotted(seed):
+    rng = random.Random(seed)
     raw = np.full((12, 16, 16), 10)
     centres = [(3, 4, 4), (8, 11, 5), (5, 6, 12)]
     for c in centres:
         for d in itertools.product((-1, 0, 1), repeat=3):
             raw[tuple(a + b for a, b in zip(c, d, strict=True))] = 900 - 100 * sum(map(abs, d)) - rng.randint(0, 5)
-    settings = Config(chunk=(6, 8, 8), overlap_depth=5, tophat_sigma=5, dog_sigma1=1, dog_sigma2=4, large_gauss_sigma=8, threshold=20, min_threshold_size=4, max_threshold_size=200, maxima_sigma=5, max_wshed_size=300, rough=(1, 1, 1), fine=(1.0, 1.0, 1.0))
+    return raw, centres
+
+
+SPOTTED = Config(chunk=(6, 8, 8), overlap_depth=5, tophat_sigma=5, dog_sigma1=1, dog_sigma2=4, large_gauss_sigma=8, threshold=20, min_threshold_size=4, max_threshold_size=200, maxima_sigma=5, max_wshed_size=300, rough=(1, 1, 1), fine=(1.0, 1.0, 1.0), lower_bound=(5, 0), mask_threshold=8, tuning_trim=((0, 6, None), (0, 16, None), (0, 16, None)), combine_cellc_trim=((2, 9, None), (None, None, None), (None, None, None)))
+
+
+def test_two_specimens(spark, tmp_path):
+    """Everything for two specimens, one from image files, then the folder's combined table."""
+    regions = tree(spark, [(1, None), (2, 1), (3, 1)])
+    for name, seed in (("s10", 6), ("s9", 7)):
+        raw, centres = spotted(seed)
+        annotation = volume(spark, np.where(np.indices(raw.shape)[2] < 8, 2, 3)).withColumnRenamed("v", "id")
+        project = Project(str(tmp_path / "all" / name))
+        configs.write(spark, SPOTTED, project.config)
+        source = volume(spark, raw)
+        if name == "s9":
+            source = str(tmp_path / "raw.tif")
+            (tmp_path / "raw.tif").write_bytes(tiff.encode(list(raw.astype(np.uint16))))
+        out = Pipeline(spark, project).run(source, annotation, regions, tuning=name == "s9", visual=name == "s9")
+        assert {r["id"]: r["count"] for r in out.collect()} == {1: 3, 2: 2, 3: 1}
+        share = {r["id"]: r["volume_prop"] for r in spark.read.parquet(project.path("mask_regions")).collect()}
+        # the mask is the whole image: closing eats two voxels at its borders, and opening the corners
+        assert share == {1: 848 / 3072, 2: 424 / 1536, 3: 424 / 1536}
+    tuned = spark.read.parquet(project.for_tuning().path("cells_raw"))
+    assert {(r["z"], r["y"], r["x"]) for r in tuned.collect()} == {c for c in centres if c[0] < 6}
+    stack = spark.read.parquet(project.path("stack_cells"))
+    assert stack.count() == 7 * 16 * 16 and stack.agg(F.max("c0")).head()[0] == min(900, raw.max())
+    assert spark.read.parquet(project.path("points_trfm")).count() == 3
+    assert spark.read.csv(project.path("cells_agg_csv"), header=True).count() == 3
+    both = combine_folder(spark, str(tmp_path / "all"), regions, str(tmp_path / "out"))
+    assert {r["id"]: (r["s9__count"], r["s10__count"], r["s9__volume_mask"]) for r in both.where("id > 0").collect()} == {1: (3, 3, 848), 2: (2, 2, 424), 3: (1, 1, 424)}
+    assert combine_folder(spark, str(tmp_path / "all"), regions, str(tmp_path / "out")).columns == both.columns
+    pipeline = Pipeline(spark, project)
+    tables_ = {n: spark.read.parquet(project.path(n)) for n in ("overlap", "maxima", "threshold_filtered", "cells_raw")}
+    labels = pipeline.maxima_labels(tables_["maxima"])
+    again = pipeline.cells_from_labels(tables_["overlap"], labels, tables_["threshold_filtered"])
+    measures = lambda df: sorted((r["z"], r["y"], r["x"], r["volume"], r["sum_intensity"]) for r in df.collect())
+    assert measures(again) == measures(tables_["cells_raw"])
+    assert {(r["z"], r["y"], r["x"]) for r in pipeline.cells_coords(tables_["maxima"]).collect()} == set(centres)
+    with pytest.raises(ValueError):
+        pipeline.ingest(str(tmp_path / "none.png"))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from voxatlas.__main__ import main
+
+    main(["config", str(tmp_path / "p"), "--set", '{"threshold": 7}'])
+    assert json.loads(capsys.readouterr().out)["threshold"] == 7
+    assert configs.read(spark, Project(str(tmp_path / "p")).config).threshold == 7
+
+
+def test_pipeline(spark, tmp_path):
+    raw, centres = spotted(6)
     annotation = volume(spark, np.where(np.indices(raw.shape)[2] < 8, 2, 3)).withColumnRenamed("v", "id")
-    pipeline = Pipeline(spark, Project(str(tmp_path)), settings)
-    got = {r["id"]: r["count"] for r in pipeline.run(volume(spark, raw), annotation, tree(spark, [(1, None), (2, 1), (3, 1)])).collect()}
+    pipeline = Pipeline(spark, Project(str(tmp_path)), SPOTTED)
+    got = {r["id"]: r["count"] for r in pipeline.run(volume(spark, raw), annotation, tree(spark, [(1, None), (2, 1), (3, 1)]), mask=False, tuning=False).collect()}
     assert got == {1: 3, 2: 2, 3: 1}
     found = {(r["z"], r["y"], r["x"]) for r in spark.read.parquet(Project(str(tmp_path)).path("cells_raw")).collect()}
     assert found == set(centres)

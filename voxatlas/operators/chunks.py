@@ -132,6 +132,12 @@ def trim_halo(chunks: DataFrame) -> DataFrame:
     return chunks.mapInPandas(cut, SCHEMA)
 
 
+def to_block(points: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Points of chunks (``KEY`` and z, y, x in the whole volume) with places from their chunk's first voxel."""
+    origins = chunks.select(*KEY, *(F.col(f"{a}0").alias(f"_{a}0") for a in AXES))
+    return points.join(origins, KEY).withColumns({a: F.col(a) - F.col(f"_{a}0") for a in AXES}).drop(*(f"_{a}0" for a in AXES))
+
+
 def zip_blocks(chunks: dict[str, DataFrame]) -> DataFrame:
     """Chunk tables of one grid side by side: <name>_payload, _dtype and _halo for each."""
     out = None

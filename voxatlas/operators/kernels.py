@@ -165,6 +165,26 @@ def _flooded(raw: np.ndarray, markers: np.ndarray, mask: np.ndarray, unsigned: b
     return np.array(out, np.uint32)[inner].reshape(raw.shape)
 
 
+def cells_of_labels(overlap: np.ndarray, labels: np.ndarray, mask: np.ndarray, depth: int) -> dict[str, np.ndarray]:
+    """Cells of a block whose maxima are labelled already, halo included.
+
+    The watershed starts from all labels, so that cells of the halo take what is theirs;
+    those whose first voxel lies in the core are given, with places from the core's
+    first voxel, unless nothing is left to them.
+    """
+    grown = watershed(overlap, labels, mask)
+    n = int(labels.max(initial=0))
+    found, first = np.unique(labels.ravel(), return_index=True)
+    found, first = found[found > 0].astype(np.int64), first[found > 0]
+    places = np.array(np.unravel_index(first, labels.shape)).reshape(labels.ndim, -1) - depth
+    core = np.array(labels.shape)[:, None] - 2 * depth
+    volume = np.bincount(grown.ravel(), minlength=n + 1)[found]
+    total = np.bincount(grown.ravel(), weights=overlap.ravel().astype(np.float64), minlength=n + 1)[found]
+    own = ((places >= 0) & (places < core)).all(axis=0) & (volume > 0)
+    z, y, x = places[:, own]
+    return {"label": found[own], "z": z, "y": y, "x": x, "count": np.ones(int(own.sum()), np.int64), "volume": volume[own], "sum_intensity": total[own]}
+
+
 def cells(core: np.ndarray, overlap: np.ndarray, maxima: np.ndarray, mask: np.ndarray, depth: int) -> dict[str, np.ndarray]:
     """Cells of a block with a halo of ``depth``: one for each maximum in its core.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ INVALID, UNIVERSE = -1, 0
 SPECIAL_NAMES = {INVALID: "invalid", UNIVERSE: "universe"}
 NO_LABEL = "no_label"
 MEASURES = ["count", "volume", "sum_intensity"]
+#: Rows that a task of the closure reads.
+ROWS_PER_FILE = 1_000_000
 
 
 def _walk(nodes: list[dict]) -> Iterator[dict]:
@@ -95,20 +98,24 @@ def closure(regions: DataFrame) -> DataFrame:
     each turn's paths are written, and the next turn reads them.  A parent that is no
     region itself ends the path; a circle of parents is an error.
     """
-    ids = regions.select("id").distinct()
-    paths = ids.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("steps"))
-    jumps = regions.where("parent_structure_id is not null").select("id", F.col("parent_structure_id").alias("ancestor")).join(ids.select(F.col("id").alias("ancestor")), "ancestor", "left_semi").select("id", "ancestor", F.lit(1).alias("steps"))
-    paths = kept(paths.unionByName(jumps))
-    length, most = 1, ids.count()
-    while True:
-        ends = paths.where(F.col("steps") == length)
-        if ends.isEmpty():
-            return paths.select("id", "ancestor")
+    edges = kept(regions.select("id", "parent_structure_id"))
+    most = edges.count()
+    edges = edges.coalesce(1 + most // ROWS_PER_FILE)
+    ids = edges.select("id").distinct()
+    jumps = edges.join(ids.select(F.col("id").alias("parent_structure_id")), "parent_structure_id", "left_semi").select("id", F.col("parent_structure_id").alias("ancestor"), F.lit(1).alias("steps"))
+    paths = [ids.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("steps")), jumps]
+    ends = below = kept(jumps)
+    length = 1
+    while not ends.isEmpty():
         if length >= most:
             raise ValueError("a region is its own ancestor")
-        further = ends.join(paths.where("steps > 0").select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next"), F.col("steps").alias("more")), "ancestor")
-        paths = kept(paths.unionByName(further.select("id", F.col("next").alias("ancestor"), (F.col("steps") + F.col("more")).alias("steps"))))
+        onward = below.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next"), F.col("steps").alias("more"))
+        further = kept(ends.join(onward, "ancestor").select("id", F.col("next").alias("ancestor"), (F.col("steps") + F.col("more")).alias("steps")))
+        paths.append(further)
+        below = below.unionByName(further)
         length *= 2
+        ends = further.where(F.col("steps") == length)
+    return reduce(DataFrame.unionByName, paths).select("id", "ancestor")
 
 
 def rollup(measured: DataFrame, regions: DataFrame, measures: list[str]) -> DataFrame:

@@ -85,5 +85,5 @@ def cells_of_labels(raw: DataFrame, seeds: DataFrame, grown: DataFrame) -> DataF
     that nothing has grown from gives no cell.
     """
     at = seeds.where("label > 0").groupBy("label").agg(F.min(F.struct(*AXES)).alias("_f"))
-    measured = grown.where("label > 0").join(raw.select(*AXES, "v"), list(AXES)).groupBy("label").agg(F.count("*").alias("volume"), F.sum("v").alias("sum_intensity"))
+    measured = grown.where("label > 0").select(*AXES, "label").join(raw.select(*AXES, "v"), list(AXES)).groupBy("label").agg(F.count("*").alias("volume"), F.sum("v").alias("sum_intensity"))
     return at.join(measured, "label").select("label", *(F.col(f"_f.{a}").alias(a) for a in AXES), F.lit(1).cast("bigint").alias("count"), "volume", "sum_intensity")

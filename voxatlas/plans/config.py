@@ -40,6 +40,7 @@ class Config:
     maxima_sigma: int = 10
     min_wshed_size: int = 1
     max_wshed_size: int = 1000
+    combine_cellc_trim: tuple[Slice, Slice, Slice] = ((0, 10, None), WHOLE, WHOLE)
     heatmap_raw_radius: int = 5
     heatmap_trfm_radius: int = 3
 
@@ -72,6 +73,17 @@ def read(spark: SparkSession, path: str) -> Config:
     return Config.from_json("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
 
 
+def found(spark: SparkSession, path: str) -> bool:
+    """Whether there are parameters at a path."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        read(spark, path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def write(spark: SparkSession, config: Config, path: str) -> None:
     spark.createDataFrame([(config.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 

@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 #: Artefacts of a project by their folder; those of cell counting exist for tuning too.
 FOLDERS = {
-    "registration": ["ref", "annot", "ontology", "downsampled_rough", "downsampled_fine", "trimmed", "bounded"],
-    "mask": ["mask_fill", "mask_outline", "mask_regions"],
+    "registration": ["ref", "annot", "ontology", "downsampled_rough", "downsampled_fine", "trimmed", "bounded", "registered"],
+    "mask": ["mask_fill", "mask_outline", "mask_code", "mask_regions"],
     "cellcount": ["raw", "overlap", "threshold_filtered", "maxima", "maxima_labels", "wshed_volumes", "wshed_filtered"],
-    "analysis": ["cells_raw", "cells_trfm", "cells", "cells_agg", "cells_agg_csv"],
-    "visual": ["points_raw", "heatmap_raw", "points_trfm", "heatmap_trfm"],
+    "analysis": ["cells_coords", "cells_raw", "cells_labels", "cells_trfm", "cells", "cells_agg", "cells_agg_csv"],
+    "visual": ["points_raw", "heatmap_raw", "points_trfm", "heatmap_trfm", "maxima_final", "threshold_final", "wshed_final", "stack_registration", "stack_cells", "stack_points"],
 }
 _FOLDER = {name: folder for folder, names in FOLDERS.items() for name in names}
 

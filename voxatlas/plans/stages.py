@@ -20,10 +20,12 @@ from voxatlas.operators import ontology as O
 from voxatlas.operators import rasters as R
 from voxatlas.operators import stencils as T
 from voxatlas.operators import voxels as V
+from voxatlas.operators.warps import warp_image
 from voxatlas.plans import config as configs
 from voxatlas.plans.config import Config
 from voxatlas.plans.project import Project
-from voxatlas.sources.tables import exists, read_parquet, write_csv, write_parquet
+from voxatlas.sources.tables import exists, folders, is_folder, read_parquet, write_csv, write_parquet
+from voxatlas.sources.tiff import read_stack
 
 CELLS_SCHEMA = "label bigint, z bigint, y bigint, x bigint, count bigint, volume bigint, sum_intensity double"
 
@@ -59,6 +61,25 @@ class Pipeline:
         c = self.config
         return self.stage("bounded", lambda: image.withColumn("v", V.bound(F.col("v"), c.lower_bound, c.upper_bound)))
 
+    def registered(self, image: DataFrame, reference: DataFrame, transform=None) -> DataFrame:
+        """The specimen's image seen from the atlas: every atlas voxel reads where ``transform`` sends it."""
+        return self.stage("registered", lambda: warp_image(image, V.shape(reference), transform or (lambda points: points)))
+
+    # ---- raw data
+
+    def ingest(self, path: str) -> DataFrame:
+        """Voxels of a TIFF file or of a folder of slices; nothing else is an image to begin with."""
+        if not path.rstrip("/").lower().endswith((".tif", ".tiff")) and not is_folder(self.spark, path):
+            raise ValueError(f"{path} is neither a TIFF file nor a folder of slices")
+        return read_stack(self.spark, path)
+
+    def tuning(self, raw_chunks: DataFrame) -> "Pipeline":
+        """The pipeline of the tuning project, whose raw volume is a box of this one's."""
+        out = Pipeline(self.spark, self.project.for_tuning(), self.config, self.overwrite)
+        box = V.trim(B.to_voxels(raw_chunks), self.config.tuning_trim)
+        out.stage("raw", lambda: B.from_voxels(box, V.shape(box), self.config.chunk))
+        return out
+
     # ---- cell counting
 
     def overlap(self, raw_chunks: DataFrame, sizes: tuple[int, int, int]) -> DataFrame:
@@ -106,6 +127,26 @@ class Pipeline:
 
         return self.stage("wshed_volumes", lambda: zipped.mapInPandas(blocks, B.SCHEMA))
 
+    def watershed_filtered(self, volumes: DataFrame) -> DataFrame:
+        """The watershed's volumes without those out of bounds."""
+        least, most = self.config.min_wshed_size or 0, self.config.max_wshed_size or np.iinfo(np.int64).max
+        return self.stage("wshed_filtered", lambda: B.map_blocks(volumes, lambda v: np.where((v >= least) & (v <= most), v, 0).astype("<u4")))
+
+    def maxima_labels(self, maxima: DataFrame) -> DataFrame:
+        """The maxima of each block numbered by their first voxels, those in the halo too."""
+        return self.stage("maxima_labels", lambda: B.map_blocks(maxima, lambda v: N.label(v).astype("<u4")))
+
+    def cells_coords(self, maxima: DataFrame) -> DataFrame:
+        """Only where the maxima are: a row for each voxel, measures unknown."""
+        return self.stage("cells_coords", lambda: V.nonzero(B.to_voxels(maxima, zeros=False)))
+
+    def cells_from_labels(self, overlap: DataFrame, labels: DataFrame, mask: DataFrame) -> DataFrame:
+        """Cells of each block from labels that exist already: those whose first voxel lies in the core."""
+        depth = self.config.overlap_depth
+        zipped = B.zip_blocks({"overlap": overlap, "labels": labels, "mask": mask})
+        found = B.blocks_to_table(zipped, ["overlap", "labels", "mask"], lambda *blocks: N.cells_of_labels(*blocks, depth=depth), CELLS_SCHEMA)
+        return self.stage("cells_labels", lambda: found.withColumn("cell_id", F.concat_ws("-", *(F.col(c).cast("string") for c in (*B.KEY, "label")))))
+
     def cells_raw(self, raw_chunks: DataFrame, overlap: DataFrame, maxima: DataFrame, mask: DataFrame) -> DataFrame:
         depth = self.config.overlap_depth
         zipped = B.zip_blocks({"raw": raw_chunks, "overlap": overlap, "maxima": maxima, "mask": mask})
@@ -147,6 +188,7 @@ class Pipeline:
         moved = transform(events) if transform else events
         rounded = moved.withColumns({a: F.rint(a).cast("int") for a in C.AXES}).where(C.in_bounds(sizes))
         outline = self.stage("mask_outline", lambda: rounded)
+        self.stage("mask_code", lambda: M.outline_code(outline))
         filled = self.stage("mask_fill", lambda: T.binary_open(T.binary_close(M.fill(outline, sizes[2]).distinct(), sizes), sizes))
         return self.stage("mask_regions", lambda: M.coverage(filled, annotation, whole_annotation, regions))
 
@@ -161,30 +203,86 @@ class Pipeline:
             "heatmap_trfm": self.stage("heatmap_trfm", lambda: R.heatmap_strict(cells_trfm, atlas_shape, c.heatmap_trfm_radius)),
         }
 
+    def trimmed_to_final(self, blocks: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Block artefacts (maxima, threshold, wshed) as voxels, without halos, in the box that pictures show."""
+        return {name: self.stage(f"{name}_final", lambda df=df: V.trim(B.to_voxels(df), self.config.combine_cellc_trim)) for name, df in blocks.items()}
+
+    def stacked(self, name: str, images: list[DataFrame]) -> DataFrame:
+        """Images of one shape as the channels of a picture."""
+        return self.stage(f"stack_{name}", lambda: V.stack_channels(images))
+
     # ---- everything
 
-    def run(self, raw: DataFrame, annotation: DataFrame, regions: DataFrame, transform=None) -> DataFrame:
-        """From raw voxels to the region table of one specimen."""
-        sizes = V.shape(raw)
-        raw_chunks = self.stage("raw", lambda: B.from_voxels(raw, sizes, self.config.chunk))
-        annotation = self.reference("annot", annotation.withColumnRenamed("id", "v")).withColumnRenamed("v", "id")
-        overlap = self.overlap(raw_chunks, sizes)
-        mask = self.threshold_filtered(overlap)
-        maxima = self.maxima(overlap, mask)
-        cells = self.cells_raw(raw_chunks, overlap, maxima, mask)
-        moved = self.cells_transformed(cells, transform)
-        return self.cells_grouped(self.cells_mapped(cells, moved, annotation, regions), regions)
+    def count_cells(self, raw_chunks: DataFrame) -> dict[str, DataFrame]:
+        """The stages of cell counting, from raw chunks to cells."""
+        first = raw_chunks.agg(*(F.max(F.col(f"{a}0") + F.col(f"n{a}")) for a in V.AXES)).head()
+        out = {"overlap": self.overlap(raw_chunks, tuple(int(n) for n in first))}
+        out["threshold"] = self.threshold_filtered(out["overlap"])
+        out["maxima"] = self.maxima(out["overlap"], out["threshold"])
+        out["wshed"] = self.watershed_filtered(self.watershed_volumes(out["overlap"], out["maxima"], out["threshold"]))
+        out["cells"] = self.cells_raw(raw_chunks, out["overlap"], out["maxima"], out["threshold"])
+        return out
 
+    def run(self, raw: DataFrame | str, annotation: DataFrame, regions: DataFrame, transform=None, reference: DataFrame | None = None, *, mask: bool = True, tuning: bool = True, visual: bool = False) -> DataFrame:
+        """From raw voxels, or the path of an image, to the region table of one specimen.
 
-def combine(spark: SparkSession, projects: dict[str, Project], regions: DataFrame) -> DataFrame:
-    """The combined table of specimens, which must have been made with the same atlas."""
+        Raw data, images for registration, the coverage mask, counting on the tuning box
+        and on everything, mapping and grouping; with ``visual`` pictures too.
+        ``transform`` moves points of the trimmed image into the atlas.
+        """
+        def ingest() -> DataFrame:
+            voxels = self.ingest(raw) if isinstance(raw, str) else raw
+            return B.from_voxels(voxels, V.shape(voxels), self.config.chunk)
+
+        raw_chunks = self.stage("raw", ingest)
+        whole = annotation
+        annotation = self.reference("annot", annotation.withColumnRenamed("id", "v")).withColumnRenamed("v", "id")
+        if mask or visual:
+            trimmed = self.trimmed(self.fine(self.rough(B.to_voxels(raw_chunks))))
+            bounded = self.bounded(trimmed)
+        if mask:
+            self.mask_regions(bounded, annotation, whole, regions, transform)
+        if tuning:
+            part = self.tuning(raw_chunks)
+            part.count_cells(read_parquet(self.spark, part.project.path("raw")))
+        found = self.count_cells(raw_chunks)
+        moved = self.cells_transformed(found["cells"], transform)
+        cells = self.cells_mapped(found["cells"], moved, annotation, regions)
+        if visual:
+            atlas = self.reference("ref", reference if reference is not None else whole.withColumnRenamed("id", "v"))
+            raw_shape, atlas_shape = V.shape(B.to_voxels(raw_chunks)), V.shape(annotation)
+            pictures = self.visual_checks(found["cells"], raw_shape, moved, atlas_shape)
+            final = self.trimmed_to_final({name: found[name] for name in ("maxima", "threshold", "wshed")})
+            box = V.trim(B.to_voxels(raw_chunks), self.config.combine_cellc_trim)
+            self.stacked("cells", [box, final["threshold"], final["wshed"]])
+            self.stacked("points", [atlas, annotation.withColumnRenamed("id", "v"), R.dense(pictures["heatmap_trfm"], atlas_shape)])
+        return self.cells_grouped(cells, regions)
+
+
+def combine(spark: SparkSession, projects: dict[str, Project], regions: DataFrame, path: str | None = None, overwrite: bool = False) -> DataFrame:
+    """The combined table of specimens, which must have been made with the same atlas.
+
+    With ``path`` it is written there, as parquet and as csv, unless it is there already.
+    """
     if not projects:
         raise ValueError("no specimens")
+    if path and not overwrite and exists(spark, f"{path}/combined"):
+        return read_parquet(spark, f"{path}/combined")
     versions = {name: configs.read(spark, p.config) for name, p in projects.items()}
     if len({(c.ref_version, c.annot_version, c.map_version) for c in versions.values()}) > 1:
         raise ValueError("the specimens were made with different atlases")
     tables = {name: K.specimen_table(read_parquet(spark, p.path("cells_agg")), read_parquet(spark, p.path("mask_regions"))) for name, p in projects.items()}
-    return K.combine_wide(K.annotations(spark, regions), tables)
+    out = K.combine_wide(K.annotations(spark, regions), tables)
+    if path:
+        out = write_parquet(out, f"{path}/combined")
+        write_csv(out, f"{path}/combined_csv")
+    return out
+
+
+def combine_folder(spark: SparkSession, root: str, regions: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
+    """The combined table of all projects right below ``root``: the folders that have parameters."""
+    found = {p.rstrip("/").rsplit("/", 1)[-1]: Project(p) for p in folders(spark, root)}
+    return combine(spark, {name: p for name, p in found.items() if configs.found(spark, p.config)}, regions, path, overwrite)
 
 
 def run_all(specimens: dict[str, object]) -> dict[str, Exception]:

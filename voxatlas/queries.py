@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxatlas import fixtures as fx
+from voxatlas.functions import scalar
 from voxatlas.operators import cells as C
 from voxatlas.operators import chunks as B
 from voxatlas.operators import combine as K
@@ -18,6 +19,7 @@ from voxatlas.operators import rasters as R
 from voxatlas.operators import segments as G
 from voxatlas.operators import stencils as T
 from voxatlas.operators import voxels as V
+from voxatlas.operators import warps as P
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -576,3 +578,188 @@ def points_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = point_lines(fx.cells(spark, sf_dir).select(F.lit(0).alias("cell_id"), *C.AXES))
     given = lines.select(F.concat(F.lit("Point\t7\t; InputIndex = [ 0 0 0 ]\t; OutputPoint = [ "), "line", F.lit(" ]\t; Deformation = [ 0 0 0 ]")).alias("value"))
     return parse_output_points(given).groupBy("z", "y", "x").agg(F.count("*").alias("n"))
+
+
+def _mirrored_sql(axis: str, chunk: int, depth: int) -> str:
+    """Each place of each block along an axis, halo included: its block, its place there and the voxel that it shows."""
+    n = "(select n from top)" if axis == "z" else "8"
+    return f"block_{axis} as (select c.i as chunk_{axis}, p.i as p{axis}, {_reflect(f'(c.i * {chunk} - {depth} + p.i)', n)} as {axis} from (select unnest(range(({n} + {chunk} - 1) // {chunk})) as i) c, range({chunk} + 2 * {depth}) p(i) where p.i < least({n} - c.i * {chunk}, {chunk}) + 2 * {depth})"
+
+
+HALO, BLOCK = 3, (40, 4, 8)
+
+
+@query(
+    "halo_blocks",
+    with_(VOX, TOP, *(_mirrored_sql(a, c, HALO) for a, c in zip("zyx", BLOCK, strict=True)))
+    + """select chunk_z::int as chunk_z, chunk_y::int as chunk_y, chunk_x::int as chunk_x, count(*) as n, sum(v)::bigint as total, sum(v * ((pz * 7 + py * 5 + px * 3) % 97))::bigint as placed
+    from block_z a, block_y b, block_x c, vox where vox.z = a.z and vox.y = b.y and vox.x = c.x group by all""",
+)
+def halo_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every block with its halo, as sums that depend on each voxel's place in the block."""
+    import numpy as np
+
+    volume = fx.volume(spark, sf_dir)
+    sizes = V.shape(volume)
+    halo = B.add_halo(B.from_voxels(volume, sizes, BLOCK), sizes, BLOCK, HALO)
+
+    def sums(block):
+        z, y, x = np.indices(block.shape)
+        v = block.astype(np.int64)
+        return {"z": [0], "y": [0], "x": [0], "n": [v.size], "total": [v.sum()], "placed": [(v * ((z * 7 + y * 5 + x * 3) % 97)).sum()]}
+
+    zipped = B.zip_blocks({"halo": halo})
+    return B.blocks_to_table(zipped, ["halo"], sums, "z bigint, y bigint, x bigint, n bigint, total bigint, placed bigint").drop("z", "y", "x")
+
+
+@query("maxima_coords", with_(VOX, TOP, *_window_sql("m", "vox", 4, "max")) + "select 1::bigint as label, a.z, a.y, a.x, -1 as volume, -1 as sum_intensity from vox a join mx b using (z, y, x) where a.v = b.v and a.v >= 1000")
+def maxima_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates of the maxima alone, found block by block."""
+    volume = fx.volume(spark, sf_dir)
+    sizes = V.shape(volume)
+    halo = B.add_halo(B.from_voxels(volume, sizes, BLOCK), sizes, BLOCK, HALO)
+    return V.nonzero(B.to_voxels(B.map_blocks(halo, lambda block: N.local_maxima(block, 4, block >= 1000).astype("u1")), zeros=False))
+
+
+@query("block_places", with_(VOX) + f"select (z // {BLOCK[0]})::int as chunk_z, (y // {BLOCK[1]})::int as chunk_y, (x // {BLOCK[2]})::int as chunk_x, z % {BLOCK[0]} as z, y % {BLOCK[1]} as y, x % {BLOCK[2]} as x, v from vox where v > 1100")
+def block_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates of the whole volume as places within blocks."""
+    volume = fx.volume(spark, sf_dir)
+    blocks = B.from_voxels(volume, V.shape(volume), BLOCK)
+    keyed = volume.where("v > 1100").select(*(F.expr(f"cast({a} div {c} as int)").alias(k) for a, c, k in zip(B.AXES, BLOCK, B.KEY, strict=True)), *B.AXES, "v")
+    return B.to_block(keyed, blocks)
+
+
+@query(
+    "cells_of_labels",
+    with_(VOX, "seeds as (select z, y, x, z // 10 + 1 as label, (z * 8 + y) * 8 + x as i from vox where v >= 1100)", "grown as (select v, z // 10 + 1 as label from vox where v >= 1000 and y < 4 and z % 20 < 17)")
+    + "select s.label, (i // 64)::int as z, (i // 8 % 8)::int as y, (i % 8)::int as x, 1::bigint as count, volume, sum_intensity from (select label, min(i) as i from seeds group by label) s join (select label, count(*) as volume, sum(v)::bigint as sum_intensity from grown group by label) g using (label)",
+)
+def cells_of_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    volume = fx.volume(spark, sf_dir).withColumn("label", F.expr("z div 10 + 1"))
+    return G.cells_of_labels(volume, volume.where("v >= 1100"), volume.where("v >= 1000 and y < 4 and z % 20 < 17"))
+
+
+@query(
+    "specimen_histograms",
+    with_(VOX, "named as (select case when z % 3 = 0 then 'a' else 'b' end as specimen, v from vox)", "b as (select specimen, least(floor(v::double / (5000.0::double / 256)), 255)::int as bin, count(*) as n from named where v between 0 and 5000 group by all)", "t as (select specimen, sum(n) as n from b group by all)")
+    + "select t.specimen, round(r.i * (5000.0::double / 256), 9) as left_edge, round(coalesce(b.n, 0) / (t.n * (5000.0::double / 256)), 12) as density from t cross join range(256) r(i) left join b on b.bin = r.i and b.specimen = t.specimen",
+)
+def specimen_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    volume = fx.volume(spark, sf_dir)
+    out = V.specimen_histograms({"a": volume.where("z % 3 = 0"), "b": volume.where("z % 3 <> 0")})
+    return out.select("specimen", F.round("left", 9).alias("left_edge"), F.round("density", 12).alias("density"))
+
+
+@query(
+    "binary_close_open_twice",
+    with_(VOX, TOP, SET, STEPS, *(_dilate_sql(f"p{k + 1}", f"p{k}") for k in (0, 1)), *(_erode_sql(f"p{k + 1}", f"p{k}") for k in (2, 3, 4, 5)), *(_dilate_sql(f"p{k + 1}", f"p{k}") for k in (6, 7))) + "select z::int as z, y::int as y, x::int as x from p8",
+)
+def binary_close_open_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    volume = fx.volume(spark, sf_dir)
+    sizes = V.shape(volume)
+    return T.binary_open(T.binary_close(volume.where(F.col("v") >= LOW).select("z", "y", "x"), sizes), sizes)
+
+
+# ---- transformations ----------------------------------------------------------------
+
+ORIGIN, SPACING, CONTROL = (-4, -8, -16), (4, 8, 16), (6, 5, 6)
+_DISPLACED = {"z": "((gz * 7 + gy * 3 + gx) % 11 - 5) / 8.0", "y": "((gz * 2 + gy * 5 + gx * 3) % 7 - 3) / 4.0", "x": "((gz + gy + gx) % 5 - 2) / 2.0"}
+
+
+def _cubic_sql(k: str, u: str) -> str:
+    v = f"(1.0::double - {u})"
+    return f"(case {k} when 0 then {v} * {v} * {v} / 6 when 1 then (3 * {u} * {u} * {u} - 6 * {u} * {u} + 4) / 6 when 2 then (3 * {v} * {v} * {v} - 6 * {v} * {v} + 4) / 6 else {u} * {u} * {u} / 6 end)"
+
+
+_SPOTS = "spots as (select distinct z::double as z, y::double as y, x::double as x from cells)"
+
+
+@query(
+    "bspline_points",
+    with_(
+        CELLS,
+        _SPOTS,
+        "grid as (select a.i as gz, b.i as gy, c.i as gx from range({}) a(i), range({}) b(i), range({}) c(i))".format(*CONTROL),
+        "field as (select gz, gy, gx, " + ", ".join(f"({e})::double as d{a}" for a, e in _DISPLACED.items()) + " from grid)",
+        "four as (select unnest(range(4)) as k)",
+        "laid as (select z, y, x, " + ", ".join(f"floor(({a} - {o}) / {s})::int - 1 + f{a}.k as g{a}, {_cubic_sql(f'f{a}.k', f'(({a} - {o}) / {s} - floor(({a} - {o}) / {s}))')} as w{a}" for a, o, s in zip("zyx", ORIGIN, map(float, SPACING), strict=True)) + " from spots, four fz, four fy, four fx)",
+        "sums as (select z, y, x, " + ", ".join(f"sum(wz * wy * wx * d{a}) as d{a}" for a in "zyx") + " from laid join field using (gz, gy, gx) group by z, y, x having count(*) = 64)",
+    )
+    + "select z, y, x, " + ", ".join(f"round({a} + coalesce(d{a}, 0), 6) + 0.0 as {a}_new" for a in "zyx") + " from spots left join sums using (z, y, x)",
+)
+def bspline_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell places moved by a field of cubic B-splines; some lie outside of it."""
+    z, y, x = CONTROL
+    grid = spark.range(z * y * x).select(F.expr(f"cast(id div {y * x} as int)").alias("gz"), F.expr(f"cast(id div {x} % {y} as int)").alias("gy"), F.expr(f"cast(id % {x} as int)").alias("gx"))
+    field = grid.select("gz", "gy", "gx", *(F.expr(f"cast({e} as double)").alias(f"d{a}") for a, e in _DISPLACED.items()))
+    spots = fx.cells(spark, sf_dir).select(*(F.col(a).cast("double").alias(a) for a in C.AXES)).distinct()
+    keyed = spots.select(F.expr("cast(z * 10000 + y * 100 + x as bigint)").alias("cell_id"), *C.AXES)
+    moved = C.attach_transformed(keyed, P.bspline(keyed, field, ORIGIN, SPACING))
+    return moved.select(*C.AXES, *((F.round(f"{a}_trfm", 6) + F.lit(0.0)).alias(f"{a}_new") for a in C.AXES))
+
+
+WARPED = (20, 6, 7)
+
+
+@query(
+    "warp_image",
+    with_(
+        VOX,
+        "grid as (select a.i::int as z, b.i::int as y, c.i::int as x from range({}) a(i), range({}) b(i), range({}) c(i))".format(*WARPED),
+        "moved as (select z, y, x, z * 2.5::double + 0.25 as pz, y * 1.25::double - 1 as py, x * 1.0::double + y * 0.5::double as px from grid)",
+        "two as (select unnest(range(2)) as k)",
+        "laid as (select z, y, x, " + ", ".join(f"floor(p{a})::int + t{a}.k as q{a}, case t{a}.k when 1 then p{a} - floor(p{a}) else 1 - (p{a} - floor(p{a})) end as w{a}" for a in "zyx") + " from moved, two tz, two ty, two tx)",
+        "read as (select l.z, l.y, l.x, sum(wz * wy * wx * o.v) as v from laid l join vox o on o.z = qz and o.y = qy and o.x = qx group by all)",
+    )
+    + "select z, y, x, round(coalesce(v, 0), 6) as v from grid left join read using (z, y, x)",
+)
+def warp_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The volume seen from another space, by an affine transformation."""
+    moved = P.warp_image(fx.volume(spark, sf_dir), WARPED, lambda points: C.affine(points, [[2.5, 0, 0], [0, 1.25, 0], [0, 0.5, 1]], [0.25, -1, 0]))
+    return moved.withColumn("v", F.round("v", 6))
+
+
+# ---- names, numbers, documents ------------------------------------------------------
+
+_NAME = "'slice_' || (s_suppkey % 1000)::varchar || '.tif' as name"
+
+
+@query("natural_order", f"select name, row_number() over (order by k, id) as place from (select {_NAME}, s_suppkey % 1000 as k, s_suppkey as id from supplier where s_suppkey % 3 <> 0)")
+def natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of slices that match a pattern, in the order of their numbers."""
+    from pyspark.sql import Window
+
+    from voxatlas.sources.tables import matching_files
+
+    names = fx.table(spark, sf_dir, "supplier").select(F.format_string("slice_%d.%s", F.col("s_suppkey") % 1000, F.when(F.col("s_suppkey") % 3 == 0, "txt").otherwise("tif")).alias("path"), "s_suppkey")
+    found = matching_files(names, r"\.tif$")
+    return found.select(F.col("path").alias("name"), F.row_number().over(Window.orderBy("natural_key", "s_suppkey")).alias("place"))
+
+
+@query("zero_padded_names", "select s_suppkey, 'slice_' || lpad((s_suppkey % 1000)::varchar, 4, '0') || '.tif' as name from supplier")
+def zero_padded_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.table(spark, sf_dir, "supplier").select("s_suppkey", scalar.zero_padded(F.concat(F.lit("slice_"), (F.col("s_suppkey") % 1000).cast("string"), F.lit(".tif"))).alias("name"))
+
+
+@query(
+    "unsigned_numbers",
+    "select s_suppkey, trunc(f)::bigint as truncated, (trunc(f)::bigint % 256 + 256) % 256 as wrapped, greatest(least(round_even(f, 0), 65535), 0)::int as saturated, (65536 - s_suppkey % 65536) % 65536 as negated from (select s_suppkey, s_acctbal::double * 13 as f from supplier)",
+)
+def unsigned_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Truncation, wrapping, saturation and negation, as unsigned integers do them."""
+    f = F.col("s_acctbal").cast("double") * 13
+    return fx.table(spark, sf_dir, "supplier").select("s_suppkey", scalar.truncate(f).alias("truncated"), scalar.truncate(f, 8).alias("wrapped"), scalar.saturate(f).alias("saturated"), scalar.negate_unsigned("s_suppkey").alias("negated"))
+
+
+@query("ontology_document", with_(ONT) + "select id, name, parent as parent_structure_id from ont")
+def ontology_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region table as a nested document, and flattened again."""
+    regions = fx.regions(spark, sf_dir)
+    missing = [F.lit(None).cast(kind).alias(c) for c, kind in O.ONTOLOGY_FIELDS.items() if c not in regions.columns]
+    return O.flatten(spark, {"msg": O.nest(regions.select("*", *missing))}).select("id", "name", "parent_structure_id")
+
+
+@query("points_dense", with_(CELLS, POINTS, ROUNDED) + f"select g.z, g.y, g.x, coalesce(n, 0)::bigint as v from (select a.i::int as z, b.i::int as y, c.i::int as x from range(7) a(i), range(15) b(i), range(30) c(i)) g left join (select z, y, x, count(*) as n from rounded where {INSIDE} group by all) using (z, y, x)")
+def points_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.dense(R.points_count(_points(spark, sf_dir), SHAPE), SHAPE)

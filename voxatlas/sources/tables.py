@@ -37,6 +37,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a table or file in any store; whether there was one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(target) and store.getFileStatus(target).isDirectory()
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders right below a path, in the natural order of their names."""
+    import re
+
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = [s.getPath().toString() for s in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root) if s.isDirectory()]
+    return sorted(found, key=lambda p: [int(t) if t.isdigit() else t for t in re.split(r"(\d+)", p)])
+
+
 def matching_files(files: DataFrame, pattern: str) -> DataFrame:
     """Rows of a table of paths that have the pattern in them, with a key of their natural order."""
     return files.where(F.regexp_like("path", F.lit(pattern))).withColumn("natural_key", natural_key("path"))
