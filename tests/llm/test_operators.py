@@ -103,7 +103,7 @@ def test_jaccard_of_one_group(spark, monkeypatch, size, percent, paired):
         return real(pairs, *rest)
 
     monkeypatch.setattr(jaccard, "linked_pairs", counted)
-    docs = heated(300)
+    docs = heated(300 if paired > 1 else 120)
     got = jaccard.linked_components(table(spark, docs), size=size, percent=percent)
     assert rows(got, "doc_id", "n_shingles", "component_id") == brute.components(docs, size, percent)
     assert sum(compared) < (12 if paired > 1 else 40) * len(docs)
