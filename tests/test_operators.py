@@ -377,3 +377,36 @@ def test_pipeline(spark, tmp_path):
     assert got == {1: 3, 2: 2, 3: 1}
     found = {(r["z"], r["y"], r["x"]) for r in spark.read.parquet(Project(str(tmp_path)).path("cells_raw")).collect()}
     assert found == set(centres)
+
+
+def test_cubic_resampling(spark):
+    """Against splines whose coefficients are solved for, on lines of every small length."""
+    rng = np.random.default_rng(4)
+
+    def plain(line, m):
+        n = len(line)
+        if n == 1:
+            return np.repeat(line, m)
+        mirror = lambda k: min(k % (2 * n - 2), (2 * n - 2) - k % (2 * n - 2))
+        solve = np.zeros((n, n))
+        for k in range(n):
+            for d, w in ((-1, 1 / 6), (0, 4 / 6), (1, 1 / 6)):
+                solve[k, mirror(k + d)] += w
+        c = np.linalg.solve(solve, line)
+        basis = lambda t: 2 / 3 - t * t + abs(t) ** 3 / 2 if abs(t) < 1 else max(2 - abs(t), 0) ** 3 / 6
+        at = [j * (n - 1) / max(m - 1, 1) for j in range(m)]
+        return np.array([sum(c[mirror(k)] * basis(x - k) for k in range(int(x) - 2, int(x) + 4)) for x in at])
+
+    for n in (1, 2, 3, 5, 17, 90):
+        for m in (1, 2, n, 2 * n + 1):
+            place, weights = stencils.spline_taps(n, m)
+            line = rng.random(n) * 1000
+            assert np.allclose((line[place] * weights).sum(axis=0), plain(line, m), atol=1e-8)
+    block = rng.integers(0, 65536, (7, 6, 9))
+    want = block.astype(float)
+    for axis, m in ((1, 4), (2, 14)):
+        want = np.apply_along_axis(plain, axis, want, m)
+    out = stencils.resample(volume(spark, block), (1.0, 0.6, 1.5), bits=16)
+    assert out.count() == want.size
+    assert (array(out, want.shape) == np.clip(np.floor(want + 0.5), 0, 65535)).all()
+    assert stencils.resample(volume(spark, block).where("false"), (0.5, 0.5, 0.5)).collect() == []

@@ -52,7 +52,7 @@ class Pipeline:
         return self.stage("downsampled_rough", lambda: V.downsample_rough(raw, self.config.rough))
 
     def fine(self, rough: DataFrame) -> DataFrame:
-        return self.stage("downsampled_fine", lambda: T.resample(rough, self.config.fine))
+        return self.stage("downsampled_fine", lambda: T.resample(rough, self.config.fine, bits=16))
 
     def trimmed(self, image: DataFrame) -> DataFrame:
         return self.stage("trimmed", lambda: V.trim(image, self.config.trim))

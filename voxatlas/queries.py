@@ -429,12 +429,33 @@ def _resample_sql(name: str, source: str, axis: str, zoom: float) -> str:
 
 
 @query(
-    "downsample_fine",
+    "downsample_linear",
     with_(VOX, TOP, "flat as (select z, y, x, v::double as v from vox)", _resample_sql("fz", "flat", "z", 0.7), _resample_sql("fy", "fz", "y", 0.6), _resample_sql("fx", "fy", "x", 0.6))
     + "select z, y, x, round(v, 6) as v from fx",
 )
+def downsample_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.resample(fx.volume(spark, sf_dir), (0.7, 0.6, 0.6), order=1).withColumn("v", F.round("v", 6))
+
+
+def _spline_sql(name: str, source: str, axis: str, zoom: float) -> list[str]:
+    """Coefficients of the spline at all old places, then the four of them around each new one."""
+    n = "(select n from top)" if axis == "z" else "8::bigint"
+    a, b = (c for c in "zyx" if c != axis)
+    mirror = "(case when {0} % (2 * (n - 1)) > n - 1 then 2 * (n - 1) - {0} % (2 * (n - 1)) else {0} % (2 * (n - 1)) end)"
+    t = "abs(j * (n - 1) / (m - 1)::double - k)"
+    return [
+        f"{name}_c as (select w.k as {axis}, p.{a}, p.{b}, sum(p.v * w.w) as v from (select k, {mirror.format('(k + d + 200 * (n - 1))')} as i, sum(sqrt(3) * pow(sqrt(3) - 2, abs(d))) as w from (select n, unnest(range(n)) as k from (select {n} as n)), range(-45, 46) s(d) group by all) w join {source} p on p.{axis} = w.i group by all)",
+        f"{name} as (select w.j::int as {axis}, p.{a}, p.{b}, sum(p.v * w.w) as v from (select j, {mirror.format('(k + 2 * (n - 1))')} as i, case when {t} < 1 then 2 / 3.0::double - {t} * {t} + pow({t}, 3) / 2 else pow(greatest(2 - {t}, 0), 3) / 6 end as w from (select *, j * (n - 1) // (m - 1) + d as k from (select n, m, unnest(range(m)) as j from (select {n} as n, round_even({n} * {zoom}::double, 0)::bigint as m)), range(-1, 3) s(d))) w join {name}_c p on p.{axis} = w.i group by all)",
+    ]
+
+
+@query(
+    "downsample_fine",
+    with_(VOX, TOP, "flat as (select z, y, x, v::double as v from vox)", *_spline_sql("fz", "flat", "z", 0.7), *_spline_sql("fy", "fz", "y", 0.6), *_spline_sql("fx", "fy", "x", 0.6))
+    + "select z, y, x, round(v, 5) as v from fx",
+)
 def downsample_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.resample(fx.volume(spark, sf_dir), (0.7, 0.6, 0.6)).withColumn("v", F.round("v", 6))
+    return T.resample(fx.volume(spark, sf_dir), (0.7, 0.6, 0.6)).withColumn("v", F.round("v", 5))
 
 
 UNIT = 1000
@@ -475,8 +496,8 @@ SET = f"p0 as (select z, y, x from vox where v >= {LOW})"
 STEPS = "cross7 as (select * from (values (0,0,0),(-1,0,0),(1,0,0),(0,-1,0),(0,1,0),(0,0,-1),(0,0,1)) t(dz,dy,dx))"
 
 
-def _dilate_sql(name: str, source: str) -> str:
-    return f"{name} as (select distinct p.z + dz as z, p.y + dy as y, p.x + dx as x from {source} p, cross7 where p.z + dz >= 0 and p.z + dz < (select n from top) and p.y + dy between 0 and 7 and p.x + dx between 0 and 7)"
+def _dilate_sql(name: str, source: str, ny: int = 8, nx: int = 8) -> str:
+    return f"{name} as (select distinct p.z + dz as z, p.y + dy as y, p.x + dx as x from {source} p, cross7 where p.z + dz >= 0 and p.z + dz < (select n from top) and p.y + dy between 0 and {ny - 1} and p.x + dx between 0 and {nx - 1})"
 
 
 def _erode_sql(name: str, source: str) -> str:
@@ -651,14 +672,19 @@ def specimen_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("specimen", F.round("left", 9).alias("left_edge"), F.round("density", 12).alias("density"))
 
 
+#: The voxels as sixteen by sixty-four in y and x, in which two steps of erosion leave something.
+WIDE, BRIGHT = "wide as (select (z // 16)::int as z, (z % 16)::int as y, (y * 8 + x)::int as x, v from vox)", 1070
+
+
 @query(
     "binary_close_open_twice",
-    with_(VOX, TOP, SET, STEPS, *(_dilate_sql(f"p{k + 1}", f"p{k}") for k in (0, 1)), *(_erode_sql(f"p{k + 1}", f"p{k}") for k in (2, 3, 4, 5)), *(_dilate_sql(f"p{k + 1}", f"p{k}") for k in (6, 7))) + "select z::int as z, y::int as y, x::int as x from p8",
+    with_(VOX, WIDE, "top as (select max(z) + 1 as n from wide)", f"p0 as (select z, y, x from wide where v >= {BRIGHT})", STEPS, *(_dilate_sql(f"p{k + 1}", f"p{k}", 16, 64) for k in (0, 1)), *(_erode_sql(f"p{k + 1}", f"p{k}") for k in (2, 3, 4, 5)), *(_dilate_sql(f"p{k + 1}", f"p{k}", 16, 64) for k in (6, 7)))
+    + "select z::int as z, y::int as y, x::int as x from p8",
 )
 def binary_close_open_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    volume = fx.volume(spark, sf_dir)
-    sizes = V.shape(volume)
-    return T.binary_open(T.binary_close(volume.where(F.col("v") >= LOW).select("z", "y", "x"), sizes), sizes)
+    wide = fx.volume(spark, sf_dir).select(F.expr("cast(z div 16 as int)").alias("z"), F.expr("cast(z % 16 as int)").alias("y"), F.expr("cast(y * 8 + x as int)").alias("x"), "v")
+    sizes = V.shape(wide)
+    return T.binary_open(T.binary_close(wide.where(F.col("v") >= BRIGHT).select("z", "y", "x"), sizes), sizes)
 
 
 # ---- transformations ----------------------------------------------------------------
