@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -136,3 +137,83 @@ def lines(docs, near=8):
                 earlier.append(words)
         out.append((i, "\n".join(kept), n, gone))
     return sorted(out)
+
+
+def tokens(text):
+    """For each word, lower-cased in A-Z: itself and its first four to six bytes, where it has more."""
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").translate(LOWER).encode())
+    return [[("word", w), *((n, w[:n]) for n in (4, 5, 6) if len(w) > n)] for w in words]
+
+
+def log_odds(rows, prior=50.0):
+    """Weight and z-score of each token under the Dirichlet prior; ``rows``: (text, label)."""
+    count = {0: Counter(), 1: Counter()}
+    for text, y in rows:
+        count[y].update({t for word in tokens(text) for t in word})
+    n1, n0 = (sum(y == k for _, y in rows) for k in (1, 0))
+    total = min(prior, (n1 + n0) / 20)
+    out = {}
+    for t in count[0].keys() | count[1].keys():
+        a = (count[0][t] + count[1][t]) * total / (n1 + n0) + 0.01
+        one, two = count[1][t] + a, count[0][t] + a
+        odds = math.log(one / (n1 + total + 1 - one + a)) - math.log(two / (n0 + total + 1 - two + a))
+        out[t] = odds, odds / math.sqrt(1 / one + 1 / two)
+    return out
+
+
+def toxic_evidence(text, weights, drift, decay, rate):
+    """Best and total evidence of the maximal-scoring segments, by the definition's scan."""
+    score = []
+    for word in tokens(text):
+        own = [weights[t] for t in word if t in weights]
+        up = max(own, default=0)
+        score.append(up if up > 0 else min([*own, -drift]))
+    sums, found = [0.0], []
+    for s in score:
+        sums.append(sums[-1] + s)
+    for i, s in enumerate(score):
+        a, b = i, i + 1
+        while s > 0:
+            j = next((k for k in reversed(range(len(found))) if sums[found[k][0]] < sums[a]), None)
+            if j is None or sums[found[j][1]] >= sums[b]:
+                found.append((a, b))
+                break
+            a = found[j][0]
+            del found[j:]
+    bits = [decay * (sums[b] - sums[a]) - math.log(rate * max(len(score), 1)) for a, b in found]
+    bits = [x for x in bits if x > 0]
+    return max(bits, default=0.0), sum(bits)
+
+
+def statistics(text):
+    """What the quality classifier looks at, counted by hand."""
+    data = (text or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0d]+", data)
+    lines = re.findall(rb"[^\n]+", data)
+    n, some, size, rows = len(words), max(len(words), 1), max(len(data), 1), max(len(lines), 1)
+    share = lambda chars: sum(b in chars for b in data) / size
+    triples = {tuple(words[k : k + 3]) for k in range(n - 2)}
+    tail = words[n // 2 :]
+    return [
+        math.log1p(n),
+        sum(map(len, words)) / some,
+        share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        share(b"0123456789"),
+        share(b".,;:?'\"()-"),
+        share(b"#*$%&<>{}[]\\/=+_~^@"),
+        share(b"|"),
+        share(b"!"),
+        len(set(words)) / some,
+        len(triples) / max(n - 2, 1),
+        max(Counter(words).values(), default=0) / some,
+        1 - len(set(lines)) / rows,
+        math.log1p(n / rows),
+        sum(len(w) > 20 for w in words) / some,
+        sum(len(w) <= 3 for w in words) / some,
+        len(set(tail)) / max(n - n // 2, 1),
+    ]
+
+
+def isotonic(y):
+    """The non-decreasing fit by its max-min formula."""
+    return [max(min(sum(y[a : b + 1]) / (b + 1 - a) for b in range(i, len(y))) for a in range(i + 1)) for i in range(len(y))]

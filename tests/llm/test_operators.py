@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from voxatlas.llm import decontamination, jaccard, lines, packing, quality, queries, rules, secrets, substrings, toxicity
+from voxatlas.llm import decontamination, jaccard, lines, packing, quality, queries, rules, secrets, substrings, toxicity, words
 from voxatlas.llm.components import components
 
 ODD = [None, "", " ", "\n\n", "one", "Two words", "\x0b\x0c\t\r\n", "é ß Ω 漢字 \U0001f600 ́", "a a a a a a a a a a a a a a a a a", "same\nsame\nsame", "<|endoftext|> x<|ENDOFTEXT|>."]
@@ -444,3 +444,74 @@ def test_passages_of_null_items(spark, block):
     items = spark.createDataFrame([(None, "a b"), (None, "c"), (7, "b c"), (None, None)], "item_id bigint, text string")
     got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontamination.find_passages(docs, items, block_bytes=block).collect()}
     assert got == {1: (3, ["7", None]), 2: (1, [None]), 3: (0, [])}
+
+
+def labelled_corpus(corpus):
+    """Texts of two classes that share most words, with ids in all folds."""
+    rng = random.Random(12)
+    common, mild, vile = ([f"{stem}{k}" for k in range(n)] for stem, n in (("word", 300), ("gentle", 12), ("nastiness", 12)))
+    out = [(i, t, None) for i, t in corpus]
+    for i in range(1000, 1600):
+        y = int(rng.random() < 0.3)
+        words = rng.choices(common, k=rng.randint(5, 120))
+        for _ in range(rng.randint(0, 5)):
+            words.insert(rng.randrange(len(words)), rng.choice(vile if y or rng.random() < 0.02 else mild))
+        out.append((i, " ".join(words).capitalize() + rng.choice(["", ".", "!\n"]), y))
+    return out
+
+
+def fold(i):
+    return zlib.crc32(str(i).encode()) % 5
+
+
+def test_toxicity_by_hand(spark, corpus):
+    """Counts, log-odds, segments and scores against plain versions."""
+    data = labelled_corpus([(i, t and t[:3000]) for i, t in corpus])
+    docs = table(spark, [(i, t) for i, t, _ in data])
+    labels = spark.createDataFrame([(i, y) for i, _, y in data if y is not None], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels)
+    rows_ = [(t, y) for i, t, y in data if y is not None and fold(i) > 1]
+    odds = brute.log_odds(rows_, toxicity.PRIOR)
+    chosen = {t: w for t, (w, z) in odds.items() if (z >= toxicity.SIGNIFICANT and w >= toxicity.LEAST) or (z <= -toxicity.SIGNIFICANT and w < 0)}
+
+    def key(token):
+        kind, word = token
+        own = words.word_hashes(np.frombuffer(word, np.uint8), np.zeros(1, np.int64), np.full(1, len(word)))
+        return int((own if kind == "word" else words.mix(own + np.uint64(kind)))[0])
+
+    assert min(chosen.values()) < 0 < max(chosen.values())
+    assert dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True)) == pytest.approx({key(t): w for t, w in chosen.items()})
+    want = {}
+    for i, t, _ in data:
+        x = np.log1p([*brute.toxic_evidence(t, chosen, toxicity.DRIFT, model.decay, model.rate)])
+        want[i] = 1 / (1 + np.exp(-(x @ model.fit[:2] + model.fit[2])))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+    right = [(want[i] >= 0.5) == bool(y) for i, _, y in data if y is not None and fold(i) == 0]
+    assert sum(right) / len(right) > 0.7
+
+
+def test_quality_by_hand(spark, corpus):
+    """Statistics, ridge weights, calibration and scores against plain versions."""
+    data = labelled_corpus([(i, t and t[:3000]) for i, t in corpus])
+    docs = table(spark, [(i, t) for i, t, _ in data])
+    labels = spark.createDataFrame([(i, y) for i, _, y in data if y is not None], "doc_id bigint, quality int")
+    model = quality.train(docs, labels)
+    x = {i: np.array(brute.statistics(t)) for i, t, _ in data}
+    fit = [(x[i], y) for i, _, y in data if y is not None and fold(i) > 1]
+    known, y = np.array([a for a, _ in fit]), np.array([b for _, b in fit], float)
+    assert np.allclose(model.mean, known.mean(axis=0)) and np.allclose(model.spread, np.maximum(known.std(axis=0), 1e-6))
+
+    def features(rows_):
+        z = np.clip((rows_ - known.mean(axis=0)) / np.maximum(known.std(axis=0), 1e-6), -8, 8)
+        return np.column_stack([np.cos(z @ model.frequencies + model.phases) * np.sqrt(2 / quality.FEATURES), np.ones(len(z))])
+
+    ridge = np.sqrt(quality.RIDGE * len(y)) * np.eye(quality.FEATURES + 1)
+    weights = np.linalg.lstsq(np.vstack([features(known), ridge]), np.concatenate([y, np.zeros(len(ridge))]), rcond=None)[0]
+    assert np.allclose(model.weights, weights, atol=1e-6)
+    held = sorted((float((features(x[i][None]) @ weights)[0]), y) for i, _, y in data if y is not None and fold(i) == 1)
+    assert sorted(set(np.round(brute.isotonic([b for _, b in held]), 9))) == sorted(set(np.round(model.values, 9)))
+    raw = features(np.array([x[i] for i, _, _ in data])) @ weights
+    want = 0.999 * np.interp(raw, model.knots, model.values) + 0.001 / (1 + np.exp(-4 * (raw - 0.5)))
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert np.allclose([got[i] for i, _, _ in data], want, atol=1e-6)

@@ -4,8 +4,10 @@ Training counts, over a bounded sample of labelled documents, in how many toxic
 other documents each token occurs; a token is a lower-cased word or one of its first
 four to six bytes, so that inflected forms of a stem share evidence.  The log-odds
 under an informative Dirichlet prior, and their variance, give each token a weight and
-a z-score; the significant tokens form the model, which the sample's bound bounds too.  Every other word
-costs a small constant, which makes the expected score negative.
+a z-score; the significant tokens form the model (toxic ones also need strong
+log-odds), which the sample's bound bounds too.  A word scores the greatest toxic
+log-odds of its tokens, or else the least log-odds of the others; a word without
+evidence costs a small constant, which makes the expected score negative.
 
 Scoring scans each whole text once for all maximal-scoring segments (the linear-time
 algorithm of Ruzzo and Tompa).  A segment's score has an extreme-value distribution
@@ -36,7 +38,7 @@ from voxatlas.llm.labelled import logistic, sample, sigmoid
 
 #: Labelled documents of each class that the fit may use.
 SAMPLE = 20_000
-#: The z-score and log-odds that a token of the model needs.
+#: The z-score that a token of the model needs, and the log-odds that a toxic one needs.
 SIGNIFICANT, LEAST = 2.3, 3.0
 #: What a word without evidence costs.
 DRIFT = 0.08
@@ -138,14 +140,16 @@ def log_odds(counts: DataFrame, toxic_docs: int, other_docs: int) -> DataFrame:
 
 
 def word_scores(found: W.Words, keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Each word's score: the greatest weight of its tokens, or the drift."""
-    score = np.full(len(found.hash), -DRIFT)
+    """Each word's score: the greatest toxic log-odds of its tokens; without one the least
+    log-odds of the others; the drift at least."""
+    up, down = np.zeros(len(found.hash)), np.zeros(len(found.hash))
     if len(keys):
         for at, hashes in tokens_of(found):
             place = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
             hit = np.flatnonzero(keys[place] == hashes)
-            score[at[hit]] = np.maximum(score[at[hit]], weights[place[hit]])
-    return score
+            own, at = weights[place[hit]], at[hit]
+            up[at], down[at] = np.maximum(up[at], own), np.minimum(down[at], own)
+    return np.where(up > 0, up, np.minimum(down, -DRIFT))
 
 
 def segments(score: np.ndarray) -> list[tuple[float, int, int]]:
@@ -221,7 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     if len(sizes) < 2:
         return nothing
     odds = log_odds(token_counts(counting), sizes[1.0], sizes[0.0])
-    top = odds.where((F.col("z") >= SIGNIFICANT) & (F.col("weight") >= LEAST)).select("token", "weight").collect()
+    top = odds.where(((F.col("z") >= SIGNIFICANT) & (F.col("weight") >= LEAST)) | ((F.col("z") <= -SIGNIFICANT) & (F.col("weight") < 0))).select("token", "weight").collect()
     keys = np.array([r["token"] for r in top], np.int64).view(W.U64)
     weights = np.array([r["weight"] for r in top])
     order = np.argsort(keys)
@@ -235,13 +239,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
             texts = W.column(batch, "text")
             for lo, hi in W.slices(texts):
                 score = word_scores(W.words(texts.slice(lo, hi - lo), W.ALNUM, lower=True), keys, weights)
-                bins, count = np.unique(np.round(score, 1), return_counts=True)
+                bins, count = np.unique(np.round(score, 2), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(count)], ["s", "n"])
 
     rows = null.mapInArrow(histogram, "s double, n bigint").groupBy("s").agg(F.sum("n").alias("n")).collect()
     s, n = np.array([r["s"] for r in rows]), np.array([r["n"] for r in rows], float)
     p = n / max(n.sum(), 1.0)
-    s = np.where(s <= 0, -DRIFT, s)
     decay, high = 0.0, 3.0
     if len(s) and (p * s).sum() < 0 and s.max() > 0:
         for _ in range(60):
