@@ -64,6 +64,21 @@ def test_substrings_windows(spark, corpus, window, k):
     assert rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substrings(small, window)
 
 
+@pytest.mark.parametrize("bits", [0, 5])
+def test_substrings_of_colliding_hashes(spark, corpus, bits):
+    """Unlike paths under one anchor: spans go on what their words are."""
+    small = [(i, t and t[:3000]) for i, t in corpus]
+    got = substrings.remove_repeated_spans(table(spark, small), 10, 4, hash_bits=bits)
+    assert rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substrings(small, 10)
+
+
+def test_substrings_of_repeated_rows(spark):
+    """Many equal rows of one id: each loses the same words, and none costs more than one."""
+    long = " ".join(f"u{k}" for k in range(400))
+    docs = spark.createDataFrame([(1, long), *[(2, f"{long} {long}")] * 300], "doc_id bigint, text string").repartition(4)
+    assert rows(substrings.remove_repeated_spans(docs), "doc_id", "n_removed") == [(1, 0), *[(2, 800)] * 300]
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80), (1, 70), (2, 60)])
 def test_jaccard(spark, corpus, size, percent):
     got = jaccard.linked_components(table(spark, corpus), size=size, percent=percent)

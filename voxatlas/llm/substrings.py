@@ -3,21 +3,23 @@
 The graph: every run of ``window`` words is an edge, joining its first and last
 ``window - 1`` words.  A path is stored compacted: consecutive edges that share
 their minimiser (the ``k``-word run of least hash among those inside the edge)
-form one row, keyed by that anchor and by a hash of the words it spans.  Anchors
-depend on content alone, so equal edges always lie under equal anchors, and some
-seven rows stand for a hundred words.
+form one row, keyed by that anchor.  Anchors depend on content alone, so equal edges
+always lie under equal anchors, and some seven rows stand for a hundred words.
 
 Spark joins then resolve the graph.  An anchor that only one document has is not
-repeated.  A repeated path that is the same wherever it occurs does not branch: it
-belongs as a whole to the least document that has it, and the others lose it.  Only
-where an anchor carries different paths are they taken apart into single edges, each
-read again at its source coordinates and given to the least document that has it.
-No pair of documents is ever formed, so a group of copies costs its size.
+repeated.  Paths under the others are read again at their source coordinates, which
+gives each the digest of its words.  A repeated path that is the same wherever it
+occurs does not branch: it belongs as a whole to the least document that has it, and
+the others lose it.  Only where an anchor carries different paths are they taken apart
+into single edges, each read at its source coordinates too and given to the least
+document that has it.  No pair of documents is ever formed, so a group of copies costs
+its size.
 
 Defined results: a null text has no words; rows with a null id are neither source
 nor reduced; rows that repeat an id are documents of their own, which do not remove
 from each other; an empty table gives no rows; other columns are ignored.
-Words are compared by two 64-bit hashes (of the anchor and of the span).
+Words are removed on equal BLAKE2b digests (of 128 bits) of the spans themselves; the
+hashes of anchors only choose what is read again, and may collide.
 """
 
 from __future__ import annotations
@@ -50,12 +52,12 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchored(found: W.Words, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, content hash, first word and number of edges of each compacted path."""
+def anchored(found: W.Words, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first word and number of edges of each compacted path."""
     starts = W.inside_runs(found.first, window)
     if not len(starts):
         empty = np.zeros(0, np.int64)
-        return empty.astype(W.U64), empty.astype(W.U64), empty, empty
+        return empty.astype(W.U64), empty, empty
     n = len(found.hash) - k + 1
     grams = W.run_hashes(found.hash, np.arange(n), k)
     low = (W.U64(1) << POSITION_BITS) - W.U64(1)
@@ -64,47 +66,70 @@ def anchored(found: W.Words, window: int, k: int) -> tuple[np.ndarray, np.ndarra
     new = np.ones(len(starts), bool)
     new[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
     at = np.flatnonzero(new)
-    count = np.diff(np.append(at, len(starts)))
-    first = starts[at]
-    content = W.run_hashes(found.hash, first, count + window - 1, W.BASE_CHECK)
-    return grams[place[at]], content, first, count
+    return grams[place[at]], starts[at], np.diff(np.append(at, len(starts)))
+
+
+def span_digests(found: W.Words, first: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+    """Digest of the words ``first[i] : first[i] + length[i]``, joined by one space, for every i: two numbers each."""
+    if not len(first):
+        return np.zeros((0, 2), W.U64)
+    size = found.end - found.start + 1
+    joined = found.data[np.minimum(W.ranges(found.start, size), len(found.data) - 1)]
+    at = np.concatenate([[0], np.cumsum(size)])
+    joined[at[1:] - 1] = 0x20
+    view = memoryview(joined.tobytes())
+    digests = [hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(at[first].tolist(), (at[first + length] - 1).tolist(), strict=True)]
+    return np.frombuffer(b"".join(digests), W.U64).reshape(-1, 2)
 
 
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def compacted_paths(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """(doc_id, row, anchor, content, firsts, edges) of every compacted path, with all its places in a text."""
+def _binary(digests: np.ndarray) -> pa.Array:
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(digests), [None, pa.py_buffer(digests.tobytes())]).cast(pa.binary())
+
+
+def _lists(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(at, len(values)).astype(np.int32)), pa.array(values.astype(np.int32)))
+
+
+def compacted_paths(docs: DataFrame, window: int, k: int, hash_bits: int = 64) -> DataFrame:
+    """(doc_id, row, anchor, edges, firsts): the compacted paths, with all places in a text that have the same anchor and size."""
+    mask = W.U64((1 << hash_bits) - 1)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = W.column(batch, "text")
             for lo, hi in W.slices(texts):
                 found = W.words(texts.slice(lo, hi - lo))
-                anchor, content, first, edges = anchored(found, window, k)
+                anchor, first, edges = anchored(found, window, k)
                 if not len(first):
                     continue
+                anchor &= mask
                 doc = np.searchsorted(found.first, first, side="right") - 1
                 # a text that repeats itself has the same path again and again: one row
-                order = np.lexsort((content, anchor, doc))
-                doc, anchor, content, first, edges = (x[order] for x in (doc, anchor, content, first, edges))
+                order = np.lexsort((edges, anchor, doc))
+                doc, anchor, first, edges = (x[order] for x in (doc, anchor, first, edges))
                 new = np.ones(len(doc), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+                new[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1]) | (edges[1:] != edges[:-1])
                 at = np.flatnonzero(new)
                 rows = pa.array(doc[at] + lo)
-                firsts = pa.ListArray.from_arrays(pa.array(np.append(at, len(doc)).astype(np.int32)), pa.array((first - found.first[doc]).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), _signed(anchor[at]), _signed(content[at]), firsts, pa.array(edges[at].astype(np.int32))],
-                    ["doc_id", "row", "anchor", "content", "firsts", "edges"],
+                    [batch.column(0).take(rows), batch.column(1).take(rows), _signed(anchor[at]), pa.array(edges[at].astype(np.int32)), _lists(first - found.first[doc], at)],
+                    ["doc_id", "row", "anchor", "edges", "firsts"],
                 )
 
-    return docs.mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, row bigint, anchor bigint, content bigint, firsts array<int>, edges int")
+    return docs.mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, row bigint, anchor bigint, edges int, firsts array<int>")
+
 
+def read_again(docs: DataFrame, paths: DataFrame, window: int, single: bool) -> DataFrame:
+    """(doc_id, row, anchor, digest, edges, firsts) of ``paths``, read from the texts at their places.
 
-def single_edges(docs: DataFrame, paths: DataFrame, window: int) -> DataFrame:
-    """(doc_id, row, anchor, edge, first) of each edge of ``paths``, read from the texts."""
-    wanted = paths.withColumn("first", F.explode("firsts")).groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "edges", "anchor")).alias("paths"))
+    Whole paths, or with ``single`` each edge of theirs; places of one text with the same
+    digest are one row.
+    """
+    wanted = paths.select("doc_id", "row", F.explode("firsts").alias("first"), "edges", "anchor").groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "edges", "anchor")).alias("paths"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,51 +141,51 @@ def single_edges(docs: DataFrame, paths: DataFrame, window: int) -> DataFrame:
                 own = part.flatten()
                 doc = np.repeat(np.arange(hi - lo), part.value_lengths().to_numpy())
                 first, edges, anchor = (own.field(k).to_numpy() for k in ("first", "edges", "anchor"))
-                first, edges = first.astype(np.int64), edges.astype(np.int64)
-                starts = W.ranges(first + found.first[doc], edges)
-                hashes = W.run_hashes(found.hash, starts, window, W.BASE_CHECK)
-                which = np.repeat(doc, edges)
-                rows = pa.array(which + lo)
+                first, edges = first.astype(np.int64) + found.first[doc], edges.astype(np.int64)
+                if single:
+                    first, doc, anchor, edges = W.ranges(first, edges), np.repeat(doc, edges), np.repeat(anchor, edges), np.ones(int(edges.sum()), np.int64)
+                digest = span_digests(found, first, edges + window - 1)
+                order = np.lexsort((digest[:, 1], digest[:, 0], anchor, doc))
+                doc, anchor, first, edges, digest = (x[order] for x in (doc, anchor, first, edges, digest))
+                new = np.ones(len(doc), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1]) | (digest[1:] != digest[:-1]).any(axis=1)
+                at = np.flatnonzero(new)
+                rows = pa.array(doc[at] + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.repeat(anchor, edges)), _signed(hashes), pa.array((starts - found.first[which]).astype(np.int32))],
-                    ["doc_id", "row", "anchor", "edge", "first"],
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(anchor[at]), _binary(digest[at]), pa.array(edges[at].astype(np.int32)), _lists(first - found.first[doc], at)],
+                    ["doc_id", "row", "anchor", "digest", "edges", "firsts"],
                 )
 
     joined = docs.join(wanted, ["doc_id", "row"]).select("doc_id", "row", "text", "paths")
-    return joined.mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, row bigint, anchor bigint, edge bigint, first int")
+    return joined.mapInArrow(scan, f"doc_id {dict(docs.dtypes)['doc_id']}, row bigint, anchor bigint, digest binary, edges int, firsts array<int>")
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, hash_bits: int = 64) -> DataFrame:
     """(doc_id, row, start, length): word spans that start in a document of smaller id too.
 
     ``docs`` has doc_id, row (which tells rows of one id apart) and text.
     """
-    paths = keep(compacted_paths(docs, window, k))
-    repeated = (
-        paths.groupBy("anchor")
-        .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), (F.min("content") != F.max("content")).alias("branching"))
-        .where("a < b")
-        .select("anchor", "branching")
-    )
-    paths = keep(paths.join(repeated, "anchor"))
-    owners = paths.groupBy("anchor", "content").agg(F.min("doc_id").alias("owner"))
-    owned = keep(paths.where("branching").join(owners, ["anchor", "content"]).where("doc_id = owner").drop("owner", "content", "branching"))
-    whole = paths.join(owners, ["anchor", "content"]).where("doc_id > owner").select("doc_id", "row", F.explode("firsts").alias("start"), (F.col("edges") + (window - 1)).alias("length"))
-    edges = keep(single_edges(docs, owned, window))
-    least = edges.groupBy("anchor", "edge").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    single = edges.join(least, ["anchor", "edge"]).where("doc_id > least").select("doc_id", "row", F.col("first").alias("start"), F.lit(window).alias("length"))
-    return whole.unionByName(single)
-
-
-def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, with_text: bool = True) -> DataFrame:
+    paths = keep(compacted_paths(docs, window, k, hash_bits))
+    repeated = paths.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
+    paths = keep(read_again(docs, paths.join(repeated, "anchor"), window, single=False))
+    owners = keep(paths.groupBy("anchor", "digest").agg(F.min("doc_id").alias("owner")))
+    branching = owners.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    owned = paths.join(owners.join(branching, "anchor"), ["anchor", "digest"]).where("doc_id = owner").select("doc_id", "row", "anchor", "edges", "firsts")
+    edges = keep(read_again(docs, owned, window, single=True))
+    least = edges.groupBy("anchor", "digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("most")).where("owner < most").drop("most")
+    taken = [part.join(own, ["anchor", "digest"]).where("doc_id > owner").select("doc_id", "row", F.explode("firsts").alias("start"), (F.col("edges") + (window - 1)).alias("length")) for part, own in ((paths, owners), (edges, least))]
+    return taken[0].unionByName(taken[1])
+
+
+def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, with_text: bool = True, hash_bits: int = 64) -> DataFrame:
     """Each document without the words of its repeated spans.
 
     Columns: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one
     space), spans (merged, in words: start and end), and with ``with_text`` the kept
-    words as text.
+    words as text.  Anchors of fewer ``hash_bits`` cost time and change nothing.
     """
     docs = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = repeated_spans(docs, window, k).groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+    spans = repeated_spans(docs, window, k, hash_bits).groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
     kind = dict(docs.dtypes)["doc_id"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
