@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxatlas.llm import decontamination, jaccard, lines, packing, quality, rules, secrets, substrings, toxicity
+from voxatlas.llm import audit, decontamination, importance, jaccard, lines, packing, quality, rules, secrets, substrings, toxicity
 from voxatlas.llm.common import table
 
 
@@ -67,6 +67,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -78,6 +86,8 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: DuckDB: lines with their words, earlier lines by equality or by a variant with one word left out.
@@ -157,6 +167,73 @@ from docs d left join hits using (doc_id) left join own using (doc_id)
 """
 
 
+#: DuckDB: crc32 from its table of 256 entries, words by words; gains, noise and ranks as stated.
+IMPORTANCE_SQL = r"""
+with recursive steps as (
+    select i::bigint as i, i::bigint as c, 0 as turn from range(256) t(i)
+    union all select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, turn + 1 from steps where turn < 8
+),
+crc_table as (select list(c order by i) as crcs from steps where turn = 8),
+docs as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+target as (select regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+raw_words as (select w, count(*) as n from (select unnest(ws) as w from docs) group by w),
+target_words as (select w, count(*) as n from (select unnest(ws) as w from target) group by w),
+hexed as (select w, hex(encode(w)) as h from (select w from raw_words union select w from target_words)),
+hashed as (
+    select w, xor(list_reduce([('0x' || h[2 * j - 1:2 * j])::bigint for j in range(1, len(h) // 2 + 1)], lambda crc, b: xor(crc >> 8, crcs[xor(crc & 255, b) + 1]), 4294967295::bigint), 4294967295) % 10000 as bucket
+    from hexed, crc_table
+),
+raw_counts as (select bucket, sum(n)::double as s from raw_words join hashed using (w) group by bucket),
+target_counts as (select bucket, sum(n)::double as t from target_words join hashed using (w) group by bucket),
+sums as (select (select coalesce(sum(s), 0) from raw_counts) as s_all, (select coalesce(sum(t), 0) from target_counts) as t_all),
+gains as (
+    select bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::bigint as gain
+    from raw_counts left join target_counts using (bucket), sums
+),
+word_gains as (select w, gain from hashed join gains using (bucket)),
+weights as (select doc_id, sum(gain)::bigint as weight from (select doc_id, unnest(ws) as w from docs) join word_gains using (w) group by doc_id),
+scored as (
+    select doc_id, len(ws)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+        (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::varchar), 1, 8))::bigint + 0.5::double) / 4294967296::double))))::bigint as score
+    from docs left join weights using (doc_id)
+),
+placed as (select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 20)
+select s.doc_id, n_features, weight, score, case when place <= (10 * n) // 100 then place end as rank from scored s left join placed p using (doc_id)
+"""
+
+
+#: DuckDB: every filter judged, every order of them applied from left to right.
+AUDIT_SQL = r"""
+with docs as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+firsts as (select text, min(doc_id) as first_id from docs group by text),
+judged as (
+    select part, coalesce(quality = 1, false) as good, coalesce(l.toxic = 1, false) as toxic, {
+        'A': len(ws) < 50, 'B': 100 * len(list_distinct(ws)) < 65 * len(ws), 'C': 100 * len(regexp_replace(docs.text, '[^A-Z]', '', 'g')) > 5 * len(docs.text),
+        'D': regexp_matches(docs.text, '[#$%&*|]'), 'E': docs.doc_id > first_id} as f
+    from docs join firsts using (text) left join labels l on l.doc_id = docs.doc_id
+),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+    select a.x || b.x || c.x || d.x || e.x as filter_order from letters a, letters b, letters c, letters d, letters e
+    where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+flagged as (select part, good, toxic, f, [k for k in ['A', 'B', 'C', 'D', 'E'] if (case k when 'A' then f.A when 'B' then f.B when 'C' then f.C when 'D' then f.D else f.E end)] as fails from judged),
+grouped as (select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from flagged group by part, fails),
+steps as (select filter_order, step, filter_order[step] as x, filter_order[:step - 1] as before from orders, range(1, 6) t(step)),
+counted as (
+    select part, filter_order, step::int as step, x,
+        sum(case when len([k for k in fails if contains(before || x, k)]) = 0 then n else 0 end)::bigint as kept,
+        sum(case when list_contains(fails, x) and len([k for k in fails if contains(before, k)]) = 0 then n else 0 end)::bigint as removed,
+        sum(case when list_contains(fails, x) and len([k for k in fails if contains(before, k)]) > 0 then n else 0 end)::bigint as redundant,
+        sum(case when fails = [x] then n else 0 end)::bigint as unique_fails,
+        sum(case when list_contains(fails, x) and len([k for k in fails if contains(before, k)]) = 0 then good else 0 end)::bigint as good_lost,
+        sum(case when list_contains(fails, x) and len([k for k in fails if contains(before, k)]) = 0 then toxic else 0 end)::bigint as toxic_lost
+    from grouped, steps group by all
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) over (partition by part, x))::bigint as shapley from counted
+"""
+
+
 def _rules_sql() -> str:
     """DuckDB: the measures, then the same table of thresholds."""
     stops = ", ".join(f"'{w}'" for w in sorted({w for words in rules.STOP_WORDS.values() for w in words}))
@@ -190,4 +267,6 @@ ORACLE_SQL = {
     "op6_quality_rules": _rules_sql(),
     "op9_decontamination": DECONTAMINATION_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
+    "op12_importance_resampling": IMPORTANCE_SQL,
+    "op13_filter_audit": AUDIT_SQL,
 }
