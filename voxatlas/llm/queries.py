@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxatlas.llm import audit, decontamination, importance, jaccard, lines, packing, quality, rules, secrets, substrings, toxicity
+from voxatlas.llm import audit, decontamination, extraction, importance, jaccard, lines, packing, quality, rules, secrets, substrings, toxicity
 from voxatlas.llm.common import table
 
 
@@ -67,6 +67,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"), extraction.drawn_model(spark))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
 
@@ -86,6 +90,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
+    "op11_html_extraction": op11_html_extraction,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_filter_audit": op13_filter_audit,
 }
