@@ -24,6 +24,8 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxatlas.llm.common import keep
+
 #: The filters, in the order of their bits.
 FILTERS = "ABCDE"
 MASKS = 1 << len(FILTERS)
@@ -53,7 +55,8 @@ def failures(docs: DataFrame, part: str = "source") -> DataFrame:
     plain = _plain(docs, part)
     capitals = F.regexp_count("text", F.lit("[A-Z]"))
     flags = plain.select("doc_id", "part", "h1", "h2", (100 * capitals.cast("long") > MOST_CAPITALS * F.length("text").cast("long")).alias("c"), F.col("text").rlike(SIGNS).alias("d"))
-    joined = flags.join(word_totals(plain), ["h1", "h2"], "left")
+    # kept, so that the join reads both sides as they are dealt out and can split a large group of copies
+    joined = flags.join(keep(word_totals(plain)), ["h1", "h2"], "left")
     tests = [F.col("n_words") < LEAST_WORDS, 100 * F.col("n_distinct") < LEAST_DISTINCT * F.col("n_words"), F.col("c"), F.col("d"), F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))]
     return joined.select("doc_id", "part", sum((F.when(t, 1 << k).otherwise(0) for k, t in enumerate(tests)), F.lit(0)).alias("fails"))
 

@@ -42,8 +42,13 @@ def features(ws: Column, longest: int) -> Column:
     """All runs of 1 to ``longest`` of the words ``ws``, each joined by one space."""
     if longest == 1:
         return ws
-    runs = [F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - (n - 1), F.lit(1))), lambda i, n=n: F.array_join(F.slice(ws, i, n), " ")) for n in range(1, longest + 1)]
-    return F.flatten(F.array(*(F.when(F.size(ws) >= n, r).otherwise(F.array().cast("array<string>")) for n, r in enumerate(runs, 1))))
+
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(ws) - (n - 1), F.lit(1)))
+        joined = F.transform(starts, lambda i: F.array_join(F.slice(ws, i, n), " "))
+        return F.when(F.size(ws) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+    return F.flatten(F.array(*(runs(n) for n in range(1, longest + 1))))
 
 
 def bucketed(docs: DataFrame, others: list[str], longest: int = LONGEST, buckets: int = BUCKETS) -> DataFrame:
