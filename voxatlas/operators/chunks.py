@@ -79,8 +79,9 @@ def map_blocks(chunks: DataFrame, f: Callable[[np.ndarray], np.ndarray]) -> Data
     return chunks.mapInPandas(run, SCHEMA)
 
 
-def add_halo(chunks: DataFrame, sizes: Shape, chunk: Shape, depth: int) -> DataFrame:
-    """Every block with ``depth`` voxels of its neighbours around it, mirrored at the volume's borders.
+def add_halo(chunks: DataFrame, sizes: Shape, chunk: Shape, depth: int, mode: str = "symmetric") -> DataFrame:
+    """Every block with ``depth`` voxels of its neighbours around it, mirrored at the volume's borders:
+    the end voxels included, or with ``mode`` "reflect" about their centres.
 
     Each block sends to every block the part of itself that lies in the other's halo,
     so that a halo voxel crosses the network once.
@@ -114,7 +115,7 @@ def add_halo(chunks: DataFrame, sizes: Shape, chunk: Shape, depth: int) -> DataF
             part = block(row)
             array[tuple(slice(int(row[f"{a}0"]) - s, int(row[f"{a}0"]) - s + n) for a, s, n in zip(AXES, low, part.shape, strict=True))] = part
         pad = [(depth - (s - l), depth - (h - s - k)) for s, l, h, k in zip(start, low, high, size, strict=True)]
-        array = np.pad(array, pad, mode="symmetric")
+        array = np.pad(array, pad, mode=mode)
         return frame([block_row(dict(zip(KEY + PLACE, [*key, *start, *size], strict=True)), array, depth)])
 
     return chunks.mapInPandas(send, SCHEMA).groupBy(*KEY).applyInPandas(assemble, SCHEMA)
