@@ -21,6 +21,17 @@ def volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.select("z", F.expr("i div 8").cast("int").alias("y"), F.expr("i % 8").cast("int").alias("x"), F.floor((F.col("e").cast("double") + 1) * 1000).cast("bigint").alias("v"))
 
 
+#: Voxels of a plane of ``body``.
+PLANE = (40, 40)
+
+
+def body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same voxels as ``volume``, in their order, laid out 40 by 40 in y and x."""
+    ny, nx = PLANE
+    numbered = volume(spark, sf_dir).select(F.expr("z * 64L + y * 8 + x").alias("i"), "v")
+    return numbered.select(F.expr(f"cast(i div {ny * nx} as int)").alias("z"), F.expr(f"cast(i div {nx} % {ny} as int)").alias("y"), F.expr(f"cast(i % {nx} as int)").alias("x"), "v")
+
+
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree of world, regions, nations and suppliers, with the columns of an ontology."""
     world = spark.range(1).select(F.lit(1).cast("bigint").alias("id"), F.lit("world").alias("name"), F.lit(None).cast("bigint").alias("parent_structure_id"))

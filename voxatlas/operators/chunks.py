@@ -27,6 +27,12 @@ def block(row, payload: str = "payload", dtype: str = "dtype", halo: str = "halo
     return np.frombuffer(row[payload], np.dtype(row[dtype])).reshape(int(row["nz"]) + h, int(row["ny"]) + h, int(row["nx"]) + h)
 
 
+def core(row, payload: str = "payload", dtype: str = "dtype", halo: str = "halo") -> np.ndarray:
+    """The array of a row without its halo."""
+    h = int(row[halo])
+    return block(row, payload, dtype, halo)[tuple(slice(h, h + int(row[n])) for n in PLACE[3:])]
+
+
 def block_row(like, array: np.ndarray, halo: int) -> dict:
     """The row of an array at the place of another row."""
     return {k: like[k] for k in KEY + PLACE} | {"halo": halo, "dtype": array.dtype.str, "payload": np.ascontiguousarray(array).tobytes()}
@@ -37,6 +43,32 @@ def frame(rows: list[dict]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
+#: Voxels that become rows at once.
+SPREAD = 1 << 18
+#: Payload bytes that go into one frame, blocks that are larger by themselves.
+FRAME_BYTES = 16 << 20
+
+
+def frames_of(rows: Iterator[dict], more: tuple[str, ...] = ()) -> Iterator[pd.DataFrame]:
+    """Rows of a chunk table, with other columns ``more``, some at a time."""
+    held, size = [], 0
+    columns = [*(c.split()[0] for c in SCHEMA.split(", ")), *more]
+    for row in rows:
+        if held and size + len(row["payload"]) > FRAME_BYTES:
+            yield pd.DataFrame(held, columns=columns)
+            held, size = [], 0
+        held.append(row)
+        size += len(row["payload"])
+    if held:
+        yield pd.DataFrame(held, columns=columns)
+
+
+def records(frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
+    """The rows of some frames."""
+    for part in frames:
+        yield from part.to_dict("records")
+
+
 def from_voxels(voxels: DataFrame, sizes: Shape, chunk: Shape = (64, 64, 64), dtype: str = "<u2") -> DataFrame:
     """Voxels (z, y, x, v) gathered into chunks; voxels that are missing are 0."""
     keyed = voxels.select(*(F.expr(f"cast({a} div {c} as int)").alias(k) for a, c, k in zip(AXES, chunk, KEY, strict=True)), *AXES, "v")
@@ -51,30 +83,37 @@ def from_voxels(voxels: DataFrame, sizes: Shape, chunk: Shape = (64, 64, 64), dt
     return keyed.groupBy(*KEY).applyInPandas(gather, SCHEMA)
 
 
-def to_voxels(chunks: DataFrame, zeros: bool = True) -> DataFrame:
-    """The core voxels of each chunk."""
-
+def _spread(chunks: DataFrame, zeros: bool, kind: str, dtype: type) -> DataFrame:
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in frames:
-            for row in part.to_dict("records"):
-                h = int(row["halo"])
-                core = block(row)[tuple(slice(h, h + int(row[n])) for n in PLACE[3:])]
-                at = np.indices(core.shape).reshape(3, -1)
-                v = core.ravel()
+        for row in records(frames):
+            array = core(row)
+            step = max(1, SPREAD // max(1, array[0].size))
+            for z in range(0, len(array), step):  # some planes at a time
+                planes = array[z : z + step]
+                at = np.indices(planes.shape, np.int32).reshape(3, -1)
+                v = planes.ravel()
                 if not zeros:
                     at, v = at[:, v != 0], v[v != 0]
-                yield pd.DataFrame({a: (at[k] + int(row[f"{a}0"])).astype(np.int32) for k, a in enumerate(AXES)} | {"v": v.astype(np.int64)})
+                yield pd.DataFrame({a: at[k] + np.int32(row[f"{a}0"] + (z if k == 0 else 0)) for k, a in enumerate(AXES)} | {"v": v.astype(dtype)})
 
-    return chunks.mapInPandas(spread, "z int, y int, x int, v bigint")
+    return chunks.mapInPandas(spread, f"z int, y int, x int, v {kind}")
+
+
+def to_voxels(chunks: DataFrame, zeros: bool = True) -> DataFrame:
+    """The core voxels of each chunk, as whole numbers."""
+    return _spread(chunks, zeros, "bigint", np.int64)
+
+
+def to_values(chunks: DataFrame) -> DataFrame:
+    """The core voxels of each chunk, as doubles."""
+    return _spread(chunks, True, "double", np.float64)
 
 
 def map_blocks(chunks: DataFrame, f: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """``f`` of every block, halo included; the shape stays."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in frames:
-            for row in part.to_dict("records"):
-                yield frame([block_row(row, f(block(row)), int(row["halo"]))])
+        return frames_of(block_row(row, f(block(row)), int(row["halo"])) for row in records(frames))
 
     return chunks.mapInPandas(run, SCHEMA)
 
@@ -89,21 +128,22 @@ def add_halo(chunks: DataFrame, sizes: Shape, chunk: Shape, depth: int, mode: st
     if depth == 0:
         return chunks
 
+    def parts_of(row: dict) -> Iterator[dict]:
+        array = block(row)
+        low = [int(row[f"{a}0"]) for a in AXES]
+        high = [s + n for s, n in zip(low, array.shape, strict=True)]
+        reach = [range(max(0, (s - depth) // c), min(-(-n // c), (e + depth - 1) // c + 1)) for s, e, c, n in zip(low, high, chunk, sizes, strict=True)]
+        for to in ((a, b, c) for a in reach[0] for b in reach[1] for c in reach[2]):
+            start = [t * c for t, c in zip(to, chunk, strict=True)]
+            stop = [min(s + c, n) for s, c, n in zip(start, chunk, sizes, strict=True)]
+            box = [(max(s - depth, p), min(e + depth, q)) for s, e, p, q in zip(start, stop, low, high, strict=True)]
+            if all(p < q for p, q in box):
+                part = array[tuple(slice(p - s, q - s) for (p, q), s in zip(box, low, strict=True))]
+                place = dict(zip(KEY + PLACE, [*to, *(p for p, _ in box), *part.shape], strict=True))
+                yield block_row(place, part, 0)
+
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in frames:
-            for row in part.to_dict("records"):
-                array = block(row)
-                low = [int(row[f"{a}0"]) for a in AXES]
-                high = [s + n for s, n in zip(low, array.shape, strict=True)]
-                reach = [range(max(0, (s - depth) // c), min(-(-n // c), (e + depth - 1) // c + 1)) for s, e, c, n in zip(low, high, chunk, sizes, strict=True)]
-                for to in ((a, b, c) for a in reach[0] for b in reach[1] for c in reach[2]):
-                    start = [t * c for t, c in zip(to, chunk, strict=True)]
-                    stop = [min(s + c, n) for s, c, n in zip(start, chunk, sizes, strict=True)]
-                    box = [(max(s - depth, p), min(e + depth, q)) for s, e, p, q in zip(start, stop, low, high, strict=True)]
-                    if all(p < q for p, q in box):
-                        part = array[tuple(slice(p - s, q - s) for (p, q), s in zip(box, low, strict=True))]
-                        place = dict(zip(KEY + PLACE, [*to, *(p for p, _ in box), *part.shape], strict=True))
-                        yield frame([block_row(place, part, 0)])
+        return frames_of(part for row in records(frames) for part in parts_of(row))
 
     def assemble(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         start = [int(k) * c for k, c in zip(key, chunk, strict=True)]
@@ -125,10 +165,7 @@ def trim_halo(chunks: DataFrame) -> DataFrame:
     """Every block without its halo."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in frames:
-            for row in part.to_dict("records"):
-                h = int(row["halo"])
-                yield frame([block_row(row, block(row)[tuple(slice(h, h + int(row[n])) for n in PLACE[3:])], 0)])
+        return frames_of(block_row(row, core(row), 0) for row in records(frames))
 
     return chunks.mapInPandas(cut, SCHEMA)
 

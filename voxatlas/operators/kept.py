@@ -5,24 +5,28 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 #: Temporary folders of local sessions without the setting, by application.
 _LOCAL: dict[str, str] = {}
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder of spark.checkpoint.dir and read again.
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the folder of spark.checkpoint.dir.
 
     Only a local session without the setting (a test) gets a temporary folder.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="checkpoint-")
         _LOCAL[spark.sparkContext.applicationId] = folder
-    path = f"{folder}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return f"{folder}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = shared_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

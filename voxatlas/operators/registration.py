@@ -36,6 +36,8 @@ from voxatlas.operators.transforms import Affine, BSplineField, Chain
 LEAST = 16
 #: Partitions at most that send histograms, each a fixed number of bytes.
 PARTS = 64
+#: Voxels beyond the end voxels' centres at which an image is still read: up to their outer faces.
+SLACK = 0.5
 #: Multiplier and modulus of the rule that chooses samples.
 STRIDE, CYCLE = 2654435761, 1 << 32
 
@@ -63,6 +65,11 @@ class Settings:
             own["spacing"] = tuple(float(v) for v in given["FinalGridSpacingInVoxels"][::-1])
         return cls(**own)
 
+    def text(self) -> str:
+        """A parameter file of these settings."""
+        values = {"NumberOfResolutions": self.levels, "MaximumNumberOfIterations": self.turns, "NumberOfHistogramBins": self.bins, "NumberOfSpatialSamples": self.samples, "FinalGridSpacingInVoxels": " ".join(map(str, self.spacing[::-1]))}
+        return "".join(f"({name} {value})\n" for name, value in values.items())
+
 
 AFFINE, BSPLINE = Settings(), Settings(levels=3, turns=5000, bins=128, samples=10_000)
 
@@ -81,12 +88,13 @@ def smooth(chunks: DataFrame, sizes: B.Shape, chunk: B.Shape, sigma: float) -> D
 def thin(chunks: DataFrame, factors: B.Shape) -> DataFrame:
     """Every factor-th voxel of an axis; chunks begin at multiples of the factors."""
 
+    def part_of(row: dict) -> dict:
+        array = B.block(row)[tuple(slice(None, None, f) for f in factors)]
+        place = {k: row[k] for k in B.KEY} | {f"{a}0": int(row[f"{a}0"]) // f for a, f in zip(B.AXES, factors, strict=True)} | dict(zip(("nz", "ny", "nx"), array.shape, strict=True))
+        return B.block_row(place, array, 0)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in frames:
-            for row in part.to_dict("records"):
-                array = B.block(row)[tuple(slice(None, None, f) for f in factors)]
-                place = {k: row[k] for k in B.KEY} | {f"{a}0": int(row[f"{a}0"]) // f for a, f in zip(B.AXES, factors, strict=True)} | dict(zip(("nz", "ny", "nx"), array.shape, strict=True))
-                yield B.frame([B.block_row(place, array, 0)])
+        return B.frames_of(part_of(row) for row in B.records(frames))
 
     return chunks.mapInPandas(run, B.SCHEMA)
 
@@ -193,8 +201,8 @@ class Measure:
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             at = moved.value
-            held = S.inside(at, sizes)
-            first = np.floor(at)
+            held = S.inside(at, sizes, SLACK)
+            first = np.maximum(np.floor(at), 0)
             ids, values, turns = [], [], []
             for part in frames:
                 for row in part.to_dict("records"):
@@ -315,10 +323,10 @@ def climb(value: Callable[[np.ndarray], float], slope: Callable[[np.ndarray], np
                 break
             step /= 2
         if not rose:
-            if not steps:
+            if not steps and longest < 1e-2:
                 break
             steps, turned = [], []
-            longest /= 2
+            longest /= 4
             continue
         new = w + step * way
         new_g = slope(new)

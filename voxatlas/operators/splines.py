@@ -87,19 +87,20 @@ def _spread(parts: dict[str, np.ndarray], axis: int, n: int) -> np.ndarray:
 def coefficients(chunks: DataFrame, sizes: Shape, chunk: Shape) -> DataFrame:
     """Coefficients (double) of the cubic spline through the voxels of a chunk table without halo."""
 
+    def parts_of(row: dict) -> Iterator[dict]:
+        array = B.block(row)
+        ways = [_carries(int(row[k]), n, c) for k, n, c in zip(B.KEY, sizes, chunk, strict=True)]
+        for z in ways[0]:
+            of_z = array if z[2] is None else np.tensordot(z[2], array, (0, 0))[None]
+            for y in ways[1]:
+                of_y = of_z if y[2] is None else np.tensordot(of_z, y[2], (1, 0))[:, None]
+                for x in ways[2]:
+                    of_x = of_y if x[2] is None else np.tensordot(of_y, x[2], (2, 0))[:, :, None]
+                    place = dict(zip(B.KEY, (z[0], y[0], x[0]), strict=True)) | {f"{a}0": 0 for a in B.AXES} | dict(zip(("nz", "ny", "nx"), of_x.shape, strict=True))
+                    yield B.block_row(place, of_x, 0) | {"mode": z[1] + y[1] + x[1]}
+
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in frames:
-            for row in part.to_dict("records"):
-                array = B.block(row)
-                ways = [_carries(int(row[k]), n, c) for k, n, c in zip(B.KEY, sizes, chunk, strict=True)]
-                for z in ways[0]:
-                    of_z = array if z[2] is None else np.tensordot(z[2], array, (0, 0))[None]
-                    for y in ways[1]:
-                        of_y = of_z if y[2] is None else np.tensordot(of_z, y[2], (1, 0))[:, None]
-                        for x in ways[2]:
-                            of_x = of_y if x[2] is None else np.tensordot(of_y, x[2], (2, 0))[:, :, None]
-                            place = dict(zip(B.KEY, (z[0], y[0], x[0]), strict=True)) | {f"{a}0": 0 for a in B.AXES} | dict(zip(("nz", "ny", "nx"), of_x.shape, strict=True))
-                            yield B.frame([B.block_row(place, of_x, 0)]).assign(mode=z[1] + y[1] + x[1])
+        return B.frames_of((part for row in B.records(frames) for part in parts_of(row)), ("mode",))
 
     def gather(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         start = [int(k) * c for k, c in zip(key, chunk, strict=True)]
@@ -151,9 +152,9 @@ def read(box: np.ndarray, low: np.ndarray, places: np.ndarray, order: int = 3, g
     return out if gradient else out[0]
 
 
-def inside(places: np.ndarray, sizes: Shape) -> np.ndarray:
-    """Which places lie within an image, its end voxels' centres included."""
-    return np.all([(p >= 0) & (p <= n - 1) for p, n in zip(places, sizes, strict=True)], axis=0)
+def inside(places: np.ndarray, sizes: Shape, slack: float = 0.0) -> np.ndarray:
+    """Which places lie within an image, its end voxels' centres and ``slack`` voxels beyond them included."""
+    return np.all([(p >= -slack) & (p <= n - 1 + slack) for p, n in zip(places, sizes, strict=True)], axis=0)
 
 
 def grid(start: list[int], size: list[int]) -> np.ndarray:
@@ -222,16 +223,16 @@ def warp(source: DataFrame, source_sizes: Shape, source_chunk: Shape, sizes: Sha
     asked = targets.mapInPandas(ask, "chunk_z int, chunk_y int, chunk_x int, target bigint, " + ", ".join(f"{n} bigint" for n in names))
     by_chunk = asked.groupBy(*B.KEY).agg(F.collect_list(F.struct("target", *names)).alias("asked"))
 
+    def parts_of(row: dict) -> Iterator[dict]:
+        array, at = B.block(row), [int(row[f"{a}0"]) for a in B.AXES]
+        for want in row["asked"]:
+            lows = [max(int(want[f"low_{a}"]), s) for a, s in zip(B.AXES, at, strict=True)]
+            highs = [min(int(want[f"high_{a}"]), s + n) for a, s, n in zip(B.AXES, at, array.shape, strict=True)]
+            piece = array[tuple(slice(l - s, h - s) for l, h, s in zip(lows, highs, at, strict=True))]
+            yield B.block_row(dict(zip(B.KEY + B.PLACE, [0, 0, 0, *lows, *piece.shape], strict=True)), piece, 0) | {"target": int(want["target"])}
+
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in frames:
-            for row in part.to_dict("records"):
-                array, at = B.block(row), [int(row[f"{a}0"]) for a in B.AXES]
-                for want in row["asked"]:
-                    lows = [max(int(want[f"low_{a}"]), s) for a, s in zip(B.AXES, at, strict=True)]
-                    highs = [min(int(want[f"high_{a}"]), s + n) for a, s, n in zip(B.AXES, at, array.shape, strict=True)]
-                    piece = array[tuple(slice(l - s, h - s) for l, h, s in zip(lows, highs, at, strict=True))]
-                    own = dict(zip(B.KEY + B.PLACE, [0, 0, 0, *lows, *piece.shape], strict=True))
-                    yield B.frame([B.block_row(own, piece, 0)]).assign(target=int(want["target"]))
+        return B.frames_of((part for row in B.records(frames) for part in parts_of(row)), ("target",))
 
     pieces = source.join(by_chunk, B.KEY).mapInPandas(cut, B.SCHEMA + ", target bigint")
     empty = targets.selectExpr(*(f"0 as {k}" for k in B.KEY), *(f"0L as {a}0" for a in B.AXES), *(f"0 as n{a}" for a in B.AXES), "0 as halo", "'<f8' as dtype", "cast('' as binary) as payload", "id as target")

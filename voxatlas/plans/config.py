@@ -15,6 +15,7 @@ WHOLE: Slice = (None, None, None)
 class Config:
     """The defaults."""
 
+    atlas_dir: str | None = None
     ref_version: str = "average_template_25"
     annot_version: str = "ccf_2016_25"
     map_version: str = "ABA_annotations"

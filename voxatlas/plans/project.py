@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 #: Artefacts of a project by their folder; those of cell counting exist for tuning too.
 FOLDERS = {
-    "registration": ["ref", "annot", "ontology", "downsampled_rough", "downsampled_fine", "trimmed", "bounded", "registered"],
+    "registration": ["ref", "annot", "ontology", "parameters", "transform", "downsampled_rough", "downsampled_fine", "trimmed", "bounded", "registered"],
     "mask": ["mask_fill", "mask_outline", "mask_code", "mask_regions"],
     "cellcount": ["raw", "overlap", "threshold_filtered", "maxima", "maxima_labels", "wshed_volumes", "wshed_filtered"],
     "analysis": ["cells_coords", "cells_raw", "cells_labels", "cells_trfm", "cells", "cells_agg", "cells_agg_csv"],

@@ -18,15 +18,23 @@ from voxatlas.operators import kernels as N
 from voxatlas.operators import masks as M
 from voxatlas.operators import ontology as O
 from voxatlas.operators import rasters as R
+from voxatlas.operators import registration as J
+from voxatlas.operators import splines as S
 from voxatlas.operators import stencils as T
 from voxatlas.operators import voxels as V
-from voxatlas.operators.warps import warp_image
+from voxatlas.operators.kept import kept
+from voxatlas.operators.transforms import Chain, move_points
 from voxatlas.plans import config as configs
 from voxatlas.plans.config import Config
 from voxatlas.plans.project import Project
-from voxatlas.sources.tables import exists, folders, is_folder, read_parquet, write_csv, write_parquet
+from voxatlas.sources.tables import exists, folders, has_file, is_folder, read_parquet, write_csv, write_parquet
 from voxatlas.sources.tiff import read_stack
+from voxatlas.sources.transforms import parse, read_chain, read_text, write_chain, write_text
 
+#: Voxels of a chunk of images that are registered.
+REGISTERED_CHUNK = (64, 64, 64)
+#: Parameter files of a project's registration.
+PARAMETER_FILES = {"affine": "align_affine.txt", "bspline": "align_bspline.txt"}
 CELLS_SCHEMA = "label bigint, z bigint, y bigint, x bigint, count bigint, volume bigint, sum_intensity double"
 
 
@@ -61,9 +69,40 @@ class Pipeline:
         c = self.config
         return self.stage("bounded", lambda: image.withColumn("v", V.bound(F.col("v"), c.lower_bound, c.upper_bound)))
 
-    def registered(self, image: DataFrame, reference: DataFrame, transform=None) -> DataFrame:
-        """The specimen's image seen from the atlas: every atlas voxel reads where ``transform`` sends it."""
-        return self.stage("registered", lambda: warp_image(image, V.shape(reference), transform or (lambda points: points)))
+    def settings(self, given: dict[str, str] | None = None) -> dict[str, J.Settings]:
+        """How images are registered: what the project's parameter files say, which are made of
+        ``given`` texts, or of the defaults, where there are none.
+        """
+        out = {}
+        for kind, default in (("affine", J.AFFINE), ("bspline", J.BSPLINE)):
+            path = f"{self.project.path('parameters')}/{PARAMETER_FILES[kind]}"
+            if not has_file(self.spark, path):
+                write_text(self.spark, path, (given or {}).get(kind) or default.text())
+            out[kind] = J.Settings.of(parse(read_text(self.spark, path)))
+        return out
+
+    def prepare(self, reference: DataFrame, annotation: DataFrame, regions: DataFrame, parameters: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+        """The atlas of the project: reference and annotation, its ontology and its parameter files."""
+        self.settings(parameters)
+        self.stage("ontology", lambda: regions)
+        return self.reference("ref", reference), self.reference("annot", annotation.withColumnRenamed("id", "v")).withColumnRenamed("v", "id")
+
+    def _image(self, voxels: DataFrame) -> J.Image:
+        sizes = V.shape(voxels)
+        return J.Image(kept(B.from_voxels(voxels, sizes, REGISTERED_CHUNK)), sizes, REGISTERED_CHUNK)
+
+    def transformation(self, fixed: DataFrame, moving: DataFrame) -> Chain:
+        """The transformation of the specimen's places into the atlas, found unless its files are there."""
+        folder = self.project.path("transform")
+        if self.overwrite or not exists(self.spark, folder):
+            own = self.settings()
+            write_chain(self.spark, J.register(self._image(fixed), self._image(moving), own["affine"], own["bspline"]), folder)
+        return read_chain(self.spark, folder)
+
+    def registered(self, fixed: DataFrame, moving: DataFrame, chain: Chain) -> DataFrame:
+        """The atlas' image seen from the specimen, in chunks: every voxel reads where the transformation takes it."""
+        image = self._image(moving)
+        return self.stage("registered", lambda: S.warp_image(image.chunks, image.sizes, image.chunk, V.shape(fixed), REGISTERED_CHUNK, chain, "<u2"))
 
     # ---- raw data
 
@@ -228,7 +267,8 @@ class Pipeline:
 
         Raw data, images for registration, the coverage mask, counting on the tuning box
         and on everything, mapping and grouping; with ``visual`` pictures too.
-        ``transform`` moves points of the trimmed image into the atlas.
+        ``transform`` moves points of the trimmed image into the atlas.  Without one, but
+        with the atlas' ``reference`` image, the specimen is registered to that.
         """
         def ingest() -> DataFrame:
             voxels = self.ingest(raw) if isinstance(raw, str) else raw
@@ -236,10 +276,15 @@ class Pipeline:
 
         raw_chunks = self.stage("raw", ingest)
         whole = annotation
-        annotation = self.reference("annot", annotation.withColumnRenamed("id", "v")).withColumnRenamed("v", "id")
-        if mask or visual:
+        register = transform is None and reference is not None
+        atlas, annotation = self.prepare(reference if reference is not None else whole.withColumnRenamed("id", "v"), annotation, regions)
+        if mask or visual or register:
             trimmed = self.trimmed(self.fine(self.rough(B.to_voxels(raw_chunks))))
             bounded = self.bounded(trimmed)
+        if register:
+            chain = self.transformation(bounded, atlas)
+            seen = self.registered(bounded, atlas, chain)
+            transform = lambda points: move_points(points, chain)
         if mask:
             self.mask_regions(bounded, annotation, whole, regions, transform)
         if tuning:
@@ -249,19 +294,22 @@ class Pipeline:
         moved = self.cells_transformed(found["cells"], transform)
         cells = self.cells_mapped(found["cells"], moved, annotation, regions)
         if visual:
-            atlas = self.reference("ref", reference if reference is not None else whole.withColumnRenamed("id", "v"))
             raw_shape, atlas_shape = V.shape(B.to_voxels(raw_chunks)), V.shape(annotation)
             pictures = self.visual_checks(found["cells"], raw_shape, moved, atlas_shape)
             final = self.trimmed_to_final({name: found[name] for name in ("maxima", "threshold", "wshed")})
             box = V.trim(B.to_voxels(raw_chunks), self.config.combine_cellc_trim)
+            if register:
+                self.stacked("registration", [trimmed, bounded, B.to_voxels(seen)])
             self.stacked("cells", [box, final["threshold"], final["wshed"]])
             self.stacked("points", [atlas, annotation.withColumnRenamed("id", "v"), R.dense(pictures["heatmap_trfm"], atlas_shape)])
         return self.cells_grouped(cells, regions)
 
 
-def combine(spark: SparkSession, projects: dict[str, Project], regions: DataFrame, path: str | None = None, overwrite: bool = False) -> DataFrame:
+def combine(spark: SparkSession, projects: dict[str, Project], regions: DataFrame | None = None, path: str | None = None, overwrite: bool = False) -> DataFrame:
     """The combined table of specimens, which must have been made with the same atlas.
 
+    Without ``regions`` the ontology is the one that the first project has kept.
+
     With ``path`` it is written there, as parquet and as csv, unless it is there already.
     """
     if not projects:
@@ -269,8 +317,10 @@ def combine(spark: SparkSession, projects: dict[str, Project], regions: DataFram
     if path and not overwrite and exists(spark, f"{path}/combined"):
         return read_parquet(spark, f"{path}/combined")
     versions = {name: configs.read(spark, p.config) for name, p in projects.items()}
-    if len({(c.ref_version, c.annot_version, c.map_version) for c in versions.values()}) > 1:
+    if len({(c.atlas_dir, c.ref_version, c.annot_version, c.map_version) for c in versions.values()}) > 1:
         raise ValueError("the specimens were made with different atlases")
+    if regions is None:
+        regions = read_parquet(spark, next(iter(projects.values())).path("ontology"))
     tables = {name: K.specimen_table(read_parquet(spark, p.path("cells_agg")), read_parquet(spark, p.path("mask_regions"))) for name, p in projects.items()}
     out = K.combine_wide(K.annotations(spark, regions), tables)
     if path:
@@ -279,7 +329,7 @@ def combine(spark: SparkSession, projects: dict[str, Project], regions: DataFram
     return out
 
 
-def combine_folder(spark: SparkSession, root: str, regions: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
+def combine_folder(spark: SparkSession, root: str, regions: DataFrame | None, path: str, overwrite: bool = False) -> DataFrame:
     """The combined table of all projects right below ``root``: the folders that have parameters."""
     found = {p.rstrip("/").rsplit("/", 1)[-1]: Project(p) for p in folders(spark, root)}
     return combine(spark, {name: p for name, p in found.items() if configs.found(spark, p.config)}, regions, path, overwrite)

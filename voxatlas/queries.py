@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +17,15 @@ from voxatlas.operators import kernels as N
 from voxatlas.operators import masks as M
 from voxatlas.operators import ontology as O
 from voxatlas.operators import rasters as R
+from voxatlas.operators import registration as J
 from voxatlas.operators import segments as G
+from voxatlas.operators import splines as S
 from voxatlas.operators import stencils as T
 from voxatlas.operators import voxels as V
 from voxatlas.operators import warps as P
+from voxatlas.operators.kept import kept, shared_path
+from voxatlas.operators.transforms import Affine, BSplineField, Chain, move_points
+from voxatlas.sources.transforms import read_chain, write_chain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -746,6 +752,175 @@ def warp_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moved.withColumn("v", F.round("v", 6))
 
 
+#: A turn, a shear and a shift of cell places; the field above follows.
+TURN, SHIFT, CENTRE = [[1.0, 0.02, -0.01], [0.03, 0.95, 0.02], [-0.02, 0.04, 1.05]], [0.4, -0.3, 0.8], [4.0, 8.0, 16.0]
+
+
+def _affine_sql(matrix, offset, centre) -> list[str]:
+    """Expressions of the moved z, y and x."""
+    return [" + ".join(f"({m!r}::double) * ({a} - {c!r}::double)" for m, a, c in zip(row, "zyx", centre, strict=True)) + f" + {centre[k] + offset[k]!r}::double" for k, row in enumerate(matrix)]
+
+
+@query(
+    "transform_chain",
+    with_(
+        CELLS,
+        _SPOTS,
+        "turned as (select z as z0, y as y0, x as x0, " + ", ".join(f"{e} as {a}" for a, e in zip("zyx", _affine_sql(TURN, SHIFT, CENTRE), strict=True)) + " from spots)",
+        "grid as (select a.i as gz, b.i as gy, c.i as gx from range({}) a(i), range({}) b(i), range({}) c(i))".format(*CONTROL),
+        "field as (select gz, gy, gx, " + ", ".join(f"({e})::double as d{a}" for a, e in _DISPLACED.items()) + " from grid)",
+        "four as (select unnest(range(4)) as k)",
+        "laid as (select z0, y0, x0, z, y, x, " + ", ".join(f"floor(({a} - {o}) / {s})::int - 1 + f{a}.k as g{a}, {_cubic_sql(f'f{a}.k', f'(({a} - {o}) / {s} - floor(({a} - {o}) / {s}))')} as w{a}" for a, o, s in zip("zyx", ORIGIN, map(float, SPACING), strict=True)) + " from turned, four fz, four fy, four fx)",
+        "sums as (select z0, y0, x0, " + ", ".join(f"sum(wz * wy * wx * d{a}) as d{a}" for a in "zyx") + " from laid join field using (gz, gy, gx) group by z0, y0, x0 having count(*) = 64)",
+    )
+    + "select z0 as z, y0 as y, x0 as x, " + ", ".join(f"round({a} + coalesce(d{a}, 0), 6) + 0.0 as {a}_new" for a in "zyx") + " from turned left join sums using (z0, y0, x0)",
+)
+def transform_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell places moved by an affine transformation and then a field, both read from parameter files."""
+    z, y, x = np.meshgrid(*map(np.arange, CONTROL), indexing="ij")
+    grid = np.stack([((z * 7 + y * 3 + x) % 11 - 5) / 8, ((z * 2 + y * 5 + x * 3) % 7 - 3) / 4, ((z + y + x) % 5 - 2) / 2], axis=-1)
+    field = BSplineField(grid, np.array(ORIGIN, float), np.array(SPACING, float))
+    folder = shared_path(spark)
+    write_chain(spark, Chain((Affine(np.array(TURN), np.array(SHIFT), np.array(CENTRE)), field)), folder)
+    spots = fx.cells(spark, sf_dir).select(*(F.col(a).cast("double").alias(a) for a in C.AXES)).distinct()
+    moved = move_points(spots.select(*C.AXES, *(F.col(a).alias(f"{a}_old") for a in C.AXES)), read_chain(spark, folder))
+    return moved.select(*(F.col(f"{a}_old").alias(a) for a in C.AXES), *((F.round(a, 6) + F.lit(0.0)).alias(f"{a}_new") for a in C.AXES))
+
+
+def _coefficients_sql(prefix: str, source: str, sizes: dict[str, str]) -> list[str]:
+    """Coefficients of the spline through a volume (z, y, x, v), one axis after the other, as <prefix>x."""
+    out = []
+    for axis, n in sizes.items():
+        a, b = (c for c in "zyx" if c != axis)
+        mirror = "(case when {0} % (2 * (n - 1)) > n - 1 then 2 * (n - 1) - {0} % (2 * (n - 1)) else {0} % (2 * (n - 1)) end)"
+        taps = f"select k, {mirror.format('(k + d + 200 * (n - 1))')} as i, sum(sqrt(3) * pow(sqrt(3) - 2, abs(d))) as w from (select n, unnest(range(n)) as k from (select {n} as n)), range(-45, 46) s(d) group by all"
+        out.append(f"{prefix}{axis} as (select w.k as {axis}, p.{a}, p.{b}, sum(p.v * w.w) as v from ({taps}) w join {source} p on p.{axis} = w.i group by all)")
+        source = f"{prefix}{axis}"
+    return out
+
+
+def _read_sql(source: str, places: str, keys: str, sizes: dict[str, str], slack: float = 0.0) -> str:
+    """Values of a spline at places (pz, py, px) within its volume, by ``keys``."""
+    within = " and ".join(f"p{a} >= -{slack} and p{a} <= {n} - 1 + {slack}" for a, n in sizes.items())
+    near = ", ".join(f"(case when floor(p{a})::int - 1 + f{a}.k < 0 then 1 - floor(p{a})::int - f{a}.k when floor(p{a})::int - 1 + f{a}.k > {n} - 1 then 2 * ({n} - 1) - floor(p{a})::int + 1 - f{a}.k else floor(p{a})::int - 1 + f{a}.k end) as q{a}, {_cubic_sql(f'f{a}.k', f'(p{a} - floor(p{a}))')} as w{a}" for a, n in sizes.items())
+    own = ", ".join(f"l.{k}" for k in keys.split(", "))
+    return f"select {own}, sum(wz * wy * wx * c.v) as v from (select {keys}, {near} from {places}, four fz, four fy, four fx where {within}) l join {source} c on c.z = qz and c.y = qy and c.x = qx group by {own}"
+
+
+_VOX_SIZES = {"z": "(select max(z) + 1 from vox)", "y": "8", "x": "8"}
+
+
+@query(
+    "warp_image_cubic",
+    with_(
+        VOX,
+        "flat as (select z, y, x, v::double as v from vox)",
+        *_coefficients_sql("c", "flat", {k: v if k == "z" else v + "::bigint" for k, v in _VOX_SIZES.items()}),
+        "grid as (select a.i::int as z, b.i::int as y, c.i::int as x from range({}) a(i), range({}) b(i), range({}) c(i))".format(*WARPED),
+        "moved as (select z, y, x, z * 2.5::double + 0.25 as pz, y * 1.25::double - 1 as py, x * 1.0::double + y * 0.5::double as px from grid)",
+        "four as (select unnest(range(4)) as k)",
+        "seen as (" + _read_sql("cx", "moved", "z, y, x", _VOX_SIZES) + ")",
+    )
+    + "select z, y, x, round(coalesce(v, 0), 5) + 0.0 as v from grid left join seen using (z, y, x)",
+)
+def warp_image_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The volume seen from another space through the cubic spline of its voxels, chunk by chunk."""
+    voxels = fx.volume(spark, sf_dir)
+    sizes, chunk = V.shape(voxels), (64, 8, 8)
+    move = Affine(np.array([[2.5, 0, 0], [0, 1.25, 0], [0, 0.5, 1]]), np.array([0.25, -1, 0]), np.zeros(3))
+    seen = S.warp_image(kept(B.from_voxels(voxels, sizes, chunk)), sizes, chunk, WARPED, (8, 6, 7), move)
+    return B.to_values(seen).withColumn("v", F.round("v", 5) + F.lit(0.0))
+
+
+# ---- registration -------------------------------------------------------------------
+
+#: Affine transformations to measure: matrix, offset, and what they turn about.
+MEASURED = {"still": ([[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]], [0.0, 0.0, 0.0]), "shifted": ([[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]], [0.5, -0.25, 0.4]), "turned": (TURN, SHIFT)}
+MIDDLE, BINS, SAMPLED = [9.5, 19.5, 19.5], 12, 5000
+BODY = "body as (select (i // 1600)::int as z, (i // 40 % 40)::int as y, (i % 40)::int as x, v::double as v from (select z * 64 + y * 8 + x as i, v from vox))"
+_BODY_SIZES = {"z": "(select max(z) + 1 from body)", "y": "40", "x": "40"}
+
+
+def _bins_sql(value: str, low: str, high: str, k: str) -> str:
+    t = f"(1 + (least(greatest({value}, {low}), {high}) - {low}) * ({BINS - 3} / ({high} - {low})))"
+    first = f"least(floor({t}), {BINS - 3})"
+    return f"({first}::int - 1 + {k}) as b{value}, {_cubic_sql(k, f'({t} - {first})')} as w{value}"
+
+
+@query(
+    "mutual_information",
+    with_(
+        VOX,
+        BODY,
+        *_coefficients_sql("c", "body", {k: v if k == "z" else v + "::bigint" for k, v in _BODY_SIZES.items()}),
+        f"samples as (select z, y, x, v as f from body where ((z::bigint * 40 + y) * 40 + x) * 2654435761 % 4294967296 < 4294967296 * {SAMPLED} // (select count(*) from body))",
+        "moved as (" + " union all ".join(f"select '{name}' as name, z, y, x, " + ", ".join(f"{e} as p{a}" for a, e in zip("zyx", _affine_sql(matrix, offset, MIDDLE), strict=True)) + " from samples" for name, (matrix, offset) in MEASURED.items()) + ")",
+        "four as (select unnest(range(4)) as k)",
+        "seen as (" + _read_sql("cx", "moved", "name, z, y, x", _BODY_SIZES, J.SLACK) + ")",
+        "pairs as (select name, f, seen.v as m from seen join samples using (z, y, x))",
+        "ends as (select (select min(f) from samples) as f0, (select max(f) from samples) as f1, (select min(v) from body) as m0, (select max(v) from body) as m1)",
+        "terms as (select name, " + _bins_sql("f", "f0", "f1", "a.k") + ", " + _bins_sql("m", "m0", "m1", "b.k") + " from pairs, ends, four a, four b)",
+        "joint as (select name, bf, bm, sum(wf * wm) as h from terms group by all)",
+        "shares as (select name, bf, bm, h / sum(h) over (partition by name) as p from joint)",
+        "sides as (select name, p, sum(p) over (partition by name, bf) as pf, sum(p) over (partition by name, bm) as pm from shares)",
+    )
+    + "select name, round(sum(case when p > 0 then p * ln(p / (pf * pm)) else 0 end), 8) as information from sides group by name",
+)
+def mutual_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What sampled voxels tell of the same volume at their moved places, for three transformations."""
+    voxels = fx.body(spark, sf_dir)
+    sizes, chunk = V.shape(voxels), (16, 20, 20)
+    image = J.Image(kept(B.from_voxels(voxels, sizes, chunk)), sizes, chunk)
+    measure = J.Measure(image, (1, 1, 1), J.sample(image, (1, 1, 1), SAMPLED), BINS)
+    found = [(name, round(J.information(measure.joint(Affine(np.array(matrix), np.array(offset), np.array(MIDDLE))))[0], 8)) for name, (matrix, offset) in MEASURED.items()]
+    measure.close()
+    return spark.createDataFrame(found, "name string, information double")
+
+
+def _smooth_body(spark: SparkSession, sf_dir: str) -> J.Image:
+    voxels = fx.body(spark, sf_dir)
+    sizes, chunk = V.shape(voxels), (16, 24, 24)
+    return J.Image(kept(J.smooth(B.from_voxels(voxels, sizes, chunk), sizes, chunk, 2.0)), sizes, chunk)
+
+
+def _inverted(image: J.Image, sizes: B.Shape, move) -> J.Image:
+    """The image seen through a transformation, dark where it is bright."""
+    seen = S.warp_image(image.chunks, image.sizes, image.chunk, sizes, image.chunk, move)
+    return J.Image(kept(B.map_blocks(seen, lambda v: (4000 - 2 * v).astype("<f4"))), sizes, image.chunk)
+
+
+#: The fixed image lies this deep within the moving one, turned and sheared.
+DEEP = 3
+PLANTED = [[1.01, 0.02, -0.01], [0.02, 0.98, 0.03], [-0.01, -0.03, 1.02]]
+_CORNERS = "corners as (select a.i::int as z, b.i::int as y, c.i::int as x from (select unnest([0, (select max(z) - 6 from body)]) as i) a, (select unnest([0, 33]) as i) b, (select unnest([0, 33]) as i) c)"
+
+
+@query("affine_registration", with_(VOX, BODY, _CORNERS) + "select z, y, x, true as found from corners")
+def affine_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A planted affine transformation: whether registration finds where it takes each corner, within half a voxel."""
+    moving = _smooth_body(spark, sf_dir)
+    sizes = tuple(n - 2 * DEEP for n in moving.sizes)
+    planted = Affine(np.array(PLANTED), np.full(3, DEEP) + np.array([0.4, -0.3, 0.5]), (np.array(sizes) - 1) / 2)
+    found = J.register_affine(_inverted(moving, sizes, planted), moving, J.Settings(levels=2, turns=30, samples=8000)).move
+    corners = np.array([[z, y, x] for z in (0, sizes[0] - 1) for y in (0, sizes[1] - 1) for x in (0, sizes[2] - 1)], float).T
+    apart = np.linalg.norm(found(corners) - planted(corners), axis=0)
+    return spark.createDataFrame([(*map(int, c), bool(d < 0.5)) for c, d in zip(corners.T, apart, strict=True)], "z int, y int, x int, found boolean")
+
+
+@query("bspline_registration", with_(VOX, BODY) + "select z, y, x, true as found from (select z, y, x from body where z % 6 = 2 and y % 6 = 2 and x % 6 = 2 and z < (select max(z) - 7 from body) and y < 32 and x < 32)")
+def bspline_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A planted field, of up to three voxels: whether registration finds where it takes places, within one."""
+    moving = _smooth_body(spark, sf_dir)
+    sizes, shift = tuple(n - 2 * DEEP for n in moving.sizes), Affine(np.eye(3), np.full(3, float(DEEP)), np.zeros(3))
+    still = BSplineField.still(moving.sizes, (16.0, 16.0, 16.0))
+    z, y, x = np.meshgrid(*map(np.arange, still.grid.shape[:3]), indexing="ij")
+    planted = Chain((shift, BSplineField(np.stack([np.sin(z * 2 + y), np.cos(y * 2 + x), np.sin(x * 2 + z + y)], axis=-1) * 4, still.origin, still.spacing)))
+    found = Chain((shift, J.register_bspline(_inverted(moving, sizes, planted), moving, shift, J.Settings(levels=2, turns=30, samples=12_000, spacing=(16.0, 16.0, 16.0))).move))
+    places = np.array([[z, y, x] for z in range(2, moving.sizes[0] - 8, 6) for y in range(2, 32, 6) for x in range(2, 32, 6)], float).T
+    apart = np.linalg.norm(found(places) - planted(places), axis=0)
+    return spark.createDataFrame([(*map(int, p), bool(d < 1)) for p, d in zip(places.T, apart, strict=True)], "z int, y int, x int, found boolean")
+
+
 # ---- names, numbers, documents ------------------------------------------------------
 
 _NAME = "'slice_' || (s_suppkey % 1000)::varchar || '.tif' as name"

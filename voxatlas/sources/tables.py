@@ -26,15 +26,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def has_file(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table can be read there."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    """Whether a whole table is there: one whose writer has left its mark of success."""
+    return has_file(spark, f"{path}/_SUCCESS")
 
 
 def remove(spark: SparkSession, path: str) -> bool:

@@ -77,7 +77,7 @@ def text_of(step: Affine | BSplineField, before: str = "NoInitialTransform") ->
 
 
 def read_transform(spark: SparkSession, path: str) -> Affine | BSplineField:
-    return transform(parse("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())))
+    return transform(parse(read_text(spark, path)))
 
 
 def read_chain(spark: SparkSession, folder: str) -> Chain:
@@ -87,6 +87,10 @@ def read_chain(spark: SparkSession, folder: str) -> Chain:
     return Chain(tuple(transform(parse(text)) for _, text in numbered))
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """One file of the driver's, in any store."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -98,9 +102,10 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def write_chain(spark: SparkSession, chain: Chain, folder: str) -> None:
-    """A chain as numbered files, each naming the one before it."""
+    """A chain as numbered files, each naming the one before it, and at the end a mark of success."""
     before = "NoInitialTransform"
     for k, step in enumerate(chain.steps):
         path = f"{folder}/{FILE.format(k)}"
         write_text(spark, path, text_of(step, before))
         before = path
+    write_text(spark, f"{folder}/_SUCCESS", "")
