@@ -24,7 +24,7 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxatlas.llm.common import keep
+from voxatlas.llm.common import keep, settled
 
 #: The filters, in the order of their bits.
 FILTERS = "ABCDE"
@@ -92,7 +92,7 @@ def audit(docs: DataFrame, labels: DataFrame, part: str = "source") -> DataFrame
     shapley: removed by this filter, added up over all orders.
     """
     steps = F.array(*(F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(b).alias("b"), F.lit(p).alias("p")) for o, s, b, p in _steps()))
-    counted = combinations(failures(docs, part), labels).select("part", "n", "good", "toxic", F.explode(steps).alias("at")).select("part", "n", "good", "toxic", "at.*")
+    counted = settled(lambda: combinations(failures(docs, part), labels)).select("part", "n", "good", "toxic", F.explode(steps).alias("at")).select("part", "n", "good", "toxic", "at.*")
     here = "(m & p) = 0 and (m & b) <> 0"
     # of the orders, those in which the filter stands before the others that fail a document
     share = F.expr("cast(aggregate(zip_with(n, sequence(0, 31), (x, m) -> if((m & b) <> 0, x * (120 div bit_count(m)), 0L)), 0L, (a, x) -> a + x) as bigint)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,6 +81,15 @@ def drop(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(hadoop).delete(path, True)
 
 
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()`` kept as a table, without the tables that were kept to make it."""
+    with kept() as inside:
+        out = make()
+    out = keep(out)
+    drop(out.sparkSession, inside)
+    return out
+
+
 def maybe_among(df: DataFrame, value: Column, keys: DataFrame, key: Column) -> DataFrame:
     """``df`` with _maybe: false only where ``value`` is none of ``keys``' values.
 

@@ -21,11 +21,12 @@ from __future__ import annotations
 
 import math
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxatlas.llm.common import keep
+from voxatlas.llm.common import keep, settled
 
 #: Words of lower-cased text.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -88,33 +89,33 @@ def noise(doc_id: Column, seed: int = SEED) -> Column:
     return F.floor(-1000.0 * F.log(-F.log(uniform))).cast("long")
 
 
-def ranked(scored: DataFrame, share: tuple[int, int], eligible: Column) -> DataFrame:
-    """``scored`` with ``rank``: 1, 2, 3 ... by score and doc_id for floor(N * share) of the N eligible rows.
+def ranked(scored: Callable[[], DataFrame], share: tuple[int, int], eligible: Column) -> DataFrame:
+    """The rows of ``scored()`` with ``rank``: 1, 2, 3 ... by score and doc_id for floor(N * share) of the N eligible rows.
 
     Rows are dealt out by ranges of the order, so that no group of equal scores meets in
     one task, and written with their places, so that a task that runs again agrees.
     """
-    order = [F.desc("score"), F.asc_nulls_first("doc_id"), F.desc("n_features"), F.desc("weight")]
-    place = F.monotonically_increasing_id()
-    laid = keep(scored.where(eligible).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place))
-    part = F.shiftright("_place", 33)
-    sizes = {r["part"]: r["n"] for r in laid.groupBy(part.cast("int").alias("part")).agg(F.count("*").alias("n")).collect()}
-    before, most = [], 0
-    for k in range(max(sizes, default=-1) + 1):
-        before.append(most)
-        most += sizes.get(k, 0)
-    drawn = share[0] * most // share[1]
-    first = F.expr(f"cast(split('{','.join(map(str, before or [0]))}', ',') as array<bigint>)")
-    number = F.element_at(first, part.cast("int") + 1) + F.col("_place").bitwiseAND((1 << 33) - 1) + 1
-    numbered = laid.select(*scored.columns, F.when(number <= drawn, number).alias("rank"))
-    return numbered.unionByName(scored.where(~eligible).withColumn("rank", F.lit(None).cast("long")))
+    order = [F.desc("_eligible"), F.desc("score"), F.asc_nulls_first("doc_id"), F.desc("n_features"), F.desc("weight")]
+    part = F.shiftright("_place", 33).cast("int")
+    laid = settled(lambda: scored().withColumn("_eligible", eligible).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()))
+    sizes = {r["part"]: r["n"] for r in laid.groupBy(part.alias("part")).agg(F.count_if("_eligible").alias("n")).collect()}
+    before, most = [0], 0
+    for k in range(max(sizes, default=-1)):
+        before.append(before[-1] + sizes.get(k, 0))
+    most = sum(sizes.values())
+    first = F.expr(f"cast(split('{','.join(map(str, before))}', ',') as array<bigint>)")
+    number = F.element_at(first, part + 1) + F.col("_place").bitwiseAND((1 << 33) - 1) + 1
+    return laid.withColumn("rank", F.when(F.col("_eligible") & (number <= share[0] * most // share[1]), number)).drop("_eligible", "_place")
 
 
 def resample(docs: DataFrame, target: DataFrame, longest: int = LONGEST, buckets: int = BUCKETS, least_words: int = LEAST_WORDS, percent: int = PERCENT, seed: int = SEED) -> DataFrame:
     """(doc_id, n_words, n_features, weight, score, rank) of every row of ``docs``; rank is null where it is not drawn."""
-    made = keep(bucketed(docs, ["doc_id"], longest, buckets))
-    gain = gains(totals(made, buckets), totals(bucketed(target, [], longest, buckets), buckets))
-    scored = weighed(made, gain).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
+
+    def scored() -> DataFrame:
+        made = keep(bucketed(docs, ["doc_id"], longest, buckets))
+        gain = gains(totals(made, buckets), totals(bucketed(target, [], longest, buckets), buckets))
+        return weighed(made, gain).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
+
     return ranked(scored, (percent, 100), F.col("n_words") >= least_words)
 
 

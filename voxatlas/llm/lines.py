@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxatlas.llm.common import keep, maybe_among
+from voxatlas.llm.common import keep, maybe_among, settled
 
 #: Words that two lines need to be near rather than equal.
 NEAR_WORDS = 8
@@ -139,7 +139,7 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """``docs`` with the lines that go taken out of the text, and n_lines, n_removed."""
-    gone = keep(removed_lines(docs.select("doc_id", "text"), near_words).groupBy("doc_id", "row").agg(F.collect_set("pos").alias("_gone")))
+    gone = settled(lambda: removed_lines(docs.select("doc_id", "text"), near_words).groupBy("doc_id", "row").agg(F.collect_set("pos").alias("_gone")))
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     # names of other columns may be those used here
     packed = docs.select("doc_id", "text", F.xxhash64("text").alias("row"), F.struct(*names).alias("_all"))
