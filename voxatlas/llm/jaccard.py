@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxatlas.llm import words as W
-from voxatlas.llm.common import keep, maybe_among
+from voxatlas.llm.common import keep, maybe_among, settled
 from voxatlas.llm.components import components
 
 #: Turns of dealing a set to blocks; in the last, all blocks take part.
@@ -365,11 +365,17 @@ def _refined(stars: DataFrame, labels: DataFrame, texts: DataFrame, size: int, p
 
 
 def linked_components(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id, row, component_row) of every row of ``docs``.
 
     Two documents link when 100 * |A and B| >= percent * |A or B| for their sets of
-    distinct ``size``-word shingles; a component's id is its least doc_id.
+    distinct ``size``-word shingles; a component's id is its least doc_id.  ``row`` tells
+    the texts of one id apart, and ``component_row`` which text it is that the component
+    is called by.
     """
+    return settled(lambda: _linked(docs, size, percent))
+
+
+def _linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     made = keep(sketches(docs, size, percent))
     # written, so that the joins below read plain shuffles, which are split where a class is large
     text = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row"))
@@ -403,6 +409,26 @@ def linked_components(docs: DataFrame, *, size: int = 5, percent: int = 80) -> D
         if stars.isEmpty():
             break
 
-    out = made.where("n_shingles > 0").select("doc_id", "n_shingles", "x", "y").join(classes, ["n_shingles", "x", "y"])
-    out = out.join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").getField("doc_id").alias("component_id"))
-    return out.unionByName(made.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    out = made.where("n_shingles > 0").select("doc_id", "n_shingles", "row", "x", "y").join(classes, ["n_shingles", "x", "y"])
+    out = out.join(labels, "node", "left").withColumn("_c", F.coalesce("component", "node")).select("doc_id", "n_shingles", F.col("_c.doc_id").alias("component_id"), "row", F.col("_c.row").alias("component_row"))
+    return out.unionByName(made.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row", F.col("row").alias("component_row")))
+
+
+def one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the rows that another text of their component stands for, with their columns.
+
+    The text that stays is the one of the least doc_id, and of several texts of that id
+    the one of the least hash; rows that repeat it with the id stay all.  Rows of a null
+    id stay only if no row with an id is linked with them.
+    """
+    linked = linked_components(docs.select("doc_id", "text"), size=size, percent=percent)
+    same = F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("row").eqNullSafe(F.col("component_row"))
+    going = linked.where(~same & F.col("component_id").isNotNull()).select("doc_id", "row").distinct()
+    node = F.struct("doc_id", "row")
+    # other columns may have any name
+    packed = docs.select("doc_id", F.xxhash64("text").alias("row"), F.struct(*docs.columns).alias("_all"))
+    marked = maybe_among(packed, node, going, node)
+    asked = marked.where("_maybe").alias("d")
+    gone = going.alias("g")
+    left = asked.join(gone, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.row") == F.col("g.row")), "left_anti")
+    return marked.where("not _maybe").select("_all").unionAll(left.select("_all")).select(*(F.col("_all")[c].alias(c) for c in docs.columns))

@@ -22,7 +22,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.linked_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return jaccard.linked_components(table(spark, sf_dir, "documents"), size=3, percent=90).drop("row", "component_row")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
