@@ -290,6 +290,17 @@ def test_repeated_rows_are_spread(spark, monkeypatch):
     assert got.count() == 400 and got.selectExpr("shiftright(sequence_id, 32) g").distinct().count() > 2
 
 
+def test_equal_rows_are_dealt_out(spark):
+    """Thousands of equal rows of one partition do not meet in one group, and none is lost."""
+    docs = spark.createDataFrame([(1, "some words of one text")] * 5000, "doc_id bigint, text string").coalesce(1)
+    got = packing.pack(docs, group_bytes=30_000).toPandas()
+    groups = (got["sequence_id"] // 2**32).value_counts()
+    assert len(got) == 5000 and len(groups) >= 12 and groups.max() < 1000
+    assert not got.duplicated(["sequence_id", "offset"]).any()
+    made = packing.packed_matrices(docs, group_bytes=30_000)
+    assert {r["dtype"] for r in made.collect()} == {"uint16"}
+
+
 def test_best_fit():
     rng = random.Random(2)
     lengths = sorted((rng.randint(1, 60) for _ in range(400)), reverse=True)

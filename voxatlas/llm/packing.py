@@ -14,6 +14,7 @@ empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,7 +92,8 @@ class Encoder:
         """Remember the ids of runs of letters, then of other parts; ``keys`` are in that order."""
         ids = np.array(self.model.encode(" ".join(runs), add_special_tokens=False).ids if runs else [], "<u4")
         size = np.diff(np.concatenate([[-1], np.flatnonzero(self.ends[ids])]))
-        assert len(size) == len(runs), "a run of letters is not one word to this tokenizer"
+        if len(size) != len(runs):
+            raise ValueError("a run of letters is not one word to this tokenizer")
         rest = self._whole(other)
         size = np.concatenate([size, [len(x) for x in rest]]).astype(np.int64)
         pool = np.concatenate([ids, *(np.array(x, "<u4") for x in rest)]) if rest else ids
@@ -176,11 +178,12 @@ def fold(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def pieces(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, tokenizer: str | None = None, with_ids: str = "", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Tokenised documents cut into pieces of at most ``window`` ids.
 
-    Columns: the id, start, length, ids_crc32, doc_tokens, and with ``with_ids``, the
+    Columns: the id, start, length, ids_crc32, doc_tokens, copy (the number of equal rows
+    before this one among those that a task reads at once), and with ``with_ids``, the
     name of a type (see ``id_type``), the ids.
     """
     kind = dict(docs.dtypes)[id_column]
-    fields = f"{id_column} {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids binary" * bool(with_ids)
+    fields = f"{id_column} {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, copy bigint" + ", ids binary" * bool(with_ids)
     end = np.array([end_id], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,10 +192,13 @@ def pieces(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, token
             texts = W.column(batch, text_column)
             ids = batch.column(batch.schema.get_field_index(id_column))
             for lo, hi in W.slices(texts, CHUNK_BYTES):
-                row, start, length, crc, total, raw = [], [], [], [], [], []
+                row, start, length, crc, total, copy, raw = [], [], [], [], [], [], []
+                seen: Counter = Counter()
                 first, tokens = encoder.encode(texts.slice(lo, hi - lo))
                 for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True), lo):
                     one = np.concatenate([tokens[a:b], end])
+                    own = (ids[k].as_py(), len(one), zlib.crc32(one.tobytes()))
+                    seen[own] += 1
                     for c in range(0, len(one), window):
                         part = one[c : c + window]
                         row.append(k)
@@ -200,10 +206,11 @@ def pieces(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_ID, token
                         length.append(len(part))
                         crc.append(zlib.crc32(part.tobytes()))
                         total.append(len(one))
+                        copy.append(seen[own] - 1)
                         if with_ids:
                             raw.append(part.astype(with_ids).tobytes())
-                columns = [ids.take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))]
-                names = [id_column, "start", "length", "ids_crc32", "doc_tokens"]
+                columns = [ids.take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total, copy))]
+                names = [id_column, "start", "length", "ids_crc32", "doc_tokens", "copy"]
                 if with_ids:
                     columns.append(pa.array(raw, pa.binary()))
                     names.append("ids")
@@ -271,9 +278,9 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
 
 def _grouped(docs: DataFrame, parts: DataFrame, id_column: str, text_column: str, group_bytes: int) -> DataFrame:
     n = groups_of(docs, F.coalesce(F.octet_length(text_column), F.lit(0)) + 64, group_bytes)
-    # equal pieces (of rows that repeat) are told apart by the task that reads them, which
-    # stays the same if the task is run again, so that no group holds all of them
-    return parts.withColumn("_group", F.pmod(F.xxhash64(id_column, "start", "ids_crc32", F.spark_partition_id()), F.lit(n)))
+    # equal pieces (of rows that repeat) are told apart by the task that reads them and by their
+    # number in it, which stay the same if the task is run again, so that no group holds all of them
+    return parts.withColumn("_group", F.pmod(F.xxhash64(id_column, "start", "ids_crc32", F.spark_partition_id(), "copy"), F.lit(n))).drop("copy")
 
 
 def _order(group: pd.DataFrame, id_column: str) -> pd.DataFrame:
@@ -344,13 +351,14 @@ def packed_matrices(docs: DataFrame, *, window: int = WINDOW, end_id: int = END_
                 "cu_seqlens": ends,
                 "n_tokens": [end[-1] for end in ends],
                 "pieces": [[{id_column: doc[k], "start": start[k], "length": length[k]} for k in own] for own in held],
+                "dtype": np.dtype(stored).name,
             }
         )
 
     return (
         _grouped(docs, parts, id_column, text_column, group_bytes)
         .groupBy("_group")
-        .applyInPandas(build, f"sequence_id bigint, ids binary, positions binary, cu_seqlens array<int>, n_tokens int, pieces array<struct<{id_column}: {kind}, start: bigint, length: bigint>>")
+        .applyInPandas(build, f"sequence_id bigint, ids binary, positions binary, cu_seqlens array<int>, n_tokens int, pieces array<struct<{id_column}: {kind}, start: bigint, length: bigint>>, dtype string")
     )
 
 
