@@ -229,7 +229,7 @@ def big_tiff(images, strip, order):
 
 def test_file_of_many_pages(spark, tmp_path, block, monkeypatch):
     """One file is dealt out, also one larger than Spark reads whole, and BigTIFF is read."""
-    monkeypatch.setattr(tiff, "BAND_BYTES", 40, raising=False)
+    monkeypatch.setattr(tiff, "SLAB_BYTES", 40)
     images = list(block.astype(np.uint16))
     files = {"classic": tiff.encode(images), "big end": big_tiff(images, 4, ">"), "little": big_tiff(images, 4, "<"), "one": big_tiff(images, 99, "<")}
     limit = "spark.sql.sources.binaryFile.maxLength"
@@ -245,7 +245,7 @@ def test_file_of_many_pages(spark, tmp_path, block, monkeypatch):
         finally:
             spark.conf.unset(limit)
     # in a store that only Spark reads
-    monkeypatch.setattr(tiff, "_local", lambda path: None)
+    monkeypatch.setattr(tiff, "_mounted", lambda spark, path: None)
     got = tiff.read_stack(spark, str(tmp_path / "little"))
     assert got.count() == block.size and (array(got, block.shape) == block).all()
 

@@ -28,7 +28,7 @@ from voxatlas.plans import config as configs
 from voxatlas.plans.config import Config
 from voxatlas.plans.project import Project
 from voxatlas.sources.tables import exists, folders, has_file, is_folder, read_parquet, write_csv, write_parquet
-from voxatlas.sources.tiff import read_stack
+from voxatlas.sources.tiff import read_blocks
 from voxatlas.sources.transforms import parse, read_chain, read_text, write_chain, write_text
 
 #: Voxels of a chunk of images that are registered.
@@ -107,10 +107,10 @@ class Pipeline:
     # ---- raw data
 
     def ingest(self, path: str) -> DataFrame:
-        """Voxels of a TIFF file or of a folder of slices; nothing else is an image to begin with."""
+        """Chunks of a TIFF file or of a folder of slices; nothing else is an image to begin with."""
         if not path.rstrip("/").lower().endswith((".tif", ".tiff")) and not is_folder(self.spark, path):
             raise ValueError(f"{path} is neither a TIFF file nor a folder of slices")
-        return read_stack(self.spark, path)
+        return read_blocks(self.spark, path, self.config.chunk)
 
     def tuning(self, raw_chunks: DataFrame) -> "Pipeline":
         """The pipeline of the tuning project, whose raw volume is a box of this one's."""
@@ -271,8 +271,7 @@ class Pipeline:
         with the atlas' ``reference`` image, the specimen is registered to that.
         """
         def ingest() -> DataFrame:
-            voxels = self.ingest(raw) if isinstance(raw, str) else raw
-            return B.from_voxels(voxels, V.shape(voxels), self.config.chunk)
+            return self.ingest(raw) if isinstance(raw, str) else B.from_voxels(raw, V.shape(raw), self.config.chunk)
 
         raw_chunks = self.stage("raw", ingest)
         whole = annotation

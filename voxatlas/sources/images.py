@@ -46,7 +46,7 @@ def read_image(spark: SparkSession, path: str, box: tuple[V.Slice, V.Slice, V.Sl
 
 
 def write_slices(image: DataFrame, path: str, dtype: str = "<u2") -> None:
-    """A dense volume as a table (z, content) of TIFF files, one for each plane."""
+    """A dense volume as a table (z, content) of TIFF files, one for each plane; ``tiff.write_tiffs`` writes files."""
     tiff.slice_files(image, dtype).write.mode("overwrite").parquet(path)
 
 
@@ -106,6 +106,12 @@ def nifti_members(image: DataFrame, sizes: tuple[int, int, int], dtype: str = "<
     return head.unionByName(image.groupBy("x").applyInPandas(plane, "part int, content binary"))
 
 
+def write_nifti(image: DataFrame, sizes: tuple[int, int, int], path: str, dtype: str = "<u2") -> None:
+    """A dense volume as one compressed NIfTI file of a mounted folder: its members, written by their tasks and joined."""
+    members = nifti_members(image, sizes, dtype).select(F.format_string("%09d", "part").alias("name"), "content")
+    tiff.write_files(members, path, joined=True)
+
+
 def npy_header(data: bytes) -> tuple[int, tuple[int, ...], np.dtype]:
     """(bytes of the header, shape, type) of a saved array."""
     if data[:6] != b"\x93NUMPY":
