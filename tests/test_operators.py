@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from voxatlas.functions import scalar
 from voxatlas.operators import cells, chunks, combine, kernels, masks, ontology, rasters, segments, stencils, voxels, warps
+from voxatlas.operators.numbering import numbered
 from voxatlas.plans import config as configs
 from voxatlas.plans.config import Config
 from voxatlas.plans.project import Project
@@ -39,6 +40,13 @@ def tree(spark, edges):
     return spark.createDataFrame([(i, f"a{i}", f"n{i}", "ff", p, k) for k, (i, p) in enumerate(edges)], "id bigint, acronym string, name string, color_hex_triplet string, parent_structure_id bigint, preorder bigint")
 
 
+def test_numbered(spark):
+    rows = [(k * 7919 % 1000, "x") for k in range(500)]
+    got = numbered(spark.createDataFrame(rows, "a int, b string").repartition(5), ["a"], "n").collect()
+    assert [r["n"] for r in sorted(got, key=lambda r: r["a"])] == list(range(1, 501))
+    assert numbered(spark.createDataFrame([], "a int"), ["a"], "n").count() == 0
+
+
 def test_scalars(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-0.5,), (-1.5,)], "c double")
     assert [r[0] for r in df.select(scalar.round_half_even("c")).collect()] == [0, 2, 2, 0, -2]
@@ -69,13 +77,21 @@ def test_ontology_round_trip(spark, tmp_path):
     trees = [leaf(1, None, leaf(2, 1, leaf(4, 2)), leaf(3, 1)), leaf(9, None)]
     (tmp_path / "o.json").write_text(json.dumps({"msg": trees}))
     regions = ontology.read(spark, str(tmp_path / "o.json"))
-    assert ontology.nest(regions) == trees
+    assert [r["preorder"] for r in regions.orderBy("preorder").collect()] == [0, 1, 2, 3, 4] and [r["id"] for r in regions.orderBy("preorder").collect()] == [1, 2, 4, 3, 9]
+    assert json.loads(ontology.nest(regions).head()["value"]) == {"msg": trees}
+    assert ontology.flatten(ontology.nest(regions)).exceptAll(regions).isEmpty()
+    assert json.loads(ontology.nest(regions.limit(0)).head()["value"]) == {"msg": []}
     assert {r["id"]: r["children"] for r in ontology.with_children(regions).collect()} == {1: [2, 3], 2: [4], 3: [], 4: [], 9: []}
-    deep = tree(spark, [(0, None), *((k, k - 1) for k in range(1, 40))])
-    assert ontology.closure(deep).count() == 40 * 41 // 2
-    assert ontology.closure(tree(spark, [(1, None), (2, 1), (3, 77)])).count() == 4
-    with pytest.raises(ValueError):
-        ontology.closure(tree(spark, [(1, 3), (2, 1), (3, 2), (4, None)]))
+    limit = "spark.sql.cteRecursionLevelLimit"
+    spark.conf.set(limit, "8")
+    try:
+        chain = tree(spark, [(0, None), *((k, k - 1) for k in range(1, 40))])  # deeper than a recursive query may go
+        assert ontology.closure(chain).count() == 40 * 41 // 2
+        assert ontology.closure(tree(spark, [(1, None), (2, 1), (3, 77)])).count() == 4
+        with pytest.raises(ValueError):
+            ontology.closure(tree(spark, [(1, 3), (2, 1), (3, 2), (4, None)]))
+    finally:
+        spark.conf.unset(limit)
 
 
 def test_outline(spark):
@@ -167,6 +183,28 @@ def test_halos(spark, block):
     assert (array(chunks.to_voxels(chunks.trim_halo(chunks.add_halo(parts, block.shape, size, 4))), block.shape) == block).all()
 
 
+def test_wide_kernels():
+    """Fourier transforms and doubled windows against plain sums and windows."""
+    rng = np.random.default_rng(5)
+    block = rng.integers(0, 5000, (9, 30, 17)).astype(np.float32)
+    weights = stencils.gaussian_weights(11.0)
+    assert len(weights) > kernels.MANY
+    r, want = len(weights) // 2, block.astype(float)
+    for axis in range(3):
+        padded = np.moveaxis(np.pad(want, [(r, r) if a == axis else (0, 0) for a in range(3)], mode="symmetric"), axis, 0)
+        want = np.moveaxis(sum(w * padded[k : k + block.shape[axis]] for k, w in enumerate(weights)), 0, axis)
+    assert np.allclose(kernels.convolve(block, weights), want, rtol=1e-5)
+    for size in range(1, 12):
+        for mirror in (False, True):
+            low, high = stencils.window(size, mirror)
+            want = block
+            for axis in range(3):
+                padded = np.moveaxis(np.pad(want, [(max(0, -low), max(0, high)) if a == axis else (0, 0) for a in range(3)], mode="symmetric"), axis, 0)
+                first = low + max(0, -low)
+                want = np.moveaxis(np.max([padded[first + k : first + k + block.shape[axis]] for k in range(size)], axis=0), 0, axis)
+            assert (kernels.max_filter(block, size, mirror) == want).all()
+
+
 def test_watershed():
     raw = np.array([[[9, 5, 1, 4, 8]]])
     markers = np.array([[[1, 0, 0, 0, 2]]])

@@ -20,14 +20,27 @@ def _along(block: np.ndarray, axis: int, low: int, high: int) -> np.ndarray:
     return np.moveaxis(np.pad(block, pad, mode="symmetric"), axis, 0)
 
 
+#: Weights from which on a convolution is done by Fourier transforms, and voxels that one takes at once.
+MANY, LINES = 64, 1 << 22
+
+
 def convolve(block: np.ndarray, weights: list[float]) -> np.ndarray:
+    """Weighted sums along each axis; those of many weights by Fourier transforms of the lines."""
     r = len(weights) // 2
     for axis in range(block.ndim):
         n = block.shape[axis]
         padded = _along(block, axis, -r, r)
         out = np.zeros((n, *padded.shape[1:]), padded.dtype)
-        for k, w in enumerate(weights):
-            out += padded.dtype.type(w) * padded[k : k + n]
+        if len(weights) < MANY:
+            for k, w in enumerate(weights):
+                out += padded.dtype.type(w) * padded[k : k + n]
+        else:
+            size = 1 << (n + 4 * r).bit_length()
+            factor = np.fft.rfft(np.array(weights)[::-1], size)[:, None]
+            lines, made = padded.reshape(len(padded), -1), out.reshape(n, -1)
+            step = max(1, LINES // size)
+            for k in range(0, lines.shape[1], step):
+                made[:, k : k + step] = np.fft.irfft(np.fft.rfft(lines[:, k : k + step], size, axis=0) * factor, size, axis=0)[2 * r : 2 * r + n]
         block = np.moveaxis(out, 0, axis)
     return block
 
@@ -37,14 +50,17 @@ def gaussian(block: np.ndarray, sigma: float) -> np.ndarray:
 
 
 def _ranked(block: np.ndarray, size: int, best, mirror: bool = False) -> np.ndarray:
+    """The best value of a window around each voxel; windows double until two of them cover it."""
     low, high = window(size, mirror)
     for axis in range(block.ndim):
         n = block.shape[axis]
         padded = _along(block, axis, low, high)
         first = low + max(0, -low)
-        out = padded[first : first + n].copy()
-        for k in range(1, size):
-            best(out, padded[first + k : first + k + n], out=out)
+        out, wide = padded[first : first + n + size - 1], 1
+        while 2 * wide <= size:
+            out = best(out[:-wide], out[wide:])
+            wide *= 2
+        out = best(out[:n], out[size - wide : size - wide + n])
         block = np.moveaxis(out, 0, axis)
     return block
 

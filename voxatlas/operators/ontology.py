@@ -1,21 +1,22 @@
 """The region ontology: a forest of regions as a parent-pointer table.
 
 An ontology is small (some thousand regions) whatever the number of cells, but
-nothing here relies on that: the closure is built by joins that double the path
-length, and joins are left to the planner, which broadcasts by size.
+nothing here relies on that: no row passes through the driver, and joins are left to
+the planner, which broadcasts by size.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxatlas.functions.scalar import ratio
 from voxatlas.operators.kept import kept
+from voxatlas.operators.numbering import numbered
 
 #: Field names of the ontology JSON and their column types.
 ONTOLOGY_FIELDS = {
@@ -37,45 +38,58 @@ INVALID, UNIVERSE = -1, 0
 SPECIAL_NAMES = {INVALID: "invalid", UNIVERSE: "universe"}
 NO_LABEL = "no_label"
 MEASURES = ["count", "volume", "sum_intensity"]
-#: Rows that a task of the closure reads.
-ROWS_PER_FILE = 1_000_000
+#: Rows that a task of the closure reads, and regions at most that a recursive query takes.
+ROWS_PER_FILE, RECURSIVE = 1_000_000, 20_000
 
 
-def _walk(nodes: list[dict]) -> Iterator[dict]:
-    stack = list(reversed(nodes))
-    while stack:
-        node = stack.pop()
-        yield node
-        stack.extend(reversed(node.get("children") or []))
+def flatten(texts: DataFrame) -> DataFrame:
+    """Regions of ontology documents (value, each a JSON text), with their ordinal in pre-order.
 
-
-def _typed(value, kind: str):
-    if value is None:
-        return None
-    return {"bigint": int, "double": float, "string": str}[kind](value)
-
-
-def flatten(spark: SparkSession, document: dict) -> DataFrame:
-    """Regions of a parsed ontology document, with their ordinal in pre-order."""
-    rows = [(*(_typed(node.get(k), kind) for k, kind in ONTOLOGY_FIELDS.items()), i) for i, node in enumerate(_walk(document["msg"]))]
-    return spark.createDataFrame(rows, ", ".join(f"{k} {v}" for k, v in ONTOLOGY_FIELDS.items()) + ", preorder int")
+    The documents are parsed as variants and walked by a recursive query, a level of the
+    trees a turn; the ordinals come from the places within the trees.
+    """
+    spark = texts.sparkSession
+    kept(texts.select(F.expr("variant_get(parse_json(value), '$.msg', 'variant')").alias("trees"))).createOrReplaceTempView("_documents")
+    nodes = spark.sql(
+        """with recursive nodes(node, path) as (
+            select t.value, array(t.pos) from _documents, lateral variant_explode(trees) t
+            union all
+            select t.value, concat(nodes.path, array(t.pos)) from nodes, lateral variant_explode(variant_get(node, '$.children', 'variant')) t)
+        select * from nodes"""
+    )
+    fields = [F.expr(f"variant_get(node, '$.{name}', '{kind}')").alias(name) for name, kind in ONTOLOGY_FIELDS.items()]
+    return numbered(nodes.select(*fields, "path"), ["path"], "preorder").drop("path").withColumn("preorder", F.col("preorder").cast("int") - 1)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Flattened ontology of a JSON file; Spark reads the file, so any store will do."""
-    text = spark.read.text(path, wholetext=True).head()[0]
-    return flatten(spark, json.loads(text))
+    return flatten(spark.read.text(path, wholetext=True))
+
 
+def nest(regions: DataFrame) -> DataFrame:
+    """(value): one JSON document with the trees that ``flatten`` came from, children in table order.
 
-def nest(regions: DataFrame) -> list[dict]:
-    """The trees that ``flatten`` came from: nested dictionaries, children in table order."""
-    rows = [r.asDict() for r in regions.orderBy("preorder").collect()]
-    nodes = {r["id"]: {k: r[k] for k in ONTOLOGY_FIELDS} | {"children": []} for r in rows}
-    roots = []
-    for r in rows:
-        parent = nodes.get(r["parent_structure_id"])
-        (parent["children"] if parent else roots).append(nodes[r["id"]])
-    return roots
+    It is put together level by level, from the leaves: each turn joins a level's regions
+    with the texts of their children.
+    """
+    fields = F.struct(*ONTOLOGY_FIELDS)
+    depths = closure(regions).groupBy("id").agg((F.count("*") - 1).cast("int").alias("depth"))
+    ids = regions.select(F.col("id").alias("_p"))
+    placed = regions.join(ids, F.col("parent_structure_id") == F.col("_p"), "left").withColumn("parent", F.col("_p")).drop("_p")
+    nodes = kept(placed.join(depths, "id").select("id", "parent", "preorder", "depth", F.to_json(fields, {"ignoreNullFields": "false"}).alias("text")))
+    deepest = nodes.agg(F.max("depth")).head()[0]
+    joined = lambda rows: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("preorder", "text"))), lambda r: r["text"]), ",")
+    below = None
+    for depth in range(deepest if deepest is not None else -1, -1, -1):
+        level = nodes.where(F.col("depth") == depth)
+        inner = F.lit("")
+        if below is not None:
+            level = level.join(below.groupBy(F.col("parent").alias("id")).agg(joined(below).alias("children")), "id", "left")
+            inner = F.coalesce("children", F.lit(""))
+        below = level.select("parent", "preorder", F.concat(F.expr("left(text, length(text) - 1)"), F.lit(',"children":['), inner, F.lit("]}")).alias("text"))
+    if below is None:
+        return regions.sparkSession.createDataFrame([('{"msg":[]}',)], "value string")
+    return below.agg(joined(below).alias("trees")).select(F.concat(F.lit('{"msg":['), "trees", F.lit("]}")).alias("value"))
 
 
 def with_parents(regions: DataFrame) -> DataFrame:
@@ -94,15 +108,31 @@ def with_children(regions: DataFrame, order: str = "preorder") -> DataFrame:
 def closure(regions: DataFrame) -> DataFrame:
     """(id, ancestor) for every region and each of its ancestors, itself included.
 
-    The path length doubles with every join, so a tree of depth d takes log d of them;
-    each turn's paths are written, and the next turn reads them.  A parent that is no
-    region itself ends the path; a circle of parents is an error.
+    A recursive query takes a step up the trees each turn.  Where Spark's bounds of such
+    queries do not allow it, the path length doubles with every join instead.  A parent
+    that is no region itself ends the path; a circle of parents is an error.
     """
-    edges = kept(regions.select("id", "parent_structure_id"))
-    most = edges.count()
-    edges = edges.coalesce(1 + most // ROWS_PER_FILE)
-    ids = edges.select("id").distinct()
-    jumps = edges.join(ids.select(F.col("id").alias("parent_structure_id")), "parent_structure_id", "left_semi").select("id", F.col("parent_structure_id").alias("ancestor"), F.lit(1).alias("steps"))
+    spark = regions.sparkSession
+    rows = kept(regions.select("id", F.col("parent_structure_id").alias("parent")))
+    most = rows.count()
+    rows = rows.coalesce(1 + most // ROWS_PER_FILE)
+    steps = kept(rows.join(rows.select(F.col("id").alias("parent")).distinct(), "parent", "left_semi").select("id", "parent").coalesce(1 + most // ROWS_PER_FILE))
+    ids = rows.select("id").distinct()
+    if most <= RECURSIVE:
+        ids.createOrReplaceTempView("_ids")
+        steps.createOrReplaceTempView("_steps")
+        paths = spark.sql("with recursive paths(id, ancestor) as (select id, id from _ids union all select paths.id, s.parent from paths join _steps s on s.id = paths.ancestor) select id, ancestor from paths")
+        try:
+            return kept(paths)
+        except (PySparkException, Py4JJavaError) as error:
+            if "RECURSION" not in str(error):
+                raise
+    return _doubled(ids, steps.coalesce(1 + most // ROWS_PER_FILE), most)
+
+
+def _doubled(ids: DataFrame, steps: DataFrame, most: int) -> DataFrame:
+    """The closure by joins that double the path length; each turn's paths are written, and the next turn reads them."""
+    jumps = steps.select("id", F.col("parent").alias("ancestor"), F.lit(1).alias("steps"))
     paths = [ids.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("steps")), jumps]
     ends = below = kept(jumps)
     length = 1

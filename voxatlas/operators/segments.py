@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxatlas.operators.kept import kept
+from voxatlas.operators.numbering import numbered
 
 AXES = ("z", "y", "x")
 
@@ -47,18 +48,9 @@ def connected_components(points: DataFrame) -> DataFrame:
 
 
 def number_labels(components: DataFrame) -> DataFrame:
-    """Components numbered from 1 in the order of their first voxels: (z, y, x, label).
-
-    Numbers follow from counts by z, so that no task orders all components.
-    """
-    from pyspark.sql import Window
-
-    names = components.select("component").distinct().withColumn("_z", F.col("component.z"))
-    counts = names.groupBy("_z").agg(F.count("*").alias("_n"))
-    # one row a plane: few, whatever the number of voxels
-    offsets = counts.select("_z", (F.sum("_n").over(Window.orderBy("_z")) - F.col("_n")).alias("_before"))
-    numbered = names.join(offsets, "_z").select("component", (F.col("_before") + F.row_number().over(Window.partitionBy("_z").orderBy("component"))).alias("label"))
-    return components.join(numbered, "component").select(*AXES, "label")
+    """Components numbered from 1 in the order of their first voxels: (z, y, x, label)."""
+    numbers = numbered(components.select("component").distinct(), ["component"], "label")
+    return components.join(numbers, "component").select(*AXES, "label")
 
 
 def label_volumes(labelled: DataFrame, label: str = "label", bits: int | None = None) -> DataFrame:

@@ -24,6 +24,7 @@ from voxatlas.operators import stencils as T
 from voxatlas.operators import voxels as V
 from voxatlas.operators import warps as P
 from voxatlas.operators.kept import kept, shared_path
+from voxatlas.operators.numbering import numbered
 from voxatlas.operators.transforms import Affine, BSplineField, Chain, move_points
 from voxatlas.sources.transforms import read_chain, write_chain
 
@@ -929,13 +930,11 @@ _NAME = "'slice_' || (s_suppkey % 1000)::varchar || '.tif' as name"
 @query("natural_order", f"select name, row_number() over (order by k, id) as place from (select {_NAME}, s_suppkey % 1000 as k, s_suppkey as id from supplier where s_suppkey % 3 <> 0)")
 def natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of slices that match a pattern, in the order of their numbers."""
-    from pyspark.sql import Window
-
     from voxatlas.sources.tables import matching_files
 
     names = fx.table(spark, sf_dir, "supplier").select(F.format_string("slice_%d.%s", F.col("s_suppkey") % 1000, F.when(F.col("s_suppkey") % 3 == 0, "txt").otherwise("tif")).alias("path"), "s_suppkey")
     found = matching_files(names, r"\.tif$")
-    return found.select(F.col("path").alias("name"), F.row_number().over(Window.orderBy("natural_key", "s_suppkey")).alias("place"))
+    return numbered(found, ["natural_key", "s_suppkey"], "place").select(F.col("path").alias("name"), "place")
 
 
 @query("zero_padded_names", "select s_suppkey, 'slice_' || lpad((s_suppkey % 1000)::varchar, 4, '0') || '.tif' as name from supplier")
@@ -958,7 +957,7 @@ def ontology_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The region table as a nested document, and flattened again."""
     regions = fx.regions(spark, sf_dir)
     missing = [F.lit(None).cast(kind).alias(c) for c, kind in O.ONTOLOGY_FIELDS.items() if c not in regions.columns]
-    return O.flatten(spark, {"msg": O.nest(regions.select("*", *missing))}).select("id", "name", "parent_structure_id")
+    return O.flatten(O.nest(regions.select("*", *missing))).select("id", "name", "parent_structure_id")
 
 
 @query("points_dense", with_(CELLS, POINTS, ROUNDED) + f"select g.z, g.y, g.x, coalesce(n, 0)::bigint as v from (select a.i::int as z, b.i::int as y, c.i::int as x from range(7) a(i), range(15) b(i), range(30) c(i)) g left join (select z, y, x, count(*) as n from rounded where {INSIDE} group by all) using (z, y, x)")
