@@ -216,3 +216,28 @@ def test_a_large_chunk_within_its_memory(spark, tmp_path):
     spread = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert (array == a).all() and assembled < 2 * a.nbytes and spread < 4 * a.nbytes
+
+
+def test_members(spark, tmp_path, monkeypatch):
+    """A compressed file of several members is read by several tasks, whatever its members' borders."""
+    a = np.random.default_rng(6).integers(0, 1 << 16, (9, 8, 11)).astype("<u2")
+    data = images.nifti_header(a.shape, "<u2") + a.transpose(2, 1, 0).tobytes()
+    cuts = [0, 100, 352, 1001, 1002, 1500, len(data)]
+    import gzip
+
+    whole_file = gzip.compress(data)
+    many = b"".join(gzip.compress(data[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True))
+    (tmp_path / "many.nii.gz").write_bytes(many)
+    (tmp_path / "one.nii.gz").write_bytes(whole_file)
+    (tmp_path / "plain.nii").write_bytes(data)
+    monkeypatch.setattr(tiff, "SLAB_BYTES", 300)
+    found = images.gzip_members(spark, str(tmp_path / "many.nii.gz"), len(many), step=97)
+    assert [m[2] for m in found] == np.diff(cuts).tolist() and sum(m[1] for m in found) == len(many)
+    for name, tasks in (("many.nii.gz", 6), ("one.nii.gz", 1), ("plain.nii", 6)):
+        out = images.read_nifti(spark, str(tmp_path / name))
+        assert out.rdd.getNumPartitions() == tasks
+        got = out.toPandas()
+        assert len(got) == a.size and (a[got["z"], got["y"], got["x"]] == got["v"]).all(), name
+    (tmp_path / "short.nii.gz").write_bytes(b"".join(gzip.compress(data[i:j]) for i, j in ((0, 400), (400, 900))))
+    with pytest.raises(ValueError):
+        images.read_nifti(spark, str(tmp_path / "short.nii.gz"))
