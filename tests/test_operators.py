@@ -205,6 +205,17 @@ def test_wide_kernels():
             assert (kernels.max_filter(block, size, mirror) == want).all()
 
 
+def test_bits(spark, block):
+    """A mask of bits is the mask, at every size of halo."""
+    table = chunks.add_halo(chunks.from_voxels(volume(spark, block), block.shape, (3, 4, 5)), block.shape, (3, 4, 5), 2)
+    packed = chunks.as_bits(table)
+    both = chunks.zip_blocks({"a": table, "b": packed}).toPandas().to_dict("records")
+    assert len(both) == 3 * 2 * 2
+    for row in both:
+        a, b = chunks.block(row, "a_payload", "a_dtype", "a_halo"), chunks.block(row, "b_payload", "b_dtype", "b_halo")
+        assert ((a != 0) == b).all() and len(row["b_payload"]) == -(-a.size // 8)
+
+
 def test_watershed():
     raw = np.array([[[9, 5, 1, 4, 8]]])
     markers = np.array([[[1, 0, 0, 0, 2]]])

@@ -141,7 +141,7 @@ class Pipeline:
         size = self.config.maxima_sigma
 
         def run() -> DataFrame:
-            zipped = B.zip_blocks({"overlap": overlap, "mask": mask})
+            zipped = B.zip_blocks({"overlap": overlap, "mask": B.as_bits(mask)})
 
             def blocks(frames):
                 for frame in frames:
@@ -155,7 +155,7 @@ class Pipeline:
 
     def watershed_volumes(self, overlap: DataFrame, maxima: DataFrame, mask: DataFrame) -> DataFrame:
         """Volumes that the watershed of all maxima gives, halo included; to look at."""
-        zipped = B.zip_blocks({"overlap": overlap, "maxima": maxima, "mask": mask})
+        zipped = B.zip_blocks({"overlap": overlap, "maxima": B.as_bits(maxima), "mask": B.as_bits(mask)})
 
         def blocks(frames):
             for frame in frames:
@@ -182,14 +182,19 @@ class Pipeline:
     def cells_from_labels(self, overlap: DataFrame, labels: DataFrame, mask: DataFrame) -> DataFrame:
         """Cells of each block from labels that exist already: those whose first voxel lies in the core."""
         depth = self.config.overlap_depth
-        zipped = B.zip_blocks({"overlap": overlap, "labels": labels, "mask": mask})
+        zipped = B.zip_blocks({"overlap": overlap, "labels": labels, "mask": B.as_bits(mask)})
         found = B.blocks_to_table(zipped, ["overlap", "labels", "mask"], lambda *blocks: N.cells_of_labels(*blocks, depth=depth), CELLS_SCHEMA)
         return self.stage("cells_labels", lambda: found.withColumn("cell_id", F.concat_ws("-", *(F.col(c).cast("string") for c in (*B.KEY, "label")))))
 
-    def cells_raw(self, raw_chunks: DataFrame, overlap: DataFrame, maxima: DataFrame, mask: DataFrame) -> DataFrame:
+    def cells_raw(self, overlap: DataFrame, maxima: DataFrame, mask: DataFrame) -> DataFrame:
         depth = self.config.overlap_depth
-        zipped = B.zip_blocks({"raw": raw_chunks, "overlap": overlap, "maxima": maxima, "mask": mask})
-        found = B.blocks_to_table(zipped, ["raw", "overlap", "maxima", "mask"], lambda *blocks: N.cells(*blocks, depth=depth), CELLS_SCHEMA)
+        zipped = B.zip_blocks({"overlap": overlap, "maxima": B.as_bits(maxima), "mask": B.as_bits(mask)})
+
+        def cells(block: np.ndarray, maxima: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
+            core = block[tuple(slice(depth, n - depth) for n in block.shape)]  # the raw block is the middle of it
+            return N.cells(core, block, maxima, mask, depth=depth)
+
+        found = B.blocks_to_table(zipped, ["overlap", "maxima", "mask"], cells, CELLS_SCHEMA)
         kept = C.volume_between(found, self.config.min_wshed_size, self.config.max_wshed_size)
         # a key of its own for each cell: chunk and label
         key = F.concat_ws("-", *(F.col(c).cast("string") for c in (*B.KEY, "label")))
@@ -259,7 +264,7 @@ class Pipeline:
         out["threshold"] = self.threshold_filtered(out["overlap"])
         out["maxima"] = self.maxima(out["overlap"], out["threshold"])
         out["wshed"] = self.watershed_filtered(self.watershed_volumes(out["overlap"], out["maxima"], out["threshold"]))
-        out["cells"] = self.cells_raw(raw_chunks, out["overlap"], out["maxima"], out["threshold"])
+        out["cells"] = self.cells_raw(out["overlap"], out["maxima"], out["threshold"])
         return out
 
     def run(self, raw: DataFrame | str, annotation: DataFrame, regions: DataFrame, transform=None, reference: DataFrame | None = None, *, mask: bool = True, tuning: bool = True, visual: bool = False) -> DataFrame:
