@@ -416,6 +416,10 @@ def test_command_line(spark, tmp_path, capsys):
     main(["config", str(tmp_path / "p"), "--set", '{"threshold": 7}'])
     assert json.loads(capsys.readouterr().out)["threshold"] == 7
     assert configs.read(spark, Project(str(tmp_path / "p")).config).threshold == 7
+    main(["project", str(tmp_path / "q")])
+    assert "(NumberOfHistogramBins 128)" in (tmp_path / "q/registration/parameters/align_bspline.txt").read_text()
+    with pytest.raises(SystemExit):
+        main(["combine"])
 
 
 def test_pipeline(spark, tmp_path):
