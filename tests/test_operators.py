@@ -232,6 +232,9 @@ def test_combine(spark):
     wide = {r["id"]: r for r in combine.combine_wide(combine.annotations(spark, regions), {"s 1": one, "s2": one.where("id = 1")}).collect()}
     assert set(wide) == {-1, 0, 1, 2} and wide[1]["s 1__count"] == 2 and wide[1]["s 1__volume_mask"] is None and wide[2]["s2__volume_annot"] is None
     assert combine.combine_long({"a": one}).count() == 7
+    rows = [tuple(r) for r in combine.with_two_headers(combine.combine_wide(combine.annotations(spark, regions), {"s1": one, "s2": one})).collect()]
+    assert rows[0] == ("specimen", *["annotations"] * 5, *["s1"] * 7, *["s2"] * 7) and rows[1][:3] == ("measure", "name", "acronym") and rows[1][6:13] == tuple(combine.MEASURES)
+    assert [r[0] for r in rows[2:]] == ["-1", "0", "1", "2"] and rows[4][6:9] == ("2", "3", "4")
 
 
 def test_files(spark, tmp_path, block):

@@ -47,3 +47,18 @@ def combine_wide(annotation: DataFrame, specimens: dict[str, DataFrame]) -> Data
     wide = stacked.groupBy("id").pivot("_specimen", list(specimens)).agg(*(F.first(m).alias(f"_{m}") for m in MEASURES))
     named = wide.select("id", *(F.col(f"{s}__{m}") for s in specimens for m in MEASURES))
     return annotation.join(named, "id", "full")
+
+
+def with_two_headers(wide: DataFrame) -> DataFrame:
+    """A combined table as text, its first rows being the specimen and the measure of each column.
+
+    The columns of regions belong to ``annotations``; the rest is in order of id.  A combined
+    table has a row a region, so that one task puts the rows in order.
+    """
+    spark = wide.sparkSession
+    names = [c.rsplit("__", 1) if "__" in c else ["annotations", c] for c in wide.columns if c != "id"]
+    heads = [("specimen", *(n[0] for n in names)), ("measure", *(n[1] for n in names))]
+    columns = [f"_{k}" for k in range(len(wide.columns))]
+    top = spark.createDataFrame([(k, None, *row) for k, row in enumerate(heads)], f"_k int, _id bigint, {', '.join(f'{c} string' for c in columns)}")
+    body = wide.select(F.lit(len(heads)).alias("_k"), F.col("id").alias("_id"), *(F.col(c).cast("string").alias(n) for c, n in zip(["id", *(c for c in wide.columns if c != "id")], columns, strict=True)))
+    return top.unionByName(body).coalesce(1).sortWithinPartitions("_k", "_id").select(*columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,13 +22,25 @@ def shared_path(spark: SparkSession) -> str:
     if folder is None:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="checkpoint-")
-        _LOCAL[spark.sparkContext.applicationId] = folder
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL:
+            _LOCAL[application] = tempfile.mkdtemp(prefix="checkpoint-")
+            atexit.register(shutil.rmtree, _LOCAL[application], ignore_errors=True)
+        folder = _LOCAL[application]
     return f"{folder}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read again."""
+def kept(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read again; ``paths`` gets where, to drop it once it has been used."""
     path = shared_path(df.sparkSession)
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete kept tables; nothing may read them any more."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

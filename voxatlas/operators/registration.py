@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from voxatlas.operators import chunks as B
 from voxatlas.operators import kernels as N
 from voxatlas.operators import splines as S
-from voxatlas.operators.kept import kept
+from voxatlas.operators.kept import drop, kept
 from voxatlas.operators.transforms import Affine, BSplineField, Chain
 
 #: Least voxels of an axis that a level leaves.
@@ -189,10 +189,13 @@ class Measure:
         self.fixed_range = (float(samples.values.min()), float(samples.values.max())) if len(samples.values) else (0.0, 0.0)
         self.moving_range = moving.range()
         made = S.coefficients(moving.chunks, moving.sizes, moving.chunk) if order == 3 else moving.chunks
-        self.made = kept(B.add_halo(made, moving.sizes, moving.chunk, 2, mode="reflect")).coalesce(PARTS).persist()
+        self.paths: list[str] = []
+        self.made = kept(B.add_halo(made, moving.sizes, moving.chunk, 2, mode="reflect"), self.paths).coalesce(PARTS).persist()
 
     def close(self) -> None:
+        """Give back what the measure has kept."""
         self.made.unpersist()
+        drop(self.made.sparkSession, self.paths)
 
     def _each(self, places: np.ndarray, f: Callable, schema: str) -> DataFrame:
         """Rows of ``f(which samples, their values, their slopes)`` for each partition's samples together."""
@@ -358,7 +361,8 @@ def register_affine(fixed: Image, moving: Image, settings: Settings = AFFINE) ->
     values = []
     for level in range(settings.levels - 1, -1, -1):
         (a, by_fixed), (b, by_moving) = fixed.level(1 << level), moving.level(1 << level)
-        a, b = replace(a, chunks=kept(a.chunks)), replace(b, chunks=kept(b.chunks))
+        used: list[str] = []
+        a, b = replace(a, chunks=kept(a.chunks, used)), replace(b, chunks=kept(b.chunks, used))
         measure = Measure(b, by_moving, sample(a, by_fixed, settings.samples), settings.bins)
         last: dict[bytes, tuple[float, np.ndarray]] = {}
 
@@ -373,6 +377,7 @@ def register_affine(fixed: Image, moving: Image, settings: Settings = AFFINE) ->
             w, value = climb(lambda w: both(w)[0], lambda w: both(w)[1], w, settings.turns, float(1 << level), settings.least_rise)
         finally:
             measure.close()
+            drop(fixed.chunks.sparkSession, used)
         values.append(value)
     return Found(make(w), values)
 
@@ -383,7 +388,8 @@ def register_bspline(fixed: Image, moving: Image, before: Callable = Chain(()),
     field, values = BSplineField.still(moving.sizes, first), []
     for level in range(settings.levels - 1, -1, -1):
         (a, by_fixed), (b, by_moving) = fixed.level(1 << level), moving.level(1 << level)
-        a, b = replace(a, chunks=kept(a.chunks)), replace(b, chunks=kept(b.chunks))
+        used: list[str] = []
+        a, b = replace(a, chunks=kept(a.chunks, used)), replace(b, chunks=kept(b.chunks, used))
         measure = Measure(b, by_moving, sample(a, by_fixed, settings.samples), settings.bins)
         shape, last = field.grid.shape, {}
 
@@ -404,6 +410,7 @@ def register_bspline(fixed: Image, moving: Image, before: Callable = Chain(()),
             w, rise = climb(value, slope, field.grid.ravel(), settings.turns, float(1 << level), settings.least_rise)
         finally:
             measure.close()
+            drop(fixed.chunks.sparkSession, used)
         field = make(w)
         values.append(rise)
         if level:

@@ -314,7 +314,8 @@ def combine(spark: SparkSession, projects: dict[str, Project], regions: DataFram
 
     Without ``regions`` the ontology is the one that the first project has kept.
 
-    With ``path`` it is written there, as parquet and as csv, unless it is there already.
+    With ``path`` it is written there, as parquet and as csv with rows of specimens and of
+    measures on top, unless it is there already.
     """
     if not projects:
         raise ValueError("no specimens")
@@ -329,7 +330,7 @@ def combine(spark: SparkSession, projects: dict[str, Project], regions: DataFram
     out = K.combine_wide(K.annotations(spark, regions), tables)
     if path:
         out = write_parquet(out, f"{path}/combined")
-        write_csv(out, f"{path}/combined_csv")
+        write_csv(K.with_two_headers(out), f"{path}/combined_csv", header=False)
     return out
 
 

@@ -21,9 +21,9 @@ def write_parquet(df: DataFrame, path: str, overwrite: bool = True) -> DataFrame
     return df.sparkSession.read.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One header a file; columns of arrays and structs are not for this format."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
+    """One header a file, or none; columns of arrays and structs are not for this format."""
+    df.write.mode("overwrite").option("header", header).csv(path)
 
 
 def has_file(spark: SparkSession, path: str) -> bool:
