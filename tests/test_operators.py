@@ -466,3 +466,12 @@ def test_cubic_resampling(spark):
     assert out.count() == want.size
     assert (array(out, want.shape) == np.clip(np.floor(want + 0.5), 0, 65535)).all()
     assert stencils.resample(volume(spark, block).where("false"), (0.5, 0.5, 0.5)).collect() == []
+
+
+def test_linear_resampling_of_a_long_axis(spark):
+    n, m = 60_000, 42_000
+    line = spark.range(n).select(F.col("id").cast("int").alias("z"), F.lit(0).alias("y"), F.lit(0).alias("x"), (F.col("id") * 7 % 1000).alias("v"))
+    got = stencils.resample(line, (0.7, 1, 1), order=1).toPandas().sort_values("z")
+    at = np.arange(m) * (n - 1)
+    assert got["z"].tolist() == list(range(m))
+    assert np.allclose(got["v"], np.interp(at / (m - 1), np.arange(n), np.arange(n) * 7 % 1000), atol=1e-6)
