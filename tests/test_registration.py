@@ -221,3 +221,32 @@ def test_registered_specimen(spark, tmp_path):
     configs.write(spark, own.updated(atlas_dir="elsewhere"), other.config)
     with pytest.raises(ValueError):
         combine(spark, {"s": project, "t": other})
+
+
+def test_volume_cut_short(spark, tmp_path):
+    """Voxels that are missing are no zeros: they give no samples and widen no range."""
+    import duckdb
+
+    from voxatlas import queries
+
+    # 490 vectors fill 19.6 planes of a body
+    spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").where("vec_id < 490").write.parquet(str(tmp_path / "embeddings.parquet"))
+    duckdb.sql(f"create or replace view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    for name in ("mutual_information", "affine_registration"):
+        got = sorted(map(tuple, queries.QUERIES[name](spark, str(tmp_path)).collect()))
+        assert got == sorted(duckdb.sql(queries.ORACLE_SQL[name]).fetchall()), name
+
+
+def test_masks(spark):
+    a = np.random.default_rng(0).integers(500, 600, (24, 9, 8)).astype("<u2")
+    held = np.ones(a.shape, "u1")
+    held[20:] = held[:, 7:, 3:] = 0
+    sizes, chunk = a.shape, (8, 6, 8)
+    image = J.Image(chunked(spark, np.where(held, a, 0).astype("<u2"), chunk), sizes, chunk, chunked(spark, held, chunk))
+    assert image.range() == (a[held > 0].min(), a[held > 0].max())
+    got = J.sample(image, (1, 1, 1), 10**6)
+    assert len(got.values) == image.count() == held.sum()
+    assert (got.values == a[tuple(got.places.astype(int))]).all()
+    flat = chunked(spark, np.where(held, 700, 0).astype("<u2"), chunk)  # a blur of equal voxels leaves them, up to the ends
+    blurred = whole(J.smooth(flat, sizes, chunk, 1.0, image.mask), sizes)
+    assert np.abs(blurred[held > 0] - 700).max() < 1e-2
