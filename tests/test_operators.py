@@ -475,3 +475,11 @@ def test_linear_resampling_of_a_long_axis(spark):
     at = np.arange(m) * (n - 1)
     assert got["z"].tolist() == list(range(m))
     assert np.allclose(got["v"], np.interp(at / (m - 1), np.arange(n), np.arange(n) * 7 % 1000), atol=1e-6)
+
+
+def test_components_without_broadcasts(spark):
+    """No table of runs, names or labels goes through the driver, however small."""
+    labelled = segments.number_labels(segments.connected_components(spark.createDataFrame([(0, 0, 0), (0, 1, 0), (3, 0, 5)], "z int, y int, x int")))
+    for df in (labelled, segments.label_volumes(labelled)):
+        assert len(df.collect()) == 3
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()

@@ -24,7 +24,8 @@ def connected_components(points: DataFrame) -> DataFrame:
 
     Voxels are first contracted to runs along x, which are the nodes; runs that touch
     in y or z are linked.  Then each turn takes the least name of the neighbours and the
-    name of that name, which halves long chains, until no name changes.
+    name of that name, which halves long chains, until no name changes.  Joins shuffle
+    both sides: tables small enough to broadcast would go through the driver in every turn.
     """
     name = F.struct("z", "y", F.col("start").alias("x"))
     voxels = kept(runs(points).select(*AXES, name.alias("run")))
@@ -32,25 +33,25 @@ def connected_components(points: DataFrame) -> DataFrame:
     links = None
     for axis in ("z", "y"):
         there = voxels.select(*((F.col(c) + 1).alias(c) if c == axis else F.col(c) for c in AXES), F.col("run").alias("b"))
-        touching = here.join(there, list(AXES)).select("a", "b")
+        touching = here.join(there.hint("merge"), list(AXES)).select("a", "b")
         links = touching if links is None else links.unionAll(touching)
     both = kept(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = voxels.select("run").distinct().select("run", F.col("run").alias("component"))
     while True:
-        near = both.join(labels.select(F.col("run").alias("b"), F.col("component").alias("m")), "b").groupBy("a").agg(F.min("m").alias("m"))
-        least = kept(labels.join(near, labels["run"] == near["a"], "left").select("run", F.col("component").alias("was"), F.least("component", F.coalesce("m", "component")).alias("component")))
+        near = both.join(labels.select(F.col("run").alias("b"), F.col("component").alias("m")).hint("merge"), "b").groupBy("a").agg(F.min("m").alias("m"))
+        least = kept(labels.join(near.hint("merge"), labels["run"] == near["a"], "left").select("run", F.col("component").alias("was"), F.least("component", F.coalesce("m", "component")).alias("component")))
         jump = least.select(F.col("run").alias("_at"), F.col("component").alias("_further"))
-        labels = kept(least.join(jump, F.col("component") == F.col("_at"), "left").select("run", "was", F.least("component", F.coalesce("_further", "component")).alias("component")))
+        labels = kept(least.join(jump.hint("merge"), F.col("component") == F.col("_at"), "left").select("run", "was", F.least("component", F.coalesce("_further", "component")).alias("component")))
         if labels.where("was <> component").isEmpty():
             break
         labels = labels.drop("was")
-    return voxels.join(labels.drop("was"), "run").select(*AXES, "component")
+    return voxels.join(labels.drop("was").hint("merge"), "run").select(*AXES, "component")
 
 
 def number_labels(components: DataFrame) -> DataFrame:
     """Components numbered from 1 in the order of their first voxels: (z, y, x, label)."""
     numbers = numbered(components.select("component").distinct(), ["component"], "label")
-    return components.join(numbers, "component").select(*AXES, "label")
+    return components.join(numbers.hint("merge"), "component").select(*AXES, "label")
 
 
 def label_volumes(labelled: DataFrame, label: str = "label", bits: int | None = None) -> DataFrame:
@@ -58,7 +59,7 @@ def label_volumes(labelled: DataFrame, label: str = "label", bits: int | None =
     counts = labelled.groupBy(label).agg(F.count("*").alias("volume"))
     if bits:
         counts = counts.withColumn("volume", F.pmod("volume", F.lit(1 << bits)))
-    return labelled.join(counts, label).select(*AXES, "volume")
+    return labelled.join(counts.hint("merge"), label).select(*AXES, "volume")
 
 
 def first_voxels(labelled: DataFrame, label: str = "label") -> DataFrame:
