@@ -145,6 +145,46 @@ def test_jaccard_bands():
                 assert a + b - 2 * least <= bands.differences(a)
 
 
+def test_jaccard_needs():
+    """Linked sets share as many keys of a role as either needs."""
+    rng = np.random.default_rng(4)
+    for percent in (60, 80, 90):
+        bands, seen = jaccard.Bands(percent), 0
+        for n in [*range(4, 60), 100, 250, 700] * 3:
+            one = rng.integers(0, 2**63, n).astype(np.uint64)
+            gone = int(rng.integers(0, bands.differences(n) + 1))
+            lost = int(rng.integers(0, min(gone, n - 1) + 1))
+            two = np.concatenate([one[lost:], rng.integers(0, 2**63, gone - lost).astype(np.uint64)])
+            if 100 * (n - lost) < percent * (n + gone - lost):
+                continue
+            roles = [{r["role"]: r for r in jaccard.roles_of(s, bands)} for s in (one, two)]
+            for role in roles[0].keys() & roles[1].keys():
+                a, b = roles[0][role], roles[1][role]
+                assert len(set(a["keys"]) & set(b["keys"])) >= max(a["need"], b["need"])
+                seen += max(a["need"], b["need"]) > 1
+        assert seen > 20
+
+
+def test_jaccard_of_shared_passages(spark, monkeypatch):
+    """Unlike texts with passages in common: their changes of a pivot are not listed."""
+    rng = random.Random(6)
+    words = lambda n: [f"p{rng.randrange(9000)}" for _ in range(n)]
+    phrase, passages = words(25), [words(70) for _ in range(40)]
+    texts = [passages[k % 40] + words(80) + passages[(k * 7 + k // 40) % 40] + phrase for k in range(160)]
+    texts += [t[:100] + words(rng.randint(1, 9)) + t[100 + rng.randint(0, 9) :] for t in texts[:40]]
+    listed, real = [], jaccard.compared
+
+    def counted(pairs, *rest, **more):
+        listed.append(pairs.count())
+        return real(pairs, *rest, **more)
+
+    monkeypatch.setattr(jaccard, "compared", counted)
+    docs = list(enumerate(" ".join(t) for t in texts))
+    got = jaccard.linked_components(table(spark, docs), size=5, percent=80)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == brute.components(docs, 5, 80)
+    assert sum(listed) < len(docs) // 10
+
+
 def test_components(spark):
     pairs = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (103, 101), (7, 7)]
     got = rows(components(spark.createDataFrame(pairs, "a bigint, b bigint")), "node", "component")

@@ -19,8 +19,11 @@ Each set has a sketch of single parity bits besides, some for each possible diff
 The Hamming distance of two sketches is at most the symmetric difference, so pairs
 beyond the bound go before any text is read; the others are verified on the texts.
 
-Sets of equal content are one class.  Sets with an equal block form a group, and no
-group is turned into pairs.  Its pivot, the set whose blocks are shared the most, is
+Sets of equal content are one class.  Sets with an equal block form a group.  As many
+blocks stay as may differ, and more, so two linked sets have several in common, and each
+leaves the most frequent of these out but for one (a prefix filter): texts with no more than
+a phrase in common form no group.  Groups of ``FEW`` sets or fewer give pairs, which the
+sketches sift.  No larger group is turned into pairs.  Its pivot, the set whose blocks are shared the most, is
 compared with every other; what links forms components.  Where a group still holds
 several components, its sets are told apart by what they change of the pivot: two sets
 that are not both linked to the pivot can link only if they differ from it in the same
@@ -50,7 +53,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxatlas.llm import words as W
-from voxatlas.llm.common import keep, maybe_among, settled
+from voxatlas.llm.common import drop, keep, kept, maybe_among, settled
 from voxatlas.llm.components import components
 
 #: Turns of dealing a set to blocks; in the last, all blocks take part.
@@ -63,6 +66,8 @@ SLACK = (1.3, 1.5, 1.8, 2.2, 3.0)
 MARGIN = 1.12
 #: Parity bits of a sketch for each possible difference, at least.
 BITS = 8
+#: Sets at most that meet on a block in pairs; larger groups have a pivot.
+FEW = 8
 #: Sets at most that meet on a change in pairs.
 PAIRED = 16
 #: Levels of groups with pivots of their own; what is left is compared pair by pair.
@@ -145,7 +150,11 @@ def sketch(hashes: np.ndarray, band: int, turn: int, blocks: int) -> tuple[np.nd
 
 
 def roles_of(hashes: np.ndarray, bands: Bands) -> list[dict]:
-    """For each band that a set is in: the join keys of the blocks that take part."""
+    """For each band that a set is in: the join keys of the blocks that take part.
+
+    ``need`` of them at least are those of any linked set that has the role too; 0 where
+    too few blocks stay, so that only the partner's number tells.
+    """
     out = []
     size = len(hashes)
     most = bands.differences(size)
@@ -158,7 +167,9 @@ def roles_of(hashes: np.ndarray, bands: Bands) -> list[dict]:
             if last:
                 stay = np.arange(blocks)
             where = W.U64(band << 40 | turn << 32) + stay.astype(W.U64)
-            out.append({"role": band * TURNS + turn, "keys": W.mix(words[stay] ^ W.mix(where)).view(np.int64).tolist()})
+            # an equal block of the last turn may be one that the partner leaves out
+            need = 1 if last else max(0, len(stay) - most)
+            out.append({"role": band * TURNS + turn, "need": need, "keys": W.mix(words[stay] ^ W.mix(where)).view(np.int64).tolist()})
             if last or len(stay) > most:
                 break
     return out
@@ -183,7 +194,7 @@ def hamming(a: bytes, b: bytes) -> int:
 def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, row, n_shingles, x, y, roles, bits): x and y identify the shingle set, row the text."""
     kind = dict(docs.dtypes)["doc_id"]
-    roles_type = pa.list_(pa.struct([("role", pa.int32()), ("keys", pa.list_(pa.int64()))]))
+    roles_type = pa.list_(pa.struct([("role", pa.int32()), ("need", pa.int32()), ("keys", pa.list_(pa.int64()))]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
@@ -203,7 +214,7 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 )
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
-    return rows.mapInArrow(scan, f"doc_id {kind}, row bigint, n_shingles bigint, x bigint, y bigint, roles array<struct<role: int, keys: array<bigint>>>, bits binary")
+    return rows.mapInArrow(scan, f"doc_id {kind}, row bigint, n_shingles bigint, x bigint, y bigint, roles array<struct<role: int, need: int, keys: array<bigint>>>, bits binary")
 
 
 def _paired(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -311,8 +322,27 @@ def _stars(groups: DataFrame) -> DataFrame:
 
 
 def _grouped(members: DataFrame) -> DataFrame:
-    """(key, node, sets) of the keys that several nodes have."""
-    return members.join(members.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"), "key")
+    """(key, node, n, role, need, sets) of the keys that several nodes have, of which one at least needs some."""
+    return members.join(members.groupBy("key").agg(F.count("*").alias("sets"), F.max("need").alias("most")).where("sets > 1 and most > 0").drop("most"), "key")
+
+
+def _rarest(members: DataFrame) -> DataFrame:
+    """(key, node, n, sets): groups in which all sets that may link still meet.
+
+    A set that shares ``need`` keys of a role with any linked one shares one that is not
+    among its ``need - 1`` most frequent, in an order of keys that is the same for all.
+    Sets that only have a phrase or two in common meet on fewer, and no longer at all.
+    """
+    shared = keep(_grouped(members))
+    rank = F.row_number().over(Window.partitionBy("node", "role").orderBy(F.desc("sets"), "key"))
+    rare = keep(shared.withColumn("rank", rank).where("rank >= need").drop("rank", "sets"))
+    return _grouped(rare).select("key", "node", "n", "sets")
+
+
+def _in_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the sets of each group that are near enough in size to link; for groups of few sets."""
+    a, b = (groups.select("key", F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
+    return a.join(b, "key").where("a < b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).select("a", "b").distinct()
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
@@ -376,23 +406,28 @@ def linked_components(docs: DataFrame, *, size: int = 5, percent: int = 80) -> D
 
 
 def _linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    made = keep(sketches(docs, size, percent))
+    with kept() as keyed:
+        made = keep(sketches(docs, size, percent))
     # written, so that the joins below read plain shuffles, which are split where a class is large
     text = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row"))
     classes = keep(made.where("n_shingles > 0").groupBy("n_shingles", "x", "y").agg(F.min(text).alias("node")))
-    blocks = made.select("x", "y", F.explode("roles.keys").alias("keys")).select("x", "y", F.explode("keys").alias("key"))
+    blocks = made.select("x", "y", F.explode("roles").alias("r")).select("x", "y", "r.role", "r.need", F.explode("r.keys").alias("key"))
     # equal sets count as one from here on; a key that occurs once is not shared
     several = keep(blocks.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"))
     found = maybe_among(blocks, F.col("key"), several, F.col("key")).where("_maybe").drop("_maybe").join(several, "key").distinct()
-    found = keep(found.join(classes.select("x", "y", "node"), ["x", "y"]).where("node is not null").select("key", "node"))
-    groups = keep(_grouped(found))
+    found = keep(found.join(classes.select("x", "y", "node", F.col("n_shingles").alias("n")), ["x", "y"]).where("node is not null").select("key", "node", "n", "role", "need"))
+    # the keys, most of what was written, have served
+    made = keep(made.drop("roles"))
+    drop(docs.sparkSession, keyed)
+    groups = keep(_rarest(found))
     asked = keep(groups.select("node").distinct())
     nodes = keep(made.where("bits is not null").select(text.alias("node"), F.col("n_shingles").alias("n"), "bits").join(asked, "node").dropDuplicates(["node"]))
     rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("row")).alias("node"), "text")
     texts = keep(maybe_among(rows, F.col("node"), asked, F.col("node")).where("_maybe").drop("_maybe").join(asked, "node").dropDuplicates(["node"]))
 
-    stars = keep(_stars(groups))
-    links = keep(linked_pairs(stars.select("a", "b").distinct(), texts, nodes, size, percent))
+    few = _in_pairs(groups.where(F.col("sets") <= FEW), percent)
+    stars = keep(_stars(groups.where(F.col("sets") > FEW)))
+    links = keep(linked_pairs(keep(stars.select("a", "b").unionAll(few).distinct()), texts, nodes, size, percent))
     labels = components(links)
     for level in range(LEVELS):
         pairs, groups = _refined(stars, labels, texts, size, percent)
