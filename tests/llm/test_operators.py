@@ -185,6 +185,28 @@ def test_jaccard_of_shared_passages(spark, monkeypatch):
     assert sum(listed) < len(docs) // 10
 
 
+def test_jaccard_of_forms(spark, monkeypatch):
+    """Unlike texts that fill in a few forms, the larger part of each: their changes of a pivot are not listed."""
+    rng = random.Random(7)
+    words = lambda n: [f"q{rng.randrange(9000)}" for _ in range(n)]
+    forms = [words(200) for _ in range(4)]
+    texts = [forms[k % 4] + words(110) for k in range(100)]
+    texts += [t[:250] + words(rng.randint(1, 9)) + t[250 + rng.randint(0, 9) :] for t in texts[:20]]
+    listed, real = [], jaccard.compared
+
+    def counted(pairs, *rest, **more):
+        listed.append(pairs.count())
+        return real(pairs, *rest, **more)
+
+    monkeypatch.setattr(jaccard, "compared", counted)
+    docs = list(enumerate(" ".join(t) for t in texts))
+    got = jaccard.linked_components(table(spark, docs), size=5, percent=80)
+    want = brute.components(docs, 5, 80)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == want
+    assert sum(doc != component for doc, _, component in want) == 20
+    assert sum(listed) < len(docs) // 10
+
+
 def test_components(spark):
     pairs = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (103, 101), (7, 7)]
     got = rows(components(spark.createDataFrame(pairs, "a bigint, b bigint")), "node", "component")

@@ -22,9 +22,11 @@ beyond the bound go before any text is read; the others are verified on the text
 Sets of equal content are one class.  Sets with an equal block form a group.  As many
 blocks stay as may differ, and more, so two linked sets have several in common, and each
 leaves the most frequent of these out but for one (a prefix filter): texts with no more than
-a phrase in common form no group.  Groups of ``FEW`` sets or fewer give pairs, which the
-sketches sift.  No larger group is turned into pairs.  Its pivot, the set whose blocks are shared the most, is
-compared with every other; what links forms components.  Where a group still holds
+a phrase in common form no group.  The sets of groups, and no others, form groups anew by
+single shingles, of which linked sets have most in common, so that most may be left out:
+texts with several phrases in common form no group either, however many have them.  Groups of
+``FEW`` sets or fewer give pairs, which the sketches sift.  No larger group is turned into
+pairs.  Its pivot, the set whose shingles are shared the most, is compared with every other; what links forms components.  Where a group still holds
 several components, its sets are told apart by what they change of the pivot: two sets
 that are not both linked to the pivot can link only if they differ from it in the same
 shingles (with x and y shingles between them and the pivot, their distance is x + y
@@ -66,7 +68,7 @@ SLACK = (1.3, 1.5, 1.8, 2.2, 3.0)
 MARGIN = 1.12
 #: Parity bits of a sketch for each possible difference, at least.
 BITS = 8
-#: Sets at most that meet on a block in pairs; larger groups have a pivot.
+#: Sets at most that meet on a shingle in pairs; larger groups have a pivot.
 FEW = 8
 #: Sets at most that meet on a change in pairs.
 PAIRED = 16
@@ -339,6 +341,23 @@ def _rarest(members: DataFrame) -> DataFrame:
     return _grouped(rare).select("key", "node", "n", "sets")
 
 
+def by_shingles(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(key, node, n, role, need): every shingle of the texts (node, text), of which linked sets share ``need`` at least."""
+    kind = dict(texts.dtypes)["node"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = W.column(batch, "text")
+            for lo, hi in W.slices(whole):
+                first, hashes = shingle_sets(whole.slice(lo, hi - lo), size)
+                keys = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(first)), keys], ["node", "n", "keys"])
+
+    need = F.expr(f"(n * {percent} + 99) div 100").alias("need")
+    sets = texts.select("node", "text").mapInArrow(scan, f"node {kind}, n bigint, keys array<bigint>")
+    return sets.select("node", "n", F.lit(0).alias("role"), need, F.explode("keys").alias("key"))
+
+
 def _in_pairs(groups: DataFrame, percent: int) -> DataFrame:
     """(a, b): the sets of each group that are near enough in size to link; for groups of few sets."""
     a, b = (groups.select("key", F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
@@ -419,12 +438,12 @@ def _linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     # the keys, most of what was written, have served
     made = keep(made.drop("roles"))
     drop(docs.sparkSession, keyed)
-    groups = keep(_rarest(found))
-    asked = keep(groups.select("node").distinct())
+    asked = keep(_rarest(found).select("node").distinct())
     nodes = keep(made.where("bits is not null").select(text.alias("node"), F.col("n_shingles").alias("n"), "bits").join(asked, "node").dropDuplicates(["node"]))
     rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("row")).alias("node"), "text")
     texts = keep(maybe_among(rows, F.col("node"), asked, F.col("node")).where("_maybe").drop("_maybe").join(asked, "node").dropDuplicates(["node"]))
 
+    groups = keep(_rarest(keep(by_shingles(texts, size, percent))))
     few = _in_pairs(groups.where(F.col("sets") <= FEW), percent)
     stars = keep(_stars(groups.where(F.col("sets") > FEW)))
     links = keep(linked_pairs(keep(stars.select("a", "b").unionAll(few).distinct()), texts, nodes, size, percent))
