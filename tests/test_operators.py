@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from voxatlas import queries
 from voxatlas.functions import scalar
 from voxatlas.operators import cells, chunks, combine, kernels, masks, ontology, rasters, segments, stencils, voxels, warps
 from voxatlas.operators.numbering import numbered
@@ -183,6 +184,26 @@ def test_halos(spark, block):
     assert (array(chunks.to_voxels(chunks.trim_halo(chunks.add_halo(parts, block.shape, size, 4))), block.shape) == block).all()
 
 
+def test_blocks_at_a_time(spark, sf, block):
+    """A block goes to its function where its halo is put together, and frames of small parts are bounded by rows too."""
+    size, schema = (3, 4, 5), "z bigint, y bigint, x bigint, total bigint"
+    parts = chunks.from_voxels(volume(spark, block), block.shape, size)
+
+    def total(v):
+        return {"z": [1], "y": [0], "x": [2], "total": [v.astype(np.int64).sum()]}
+
+    for depth in (0, 2):
+        apart = chunks.blocks_to_table(chunks.zip_blocks({"halo": chunks.add_halo(parts, block.shape, size, depth)}), ["halo"], total, schema)
+        at_once = chunks.halo_to_table(parts, block.shape, size, depth, total, schema)
+        assert at_once.schema == apart.schema and sorted(at_once.collect()) == sorted(apart.collect())
+    row = dict.fromkeys(chunks.KEY + chunks.PLACE, 0) | {"halo": 0, "dtype": "<u2", "payload": b"1234"}
+    frames = list(chunks.frames_of(row for _ in range(5000)))
+    assert sum(map(len, frames)) == 5000 and max(map(len, frames)) * chunks.ROW_BYTES <= chunks.FRAME_BYTES
+    assert list(chunks.records(iter(frames[:1])))[0] == row
+    plan = queries.watershed_cells(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("FlatMapGroupsInPandas") == 2 and plan.count(" MapInPandas") == 1
+
+
 def test_wide_kernels():
     """Fourier transforms and doubled windows against plain sums and windows."""
     rng = np.random.default_rng(5)
